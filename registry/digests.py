@@ -1,0 +1,33 @@
+"""Classification, URL, text and identity queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from newsledger.functions import text as T, urls as U
+from newsledger.operators.classify import digest_order
+from registry import register, views as V
+
+
+def joined(name: str):
+    return F.array_join(name, "|").alias(name)
+
+
+@register("digest_sections", V.CLASSIFIED + """
+SELECT strftime(day, '%Y-%m-%d') AS day, section, title, url, source_id, tier, tier_label,
+  array_to_string(model_hits, '|') AS model_hits, array_to_string(topic_hits, '|') AS topic_hits,
+  source_item_id, snapshot_hash, summary,
+  CAST(row_number() OVER (PARTITION BY day ORDER BY section_ord, tier <> 'official',
+    -len(topic_hits), source_id, item_ord) AS BIGINT) AS position
+FROM classified""")
+def digest_sections(spark, sf_dir):
+    from newsledger.operators.ordered import with_rank
+    rows = V.classified(spark, sf_dir)
+    rows = (rows.withColumn("_official", F.col("tier") != "official")
+            .withColumn("_hits", -F.size("topic_hits")))
+    rows = with_rank(rows, ["day"], F.col("section_ord"),
+                     ["section_ord", "_official", "_hits", "payload_ord", "item_ord"], "position")
+    return rows.select(
+        F.date_format("day", "yyyy-MM-dd").alias("day"), "section", "title", "url", "source_id",
+        "tier", "tier_label", joined("model_hits"), joined("topic_hits"), "source_item_id",
+        "snapshot_hash", "summary", F.col("position").cast("bigint").alias("position"))
