@@ -89,7 +89,7 @@ def marker_groups(lowered: Column, groups: Mapping[str, Iterable[str]]) -> Colum
 def all_patterns(value: Column, patterns: Column) -> Column:
     """Every required pattern occurs, ignoring case; true for no pattern at all."""
     return F.forall(F.coalesce(patterns, empty_strings()),
-                    lambda p: value.rlike(F.concat(F.lit("(?iu)"), p)))
+                    lambda p: F.regexp_like(value, F.concat(F.lit("(?iu)"), p)))
 
 
 # --- titles -------------------------------------------------------------------

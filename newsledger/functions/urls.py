@@ -241,18 +241,17 @@ def status_links(text: Column) -> Column:
     return F.array_sort(F.array_distinct(links))
 
 
+def names_artifact(url: Column) -> Column:
+    """A normalised link to code, a model or a paper rather than to a front page."""
+    rules = [r"github\.com/+[^/?#]+/+[^/?#]",
+             r"huggingface\.co/+(?!(?:blog|docs|papers)(?:/|$))[^/?#]+/+[^/?#]",
+             r"arxiv\.org/+(?:abs|pdf|html)(?:[/?#]|$)",
+             r"openreview\.net/+(?:forum|pdf)(?:[/?#]|$)"]
+    return url.rlike(f"^https://(?:{'|'.join(rules)})")
+
+
 def is_artifact_url(value: Column) -> Column:
-    """Link to code, a model or a paper rather than to a front page."""
-    url = audit_url(value)
-    parts = url_parts(url)
-    segments = F.filter(F.split(parts.path, "/"), lambda s: s != "")
-    head = F.try_element_at(segments, F.lit(1))
-    many = F.size(segments) >= 2
-    return F.coalesce(
-        F.when(parts.host == "github.com", many)
-        .when(parts.host == "huggingface.co", many & ~head.isin("blog", "docs", "papers"))
-        .when(parts.host == "arxiv.org", head.isin("abs", "pdf", "html"))
-        .when(parts.host == "openreview.net", head.isin("forum", "pdf")), F.lit(False))
+    return names_artifact(audit_url(value))
 
 
 def linkify(value: Column) -> Column:

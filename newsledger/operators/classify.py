@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsledger import fixed_values as fixed
 from newsledger.functions import ids, text as T, times
 from newsledger.functions.urls import canonical_url
+from newsledger.operators.barrier import computed
 from newsledger.operators.ordered import first_wins
 from newsledger.operators.skew import collect_bounded
 
@@ -69,9 +70,9 @@ def cutoff(day: Column, window_days: int | Column) -> Column:
 def eligible(items: DataFrame, window_days: int | Column) -> DataFrame:
     """Cheap tests first: a URL, not unchanged, not older than the window."""
     published = times.parse_published(F.col("published"))
-    return (items.where(F.coalesce(F.col("url"), F.lit("")) != "")
-            .where(F.coalesce(F.col("changed"), F.lit(True)))
-            .withColumn("published_at", published)
+    rows = (items.where(F.coalesce(F.col("url"), F.lit("")) != "")
+            .where(F.coalesce(F.col("changed"), F.lit(True))))
+    return (computed(rows, {"published_at": published})
             .where(F.col("published_at").isNull()
                    | (F.col("published_at") >= cutoff(F.col("day"), window_days))))
 
@@ -96,16 +97,18 @@ def with_hits(items: DataFrame, rules: Rules) -> DataFrame:
     """Add match_text, model_hits, topic_hits and section."""
     rows = items.withColumn(
         "match_text", F.concat(T.text(F.col("title")), F.lit(" "), T.text(F.col("summary"))))
-    rows = rows.withColumn("_folded", T.fold_case(F.col("match_text")))
+    rows = computed(rows, {"match_text": F.col("match_text"),
+                           "_folded": T.fold_case(F.col("match_text"))})
     body, folded = F.col("match_text"), F.col("_folded")
-    rows = rows.select("*", T.keyword_hits(body, folded, rules.model_keywords).alias("model_hits"),
-                       *[T.keyword_hits(body, folded, t.keywords).alias(f"_t{i}")
-                         for i, t in enumerate(rules.topics)])
-    hits = {t.name: F.col(f"_t{i}") for i, t in enumerate(rules.topics)}
+    names = {t.name: f"_t{i}" for i, t in enumerate(rules.topics)}
+    rows = computed(rows, {
+        "model_hits": T.keyword_hits(body, folded, rules.model_keywords),
+        **{names[t.name]: T.keyword_hits(body, folded, t.keywords) for t in rules.topics}})
+    hits = {name: F.col(column) for name, column in names.items()}
     merged = F.flatten(F.array(*hits.values())) if hits else T.empty_strings()
-    return (rows.withColumn("topic_hits", F.array_sort(F.array_distinct(merged)))
-            .withColumn("section", section_column(rules, F.col("tier"), hits))
-            .drop("_folded", *[f"_t{i}" for i in range(len(rules.topics))]))
+    rows = rows.withColumn("topic_hits", F.array_sort(F.array_distinct(merged)))
+    return (rows.withColumn("section", section_column(rules, F.col("tier"), hits))
+            .drop("_folded", *names.values()))
 
 
 def qualified(items: DataFrame, rules: Rules, window_days: int | Column = 3) -> DataFrame:
@@ -116,7 +119,7 @@ def qualified(items: DataFrame, rules: Rules, window_days: int | Column = 3) ->
 
 def with_identity(items: DataFrame) -> DataFrame:
     """Add canonical_url, source_item_id and snapshot_hash."""
-    return (items.withColumn("canonical_url", canonical_url(F.col("url")))
+    return (computed(items, {"canonical_url": canonical_url(F.col("url"))})
             .withColumn("source_item_id",
                         ids.source_item_id(F.col("source_id"), F.col("canonical_url")))
             .withColumn("snapshot_hash", ids.snapshot_hash(
