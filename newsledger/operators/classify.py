@@ -93,8 +93,17 @@ def section_column(rules: Rules, tier: Column, hits: dict[str, Column]) -> Colum
     return F.when(stays_out, fixed.SECTION_RELEASE).otherwise(chosen)
 
 
-def with_hits(items: DataFrame, rules: Rules) -> DataFrame:
-    """Add match_text, model_hits, topic_hits and section."""
+def _narrowed(hits: Column, topic: Topic, allowed: Column | None) -> Column:
+    if allowed is None:
+        return hits
+    return F.when(F.array_contains(allowed, topic.section), hits).otherwise(T.empty_strings())
+
+
+def with_hits(items: DataFrame, rules: Rules, allowed: Column | None = None) -> DataFrame:
+    """Add match_text, model_hits, topic_hits and section.
+
+    ``allowed`` (an array of sections) narrows the topics per row before scoring.
+    """
     rows = items.withColumn(
         "match_text", F.concat(T.text(F.col("title")), F.lit(" "), T.text(F.col("summary"))))
     rows = computed(rows, {"match_text": F.col("match_text"),
@@ -103,7 +112,8 @@ def with_hits(items: DataFrame, rules: Rules) -> DataFrame:
     names = {t.name: f"_t{i}" for i, t in enumerate(rules.topics)}
     rows = computed(rows, {
         "model_hits": T.keyword_hits(body, folded, rules.model_keywords),
-        **{names[t.name]: T.keyword_hits(body, folded, t.keywords) for t in rules.topics}})
+        **{names[t.name]: _narrowed(T.keyword_hits(body, folded, t.keywords), t, allowed)
+           for t in rules.topics}})
     hits = {name: F.col(column) for name, column in names.items()}
     merged = F.flatten(F.array(*hits.values())) if hits else T.empty_strings()
     rows = rows.withColumn("topic_hits", F.array_sort(F.array_distinct(merged)))
@@ -111,9 +121,10 @@ def with_hits(items: DataFrame, rules: Rules) -> DataFrame:
             .drop("_folded", *names.values()))
 
 
-def qualified(items: DataFrame, rules: Rules, window_days: int | Column = 3) -> DataFrame:
+def qualified(items: DataFrame, rules: Rules, window_days: int | Column = 3,
+              allowed: Column | None = None) -> DataFrame:
     """Eligible items with at least one hit."""
-    rows = with_hits(eligible(items, window_days), rules)
+    rows = with_hits(eligible(items, window_days), rules, allowed)
     return rows.where((F.size("model_hits") > 0) | (F.size("topic_hits") > 0))
 
 

@@ -115,3 +115,31 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return (df.withColumn("_rank", F.row_number().over(ranked))
             .where(F.col("_rank") <= count).drop("_rank"))
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str,
+                 step: float = 1.0) -> DataFrame:
+    """Exact median per key, without holding a key's values in one task.
+
+    Equal values combine on the map side. Counts per slice of ``step`` find the slice
+    that holds the middle; only that slice is ordered row by row.
+    """
+    keys = list(keys)
+    counts = (df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v"))
+              .agg(F.count("*").alias("_n")).withColumn("_slice", F.floor(F.col("_v") / step)))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("_m").over(whole)
+    slices = (counts.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_m"))
+              .select(*keys, "_slice", "_m", total.alias("_total"),
+                      F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_before"))
+              .withColumn("_low", F.floor((F.col("_total") + 1) / 2))
+              .withColumn("_high", F.floor(F.col("_total") / 2) + 1)
+              .where((F.col("_before") < F.col("_high"))
+                     & (F.col("_before") + F.col("_m") >= F.col("_low"))))
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_v")
+    rows = (counts.join(slices, [*keys, "_slice"])
+            .withColumn("_upto", F.col("_before") + F.sum("_n").over(inside)))
+    low = F.min(F.when(F.col("_upto") >= F.col("_low"), F.col("_v")))
+    high = F.min(F.when(F.col("_upto") >= F.col("_high"), F.col("_v")))
+    return rows.groupBy(*keys).agg(((low + high) / 2.0).alias(name))

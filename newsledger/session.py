@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,17 +37,26 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where nothing is set,
-    which means a single machine, a temporary folder stands in.
+    Only on a single machine, where nothing is named, a temporary folder stands in.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return named or tempfile.mkdtemp(prefix="newsledger-")
+
+
+def materialize(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Write an intermediate result once and read it back.
+
+    Used where one costly result feeds several branches or a loop. The table survives
+    the loss of executors, later reads prune columns, and its real size lets Spark
+    choose join strategies.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="newsledger-ckpt-"))
-    return df.checkpoint(eager=True)
+    rows = df.select(*keep) if keep else df
+    path = f"{shared_folder(spark).rstrip('/')}/newsledger-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
