@@ -262,9 +262,9 @@ def _scored(rows: DataFrame, duration: int) -> DataFrame:
                         .otherwise(0.0)))
     score = 100 * (
         _weight(0) * F.col("primary") + _weight(1) * effective_quality
-        + _weight(2) * F.col("qualification") + _weight(3) * F.col("novelty")
-        + _weight(4) * lag_score - _weight(5) * effective_noise
-        + _weight(6) * F.col("duplicate"))
+        + _weight(2) * F.col("qualification") + _weight(6) * F.col("duplicate")
+        + _weight(3) * F.col("novelty") + _weight(4) * lag_score
+        - _weight(5) * effective_noise)
     rows = rows.withColumn("_score", F.when(F.col("qualified") > 0, score).otherwise(0.0))
     low = F.col("cadence") == "low_frequency"
     decision = (
