@@ -13,13 +13,14 @@ from urllib.parse import urljoin, urlsplit
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from newsledger import fixed_values as fixed
 from newsledger.functions import text as T
 from newsledger.functions.urls import unescape_html
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff/Obershelp ratio; the order of the arguments matters."""
     return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)],
@@ -72,14 +73,14 @@ def _excerpt(body: str, patterns, limit: int) -> str:
 
 def excerpt(body: Column, patterns: Column, limit: int = 5000) -> Column:
     """Page head plus the text around the required patterns, up to a limit."""
-    @pandas_udf("string")
+    @pandas_udf(StringType())
     def cut(bodies: pd.Series, wanted: pd.Series) -> pd.Series:
         return pd.Series([_excerpt(b or "", [] if p is None else list(p), limit)
                           for b, p in zip(bodies, wanted)], dtype="object")
     return cut(body, patterns)
 
 
-@pandas_udf("array<string>")
+@pandas_udf(ArrayType(StringType()))
 def _resolved(found: pd.Series, base: pd.Series) -> pd.Series:
     out = []
     for candidates, origin in zip(found, base):
@@ -124,7 +125,7 @@ def _label(entry: dict) -> str:
                       separators=(",", ":")) if rule else "default"
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def compact_prices_json(prices: pd.Series) -> pd.Series:
     """Render nested prices given as JSON text."""
     return pd.Series([_render(json.loads(p)) if p is not None else None for p in prices],

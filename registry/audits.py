@@ -181,7 +181,7 @@ entries AS (SELECT DISTINCT 'src' || (user_id % {V.SOURCES}) AS source,
 caps AS (SELECT 'src' || (user_id % {V.SOURCES}) AS source, CAST(ts AS DATE) AS day,
   arg_max(CASE event_type WHEN 'purchase' THEN 'ok' WHEN 'error' THEN 'error' WHEN 'view' THEN
     'cached' WHEN 'click' THEN 'partial' ELSE 'skipped' END, (ts, event_id)) AS status,
-  max(ts) AS at FROM events GROUP BY ALL)"""
+  max(ts) AS last_at FROM events GROUP BY ALL)"""
 
 
 @register("community_scores", "WITH " + ENTRIES + "," + COMMUNITY + """,
