@@ -41,14 +41,15 @@ def salted_join(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str
                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Equi-join that spreads the hot keys of ``big`` over several tasks.
 
-    Rows of ``big`` with a hot key get a random split; ``other`` is repeated once per
-    split for those keys only. All other rows keep split 0.
+    Rows of ``big`` with a hot key get a split from a hash of the whole row, so a task
+    that runs again splits the same way; ``other`` is repeated once per split for those
+    keys only. All other rows keep split 0.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("the salted side must be the left side")
     hot = broadcast_if_small(hot_keys(big, keys, hot_rows))
     split = F.when(F.col("_splits").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_splits"))).cast("int")
+        F.pmod(F.xxhash64(*big.columns), F.col("_splits"))).cast("int")
     left = big.join(hot, list(keys), "left").withColumn("_salt", split).drop("_splits")
     right = (other.join(hot, list(keys), "left")
              .withColumn("_salt", F.explode(

@@ -83,27 +83,31 @@ def _title_keys(reps: DataFrame) -> DataFrame:
     """
     title = F.col("title_n")
     dated = reps.where(F.col("t").isNotNull() & (F.length(title) >= 13))
-    grams = F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.length(title) - 1), lambda i: F.substring(title, i, F.lit(2))))
-
-    ranked = F.array_sort(F.transform(grams, lambda g: F.struct(
-        _rarity(g).alias("r"), F.xxhash64(g).alias("h"), g.alias("g"))))
-    rows = computed(dated, {"_grams": ranked})
-    lost = F.floor(F.length(title) * _LOST).cast("int")
-    first = F.slice("_grams", F.lit(1), F.greatest(F.lit(1), lost + 1))
-    weak = F.when(F.size("_grams") <= lost, F.array(F.lit("weak"))).otherwise(T.empty_strings())
-    some = (F.size("tokens") - F.ceil(F.size("tokens") * 0.86) + 1).cast("int")
-    words = F.slice(F.array_sort("tokens"), F.lit(1), F.greatest(F.lit(1), some))
-    keys = F.concat(F.transform(first, lambda x: F.concat(F.lit("g"), x["g"])), weak,
-                    F.transform(words, lambda w: F.concat(F.lit("w"), w)))
+    rows = computed(dated, {"_keys": title_blocks(title, F.col("tokens"))})
     slot = F.floor(F.col("t") / SLOT)
     return (rows.select("day", "rep", "t", "ord", "title_n", "tokens", "mergeable",
-                        F.explode(keys).alias("_key"), F.array(slot, slot + 1).alias("_slots"))
+                        F.explode("_keys").alias("_key"), F.array(slot, slot + 1).alias("_slots"))
             .withColumn("_slot", F.explode("_slots"))
             .withColumn("key", F.concat_ws("\x00", "_key", "_slot"))
             .drop("_key", "_slot", "_slots"))
 
 
+def title_blocks(title: Column, tokens: Column) -> Column:
+    """Keys of a title; two titles at the threshold share at least one."""
+    grams = F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(title) - 1)),
+        lambda i: F.substring(title, i, F.lit(2))))
+    ranked = F.array_sort(F.transform(grams, lambda g: F.struct(
+        _rarity(g).alias("r"), F.xxhash64(g).alias("h"), g.alias("g"))))
+    lost = F.floor(F.length(title) * _LOST).cast("int")
+    first = F.slice(ranked, F.lit(1), F.greatest(F.lit(1), lost + 1))
+    weak = F.when(F.size(grams) <= lost, F.array(F.lit("weak"))).otherwise(T.empty_strings())
+    some = (F.size(tokens) - F.ceil(F.size(tokens) * 0.86) + 1).cast("int")
+    words = F.slice(F.array_sort(tokens), F.lit(1), F.greatest(F.lit(1), some))
+    return F.concat(F.transform(first, lambda x: F.concat(F.lit("g"), x["g"])), weak,
+                    F.transform(words, lambda w: F.concat(F.lit("w"), w)))
+
+
 def _rarity(gram: Column) -> Column:
     def place(letter: Column) -> Column:
         found = F.instr(F.lit(_COMMON), letter)
