@@ -143,3 +143,21 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str,
     low = F.min(F.when(F.col("_upto") >= F.col("_low"), F.col("_v")))
     high = F.min(F.when(F.col("_upto") >= F.col("_high"), F.col("_v")))
     return rows.groupBy(*keys).agg(((low + high) / 2.0).alias(name))
+
+
+def with_running_sum(df: DataFrame, bucket: Column, order: Sequence[str], value: Column,
+                     name: str) -> DataFrame:
+    """Add the running sum of ``value`` over the whole table in an explicit order.
+
+    Only the bucket totals, one row per bucket, meet in one task.
+    """
+    rows = df.withColumn("_bucket", bucket).withColumn("_value", value)
+    inside = (Window.partitionBy("_bucket").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, 0))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (rows.groupBy("_bucket").agg(F.sum("_value").alias("_total"))
+              .withColumn("_carry", F.coalesce(F.sum("_total").over(before), F.lit(0)))
+              .drop("_total"))
+    rows = _join_summary(rows.withColumn("_inside", F.sum("_value").over(inside)), totals, [])
+    return rows.withColumn(name, F.col("_inside") + F.col("_carry")).drop(
+        "_bucket", "_value", "_inside", "_carry")
