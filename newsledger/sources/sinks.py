@@ -33,7 +33,8 @@ def write_if_changed(df: DataFrame, path: str, key: str = "day") -> int:
     changed = materialize(changed)
     count = changed.count()
     if count:
-        (rows.join(changed, key, "left_semi").repartition(key).write.mode("overwrite")
+        # rebalance gathers a day's rows into few files and splits a day that is too large
+        (rows.join(changed, key, "left_semi").hint("rebalance", key).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
     return count
 
