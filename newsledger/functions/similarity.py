@@ -27,6 +27,20 @@ def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
                      dtype="float64")
 
 
+def ratio_or_zero(left: str, right: str, floor: float) -> float:
+    """The ratio, or 0 where a cheap upper bound already lies below ``floor``."""
+    match = SequenceMatcher(None, left, right)
+    return match.ratio() if match.quick_ratio() >= floor else 0.0
+
+
+def ratio_above(left: Column, right: Column, floor: float) -> Column:
+    """``sequence_ratio`` for callers that need only values from ``floor`` upward."""
+    @pandas_udf(DoubleType())
+    def bounded(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([ratio_or_zero(x, y, floor) for x, y in zip(a, b)], dtype="float64")
+    return bounded(left, right)
+
+
 def blend(ratio: Column, jaccard: Column) -> Column:
     return F.greatest(ratio, ratio * 0.6 + jaccard * 0.4)
 

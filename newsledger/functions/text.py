@@ -40,7 +40,9 @@ def visible_text(html: Column) -> Column:
 # --- keywords -----------------------------------------------------------------
 def fold_case(value: Column) -> Column:
     """Lower case with the letters that only a case-blind match would unify."""
-    return F.lower(F.translate(value, "ſıİ", "sii"))
+    for letter, plain in (("ſ", "s"), ("ı", "i"), ("İ", "i")):
+        value = F.replace(value, F.lit(letter), F.lit(plain))
+    return F.lower(value)
 
 
 def keyword_pattern(keyword: str) -> str:
@@ -48,16 +50,37 @@ def keyword_pattern(keyword: str) -> str:
     return rf"(?iu)(?<![0-9A-Za-z_])\Q{keyword}\E(?![0-9A-Za-z_])"
 
 
-def has_keyword(value: Column, folded: Column, keyword: str) -> Column:
-    """One keyword. The substring test rules most texts out before the pattern runs."""
+def _is_word(keyword: str) -> bool:
+    return keyword.isascii() and keyword.replace("_", "a").isalnum()
+
+
+def words_present(folded: Column, keywords: Iterable[str]) -> Column:
+    """Which of the one-word keywords occur: one pass over the text for all of them.
+
+    A keyword of word characters only is matched exactly when it is one of the text's
+    words, so cutting the text into words replaces a pattern per keyword.
+    """
+    words = sorted({k.lower() for k in keywords if _is_word(k)})
+    if not words:
+        return empty_strings()
+    return F.array_intersect(F.split(folded, "[^0-9a-z_]+"), F.array(*[F.lit(w) for w in words]))
+
+
+def has_keyword(value: Column, folded: Column, present: Column, keyword: str) -> Column:
+    """One keyword. The substring test rules most texts out before a pattern runs."""
     if not keyword.isascii():
         return F.lower(value).contains(keyword.lower())
+    if _is_word(keyword):
+        return F.array_contains(present, keyword.lower())
     return folded.contains(keyword.lower()) & value.rlike(keyword_pattern(keyword))
 
 
-def keyword_hits(value: Column, folded: Column, keywords: Iterable[str]) -> Column:
-    """Keywords found, in keyword order."""
-    tests = [F.when(has_keyword(value, folded, k), F.lit(k)) for k in keywords]
+def keyword_hits(value: Column, folded: Column, keywords: Iterable[str],
+                 present: Column | None = None) -> Column:
+    """Keywords found, in keyword order. ``present`` may be computed once beforehand."""
+    keywords = list(keywords)
+    present = words_present(folded, keywords) if present is None else present
+    tests = [F.when(has_keyword(value, folded, present, k), F.lit(k)) for k in keywords]
     return F.array_compact(F.array(*tests)) if tests else empty_strings()
 
 

@@ -108,17 +108,20 @@ def with_hits(items: DataFrame, rules: Rules, allowed: Column | None = None) ->
         "match_text", F.concat(T.text(F.col("title")), F.lit(" "), T.text(F.col("summary"))))
     rows = computed(rows, {"match_text": F.col("match_text"),
                            "_folded": T.fold_case(F.col("match_text"))})
-    body, folded = F.col("match_text"), F.col("_folded")
+    everything = [*rules.model_keywords, *rules.keywords()]
+    rows = computed(rows, {"_present": T.words_present(F.col("_folded"), everything)})
+    body, folded, present = F.col("match_text"), F.col("_folded"), F.col("_present")
     names = {t.name: f"_t{i}" for i, t in enumerate(rules.topics)}
     rows = computed(rows, {
-        "model_hits": T.keyword_hits(body, folded, rules.model_keywords),
-        **{names[t.name]: _narrowed(T.keyword_hits(body, folded, t.keywords), t, allowed)
+        "model_hits": T.keyword_hits(body, folded, rules.model_keywords, present),
+        **{names[t.name]: _narrowed(T.keyword_hits(body, folded, t.keywords, present), t,
+                                allowed)
            for t in rules.topics}})
     hits = {name: F.col(column) for name, column in names.items()}
     merged = F.flatten(F.array(*hits.values())) if hits else T.empty_strings()
     rows = rows.withColumn("topic_hits", F.array_sort(F.array_distinct(merged)))
     return (rows.withColumn("section", section_column(rules, F.col("tier"), hits))
-            .drop("_folded", *names.values()))
+            .drop("_folded", "_present", *names.values()))
 
 
 def qualified(items: DataFrame, rules: Rules, window_days: int | Column = 3,

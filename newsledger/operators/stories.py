@@ -19,8 +19,6 @@ The result equals reading the whole day in order.
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -85,7 +83,7 @@ def _title_keys(reps: DataFrame) -> DataFrame:
     dated = reps.where(F.col("t").isNotNull() & (F.length(title) >= 13))
     rows = computed(dated, {"_keys": title_blocks(title, F.col("tokens"))})
     slot = F.floor(F.col("t") / SLOT)
-    return (rows.select("day", "rep", "t", "ord", "title_n", "tokens", "mergeable",
+    return (rows.select("day", "rep", "t", F.length(title).alias("length"),
                         F.explode("_keys").alias("_key"), F.array(slot, slot + 1).alias("_slots"))
             .withColumn("_slot", F.explode("_slots"))
             .withColumn("key", F.concat_ws("\x00", "_key", "_slot"))
@@ -122,7 +120,7 @@ def _similar_enough(rows: DataFrame, later: str, earlier: str) -> DataFrame:
     bound = S.ratio_bound(F.length(a), F.length(b))
     rows = computed(rows, {"_j": ja, "_bound": bound})
     possible = S.blend(F.col("_bound"), F.col("_j")) >= THRESHOLD
-    rows = rows.where(possible).withColumn("_r", S.sequence_ratio(a, b))
+    rows = rows.where(possible).withColumn("_r", S.ratio_above(a, b, 0.7666))
     return (computed(rows, {"similarity": S.blend(F.col("_r"), F.col("_j"))})
             .where(F.col("similarity") >= THRESHOLD).drop("_j", "_bound", "_r"))
 
@@ -139,17 +137,27 @@ def _links(reps: DataFrame) -> DataFrame:
                       ["day", "key"], "left_semi")
 
     def side(name: str) -> DataFrame:
-        return small.select("day", "key", *[F.col(c).alias(f"{name}_{n}") for c, n in (
-            ("rep", "rep"), ("t", "t"), ("ord", "ord"), ("title_n", "title"),
-            ("tokens", "tokens"), ("mergeable", "mergeable"))])
-
-    pairs = (side("x").where("x_mergeable").join(side("y"), ["day", "key"])
-             .where((F.col("x_ord") > F.col("y_ord"))
-                    & (F.col("x_t") - F.col("y_t") <= SLOT)
-                    & (2.0 * F.least(F.length("x_title"), F.length("y_title"))
-                       >= 0.7666 * (F.length("x_title") + F.length("y_title"))))
-             .drop("key", "x_ord", "y_ord", "x_t", "y_t", "x_mergeable", "y_mergeable")
-             .dropDuplicates(["day", "x_rep", "y_rep"]))
+        return small.select("day", "key", *[F.col(c).alias(f"{name}_{c}")
+                                            for c in ("rep", "t", "length")])
+
+    # first only ids and lengths: a ratio of 0.86 bounds the lengths, a word key does not
+    bound = S.ratio_bound(F.col("x_length"), F.col("y_length"))
+    met = (side("x").join(side("y"), ["day", "key"])
+           .where((F.col("x_rep") < F.col("y_rep"))
+                  & (F.abs(F.col("x_t") - F.col("y_t")) <= SLOT)
+                  & ((bound >= THRESHOLD) | (F.col("key").startswith("w") & (bound >= 0.7666))))
+           .select("day", "x_rep", "y_rep").distinct())
+    title = F.struct("ord", "rep", "title_n", "tokens", "mergeable")
+    pairs = (met.join(reps.select("day", F.col("rep").alias("x_rep"), title.alias("_x")),
+                      ["day", "x_rep"])
+             .join(reps.select("day", F.col("rep").alias("y_rep"), title.alias("_y")),
+                   ["day", "y_rep"]))
+    x_later = F.col("_x.ord") > F.col("_y.ord")
+    pairs = pairs.select("day", F.when(x_later, F.col("_x")).otherwise(F.col("_y")).alias("_l"),
+                         F.when(x_later, F.col("_y")).otherwise(F.col("_x")).alias("_e"))
+    pairs = pairs.where("_l.mergeable").select(
+        "day", *[F.col(f"{s}.{c}").alias(f"{n}_{c.split('_')[0]}")
+                 for s, n in (("_l", "x"), ("_e", "y")) for c in ("rep", "title_n", "tokens")])
     similar = _similar_enough(pairs, "x", "y").select(
         "day", F.array("x_rep", "y_rep").alias("_reps"),
         F.concat(F.lit("p"), "x_rep", "y_rep").alias("link"))
@@ -220,8 +228,7 @@ class _Reader:
         top = 2.0 * min(len(a), len(b)) / ((len(a) + len(b)) or 1)
         if _similarity(a, item["tokens"], b, founder["tokens"], top) < THRESHOLD:
             return 0.0
-        return _similarity(a, item["tokens"], b, founder["tokens"],
-                           SequenceMatcher(None, a, b).ratio())
+        return _similarity(a, item["tokens"], b, founder["tokens"], S.ratio_or_zero(a, b, 0.7666))
 
     def by_known_url(self, item: dict) -> dict | None:
         for founder in self.by_url.get(item["canon"], ()):

@@ -41,6 +41,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input of a few files; larger inputs stay as they are split."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def _pick(k: Column, values: list[int]) -> Column:
     out = F.lit(values[-1])
     for i, value in enumerate(values[:-1]):
@@ -57,7 +63,7 @@ def page_title(html: Column) -> Column:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     pages = table(spark, sf_dir, "pages")
     n = pages.count()
     d, p = F.col("doc_id"), F.col("p")
