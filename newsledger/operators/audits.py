@@ -36,9 +36,7 @@ def rotating_batch(entries: DataFrame, history: DataFrame, limit: int) -> DataFr
 
 def daily_slot(entries: DataFrame, days: DataFrame, batch: int = 1) -> DataFrame:
     """The entries whose turn it is on each day; ``entry_ord`` counts from 0."""
-    size = entries.count()
-    if size == 0:
-        return days.join(entries, F.lit(False))
+    size = max(1, entries.count())
     turns = days.withColumn("entry_ord", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(min(batch, size) - 1)),
         lambda i: F.pmod(times.day_ordinal(F.col("day")) + i, F.lit(size)))))
@@ -70,11 +68,11 @@ def complete_days(log: DataFrame, required: DataFrame, end_day: Column) -> DataF
 
 def sample_days(complete: DataFrame, logged: DataFrame, end_day, count: int) -> DataFrame:
     """The newest complete days; an unfinished end day joins them while short."""
-    chosen = complete.orderBy(F.col("day").desc()).limit(count)
-    today = (logged.where(F.col("day") == end_day).select("day").distinct()
-             .join(chosen, "day", "left_anti"))
-    short = chosen.agg(F.count("*").alias("n")).where(F.col("n") < count)
-    return chosen.unionByName(today.join(F.broadcast(short), F.lit(True)).select("day"))
+    chosen = materialize(complete.orderBy(F.col("day").desc()).limit(count))
+    if chosen.count() >= count:
+        return chosen
+    today = logged.where(F.col("day") == end_day).select("day").distinct()
+    return chosen.unionByName(today.join(chosen, "day", "left_anti"))
 
 
 # --- community audit ----------------------------------------------------------

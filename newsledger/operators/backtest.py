@@ -61,7 +61,7 @@ def section_deltas(compared: DataFrame) -> DataFrame:
                  F.lit(1).alias("c"))))
     counts = compared.select(sides).groupBy("section").agg(
         F.sum("b").alias("baseline"), F.sum("c").alias("candidate"))
-    return (F.broadcast(sections).join(counts, "section", "left")
+    return (sections.join(counts, "section", "left")
             .fillna(0, ["baseline", "candidate"])
             .withColumn("delta", F.col("candidate") - F.col("baseline")))
 

@@ -1,4 +1,8 @@
-"""Reading the capture archive. Layout: ``<root>/day=YYYY-MM-DD/<source>.json``."""
+"""Reading the capture archive.
+
+Layout: ``<root>/day=YYYY-MM-DD/<source>.json`` and one ``fetch_log.json`` per day. Spark
+skips files whose names start with ``_``, so a log of that kind is landed without it.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,8 @@ from newsledger import schemas
 from newsledger.functions import ids
 from newsledger.operators.barrier import computed
 
+LOG = "fetch_log"
+
 
 def _names(column: str = "_metadata.file_name") -> Column:
     return F.regexp_replace(F.col(column), r"\.json$", "")
@@ -26,20 +32,18 @@ def _days(rows: DataFrame, first=None, last=None) -> DataFrame:
 
 def read_captures(spark: SparkSession, root: str, first=None, last=None,
                   schema: str = schemas.CAPTURE, strict: bool = True) -> DataFrame:
-    """One row per source and day. Files named ``_*`` are no captures.
+    """One row per source and day.
 
     ``strict`` fails on a broken file; otherwise broken files are left out.
     """
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    columns = schema if strict else schema + ", _corrupt_record STRING"
-    rows = (spark.read.schema(columns).option("multiLine", True).option("mode", mode)
-            .option("basePath", root).option("pathGlobFilter", "[!_]*.json")
+    mode = "FAILFAST" if strict else "DROPMALFORMED"
+    rows = (spark.read.schema(schema).option("multiLine", True).option("mode", mode)
+            .option("basePath", root).option("pathGlobFilter", "*.json")
             .json(f"{root}/day=*"))
-    rows = rows.withColumn("file", _names())
-    rows = _days(rows, first, last)
+    rows = rows.withColumn("file", _names()).where(F.col("file") != LOG)
     if not strict:
-        rows = rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    return rows
+        rows = rows.where(F.col("items").isNotNull() | F.col("status").isNotNull())
+    return _days(rows, first, last)
 
 
 def observations(captures: DataFrame) -> DataFrame:
@@ -72,7 +76,7 @@ def collection_identity(captures: DataFrame) -> DataFrame:
 def read_fetch_log(spark: SparkSession, root: str, first=None, last=None) -> DataFrame:
     """One row per day and source from ``_fetch_log.json`` files."""
     rows = (spark.read.schema(schemas.FETCH_LOG).option("multiLine", True)
-            .option("basePath", root).option("pathGlobFilter", "_fetch_log.json")
+            .option("basePath", root).option("pathGlobFilter", f"{LOG}.json")
             .json(f"{root}/day=*"))
     rows = _days(rows, first, last)
     return (rows.select("day", "run_mode", "fetched_at", "completed_at", "finished_at",
