@@ -11,7 +11,7 @@ from newsledger.functions import times, urls as U
 from newsledger.operators.barrier import computed
 from newsledger.operators.classify import Rules
 from newsledger.operators.features import Markers, community_features, item_quality
-from newsledger.operators.ordered import exact_median, first_wins, newest
+from newsledger.operators.ordered import exact_median, newest
 from newsledger.operators.routing import audit_item_key, eligible_items, route_items
 from newsledger.operators.signals import (
     audit_signals, baseline_lead, community_signals, effective_time, item_key, item_matches,
@@ -93,9 +93,10 @@ def newest_snapshots(captures: DataFrame, count: int) -> DataFrame:
 def unique_items(items: DataFrame, keys: Sequence[str] = ("source",)) -> DataFrame:
     """First version of every item, with its earliest time over all versions."""
     keys = [*keys, "item_key"]
-    earliest = items.groupBy(*keys).agg(F.min("ts").alias("first_ts"))
-    first = first_wins(items, keys, ["day", "item_ord"]).drop("ts")
-    return first.join(earliest, keys).withColumnRenamed("first_ts", "ts")
+    rest = [c for c in items.columns if c not in (*keys, "ts")]
+    first = F.min_by(F.struct(*rest), F.struct("day", "item_ord"))
+    return (items.groupBy(*keys).agg(first.alias("_row"), F.min("ts").alias("ts"))
+            .select(*keys, "_row.*", "ts"))
 
 
 def community_scores(entries: DataFrame, captures: DataFrame, items: DataFrame,

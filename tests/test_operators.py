@@ -311,3 +311,48 @@ def test_lineage_lookback(spark):
             story(days_on(4), "v", "OpenAI ships coding agent update today", [("w:8", "z", "")])]
     assert run_lineage(spark, pair, lookback=7)[(days_on(4), "v")]["link_reason"] == "title_similarity"
     assert run_lineage(spark, pair, lookback=3)[(days_on(4), "v")]["link_reason"] == "new"
+
+
+def test_running_sum_packs_a_budget(spark):
+    df = spark.createDataFrame([(i % 3, i, "x" * (i % 7)) for i in range(60)], "lane int, i int, body string")
+    rows = C.pack_to_budget(df, ["lane", "i"], F.struct("lane", F.floor(F.col("i") / 10)), 600)
+    upto = 0
+    for r in sorted(rows.collect(), key=lambda r: (r["lane"], r["i"])):
+        upto += r["bytes"]
+        assert r["upto"] == upto and r["kept"] == (upto <= 600)
+
+
+def test_expert_routes_and_quality(spark):
+    from newsledger.operators.features import expert_features, item_quality
+    from newsledger.operators.routing import route_items, with_defaults
+    base = dict(source="s", day=DAY, status="ok", role="candidate", routing="expert_author", track="expert_author",
+                tier="community", evidence_role="", partitions=["field_test", "research_synthesis"],
+                lookback_days=30, published="", changed=None, readable=None, external_url="", name="s")
+    rows = [
+        {**base, "item_ord": 1, "title": "We tested it", "url": "https://a.com/1", "summary": "",
+         "fulltext": "we ran a benchmark and an ablation", "external_urls": ["https://github.com/a/b"], "conflict_words": []},
+        {**base, "item_ord": 2, "title": "A guide", "url": "https://a.com/2", "summary": "",
+         "fulltext": "transformer inference and gradient optimization", "external_urls": [], "conflict_words": []},
+        {**base, "item_ord": 3, "title": "Our product", "url": "https://a.com/3", "summary": "",
+         "fulltext": "acme serving " + "x" * 500, "external_urls": [], "conflict_words": ["Acme"]},
+        {**base, "item_ord": 4, "title": "Nothing", "url": "https://a.com/4", "summary": "", "fulltext": "hello",
+         "external_urls": [], "conflict_words": []}]
+    schema = ("source string, day date, status string, role string, routing string, track string, tier string, "
+              "evidence_role string, partitions array<string>, lookback_days int, published string, changed boolean, "
+              "readable boolean, external_url string, name string, item_ord int, title string, url string, "
+              "summary string, fulltext string, external_urls array<string>, conflict_words array<string>")
+    items = with_defaults(expert_features(spark.createDataFrame(rows, schema)), "candidate")
+    assert "fulltext" not in items.columns
+    routed = item_quality(route_items(items, K.Rules.default()))
+    got = {r["item_ord"]: (r["partition"], r["quality"], r["conflict"], r["noise"]) for r in routed.collect()}
+    assert got == {1: ("field_test", True, False, False), 2: ("research_synthesis", True, False, False),
+                   3: ("research_synthesis", True, True, True)}
+
+
+def test_late_items(spark):
+    from newsledger.streaming.jobs import timely_items
+    rows = [(1, DAY, "2026-08-01", "2026-08-05T01:00:00Z"), (2, DAY, "", "2026-08-05T01:00:00Z"),
+            (3, DAY, "2026-08-02", "x"), (4, DAY, "2027-01-01", "x")]
+    df = spark.createDataFrame(rows, "i int, day date, published string, fetched_at string")
+    kept = {r["i"]: r["ts"] for r in timely_items(df).collect()}
+    assert set(kept) == {2, 3, 4} and kept[2] == dt.datetime(2026, 8, 5, 1)
