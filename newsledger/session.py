@@ -29,6 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName("newsledger")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "16g")))
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
