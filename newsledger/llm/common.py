@@ -18,8 +18,10 @@ BATCH_ROWS = 500
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound the rows that one batch brings to a Python worker."""
+    """Bound the rows that one batch brings to a Python worker, and let Spark delete shuffle
+    files once the step that wrote them has ended: steps pass written tables on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
