@@ -196,8 +196,12 @@ def close_pairs(own: np.ndarray, others: np.ndarray, radius: int
             d = np.bitwise_count(rows[None, :, 0] ^ others[part][:, None, 0])
             if own.shape[1] == 1:
                 j, i = np.nonzero(d <= radius)
-            else:  # the first lane alone rules most pairs out, the others decide
-                j, i = np.nonzero(d <= min(64, radius))
+            else:  # one lane at least has its share of the radius or less; all lanes decide
+                near = d <= radius // own.shape[1]
+                for lane in range(1, own.shape[1]):
+                    d = np.bitwise_count(rows[None, :, lane] ^ others[part][:, None, lane])
+                    near |= d <= radius // own.shape[1]
+                j, i = np.nonzero(near)
                 keep = distances(rows[i], others[part[j]]) <= radius
                 j, i = j[keep], i[keep]
             if len(i):
