@@ -36,8 +36,10 @@ CHUNK_ROWS = 2000
 SLOT = WINDOW_HOURS * 3_600_000_000
 # the most frequent letters first: blocks use the bigrams whose letters come last
 _COMMON = " etaoinsrhldcumfpgwybvk"
-# share of a title's bigrams that a partner at the threshold may lack, see _title_keys
-_LOST = 0.491
+# share of a title's bigrams that a partner at the threshold may lack, see _title_keys:
+# with M = 0.43 (a + b) and b <= 57/43 a, 2 (a - M) + (b - M) is largest for the shortest
+# partner, b = 43/57 a, where it is 28/57 a
+_LOST = (28, 57)
 
 
 def story_features(items: DataFrame) -> DataFrame:
@@ -71,8 +73,8 @@ def _title_keys(reps: DataFrame) -> DataFrame:
 
     * Ratio r = 2M/(a+b) over M matched characters. A title of length a loses at most
       2(a-M) + (b-M) bigrams against its partner, which for r >= 0.86 is at most
-      0.491 a. Two sets that share all but so many elements share one among their
-      first 0.491 a + 1 elements under any common order; the order here puts bigrams
+      28/57 a. Two sets that share all but so many elements share one among their
+      first 28/57 a + 1 elements under any common order; the order here puts bigrams
       of rare letters first to keep blocks small. Titles with too few distinct bigrams
       for the bound meet in a block of their own.
     * Jaccard: the same argument with 0.14 of the tokens.
@@ -80,7 +82,9 @@ def _title_keys(reps: DataFrame) -> DataFrame:
     Every key is cut by time into overlapping blocks of two slots.
     """
     title = F.col("title_n")
-    dated = reps.where(F.col("t").isNotNull() & (F.length(title) >= 13))
+    # one title of a pair has 18 characters at least, and a ratio below 0.7666 cannot reach
+    # the threshold even with equal words: the other has 12 or more
+    dated = reps.where(F.col("t").isNotNull() & (F.length(title) >= 12))
     rows = computed(dated, {"_keys": title_blocks(title, F.col("tokens"))})
     slot = F.floor(F.col("t") / SLOT)
     return (rows.select("day", "rep", "t", F.length(title).alias("length"),
@@ -97,7 +101,7 @@ def title_blocks(title: Column, tokens: Column) -> Column:
         lambda i: F.substring(title, i, F.lit(2))))
     ranked = F.array_sort(F.transform(grams, lambda g: F.struct(
         _rarity(g).alias("r"), F.xxhash64(g).alias("h"), g.alias("g"))))
-    lost = F.floor(F.length(title) * _LOST).cast("int")
+    lost = F.floor(F.length(title) * _LOST[0] / _LOST[1] + 1e-9).cast("int")
     first = F.slice(ranked, F.lit(1), F.greatest(F.lit(1), lost + 1))
     weak = F.when(F.size(grams) <= lost, F.array(F.lit("weak"))).otherwise(T.empty_strings())
     some = (F.size(tokens) - F.ceil(F.size(tokens) * 0.86) + 1).cast("int")

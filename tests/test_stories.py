@@ -174,3 +174,29 @@ def test_independence_counts_origins(spark):
     assert {r["carrier"] for r in records.collect()} == {"direct", "hn"}
     found = S.independence(records).first()
     assert found["coverage_count"] == 2 and found["estimated_independent_origin_count"] == 1
+
+
+def day_rows(titles):
+    at = dt.datetime(2026, 8, 1, 9, 0)
+    return [(at.date(), 1, "p", i, title, f"https://h{i}.com/{i}", "", f"s{i}", "official", "x", "",
+             at + dt.timedelta(minutes=30 * i), "", "") for i, title in enumerate(titles)]
+
+
+def reasons(spark, titles):
+    rows = with_identity(spark.createDataFrame(day_rows(titles), SCHEMA))
+    return [r["reason"] for r in
+            S.cluster_items(rows).orderBy("item_ord").select("reason").collect()]
+
+
+def test_short_founder_is_found(spark):
+    """12 characters against 18: ratio 0.80, equal words, similarity 0.88."""
+    got = reasons(spark, ["ab cd ef gh!", "ab cd ef gh!!!!!!!"])
+    assert got[0] == "founder" and got[1] == "title_similarity"
+
+
+def test_lost_share_is_exact(spark):
+    """At 57 characters a partner may lack 28 bigrams, so 29 keys are needed."""
+    title = "".join(chr(0x4E00 + i) for i in range(57))
+    frame = spark.createDataFrame([(title, ["x"])], "t string, w array<string>")
+    keys = frame.select(S.title_blocks(F.col("t"), F.col("w")).alias("k")).first()["k"]
+    assert sum(k.startswith("g") for k in keys) == 29
