@@ -5,8 +5,6 @@ They run only on rows that cheap column expressions could not decide.
 
 from __future__ import annotations
 
-import json
-import re
 from difflib import SequenceMatcher
 from urllib.parse import urljoin, urlsplit
 
@@ -56,42 +54,63 @@ def ratio_bound(length_a: Column, length_b: Column) -> Column:
     return F.when(total == 0, 1.0).otherwise(2.0 * F.least(length_a, length_b) / total)
 
 
-def _windows(body: str, patterns) -> list[tuple[int, int]]:
-    """Merged text windows around every pattern hit."""
-    spans = sorted(hit.span() for p in patterns for hit in re.finditer(p, body, re.IGNORECASE))
-    merged: list[tuple[int, int]] = []
-    for first, last in spans:
-        first, last = max(0, first - 320), min(len(body), last + 560)
-        if merged and first <= merged[-1][1] + 80:
-            first, last = merged[-1][0], max(merged.pop()[1], last)
-        merged.append((first, last))
-    return merged
-
-
-def _excerpt(body: str, patterns, limit: int) -> str:
-    windows = _windows(body, patterns) if len(body) > limit and len(patterns) else []
-    if not windows:
-        return body[:limit]
-    kept = body[:600].rstrip()
-    for first, last in windows:
-        piece = body[first:last].strip()
-        room = limit - len(kept) - len(fixed.EXCERPT_SEPARATOR)
-        if piece and piece not in kept:
-            if room <= 0:
-                break
-            kept += fixed.EXCERPT_SEPARATOR + piece[:room]
-            if len(piece) > room:
-                break
-    return kept[:limit]
+#: Characters an excerpt keeps: of the page head, before and after a hit, and the gap between
+#: windows that still joins them.
+HEAD_CHARS, BEFORE_CHARS, AFTER_CHARS, JOIN_CHARS = 600, 320, 560, 80
+
+
+def _hits(body: Column, pattern: Column) -> Column:
+    """Start and end (exclusive, from 0) of each match: lengths of the pieces between the
+    matches and of the matches, summed up."""
+    loose = F.concat(F.lit("(?i)"), pattern)
+    steps = F.arrays_zip(F.transform(F.split(body, loose, -1), F.char_length).alias("gap"),
+                         F.transform(F.regexp_extract_all(body, loose, F.lit(0)), F.char_length)
+                         .alias("hit"))
+    start = F.struct(F.lit(0).alias("at"),
+                     F.array().cast("array<struct<first:int,last:int>>").alias("spans"))
+
+    def step(held: Column, s: Column) -> Column:
+        first = held["at"] + F.coalesce(s["gap"], F.lit(0))
+        last = first + F.coalesce(s["hit"], F.lit(0))
+        span = F.array(F.struct(first.alias("first"), last.alias("last")))
+        return F.struct(last.alias("at"), F.when(s["hit"].isNull(), held["spans"]).otherwise(
+            F.concat(held["spans"], span)).alias("spans"))
+    return F.aggregate(steps, start, step)["spans"]
+
+
+def _joined(spans: Column) -> Column:
+    """Sorted windows, those that lie close together as one."""
+    none = F.array().cast("array<struct<first:int,last:int>>")
+
+    def step(held: Column, s: Column) -> Column:
+        end = F.try_element_at(held, F.lit(-1))
+        wider = F.struct(end["first"].alias("first"),
+                         F.greatest(end["last"], s["last"]).alias("last"))
+        return F.when(s["first"] <= end["last"] + JOIN_CHARS,
+                      F.concat(F.slice(held, F.lit(1), F.size(held) - 1), F.array(wider))
+                      ).otherwise(F.concat(held, F.array(s)))
+    return F.aggregate(F.array_sort(spans), none, step)
 
 
 def excerpt(body: Column, patterns: Column, limit: int = 5000) -> Column:
-    """Page head plus the text around the required patterns, up to a limit."""
-    @pandas_udf(StringType())
-    def cut(bodies: pd.Series, wanted: pd.Series) -> pd.Series:
-        return pd.Series([_excerpt(b or "", [] if p is None else list(p), limit)
-                          for b, p in zip(bodies, wanted)], dtype="object")
-    return cut(body, patterns)
+    """Page head plus the text around the required patterns, up to ``limit`` characters."""
+    body = T.text(body)
+    size, gap = F.char_length(body), F.lit(fixed.EXCERPT_SEPARATOR)
+    around = F.flatten(F.transform(patterns, lambda p: F.transform(
+        _hits(body, p), lambda s: F.struct(
+            F.greatest(F.lit(0), s["first"] - BEFORE_CHARS).alias("first"),
+            F.least(size, s["last"] + AFTER_CHARS).alias("last")))))
+    pieces = F.filter(F.transform(_joined(around), lambda s: F.regexp_replace(
+        F.substring(body, s["first"] + 1, s["last"] - s["first"]), r"^\s+|\s+$", "")),
+        lambda t: t != "")
+    head = F.regexp_replace(F.substring(body, 1, HEAD_CHARS), r"\s+$", "")
+
+    def add(held: Column, piece: Column) -> Column:  # the cut at the limit ends what grows past it
+        return F.when(F.contains(held, piece) | (F.char_length(held) >= limit), held).otherwise(
+            F.concat(held, gap, piece))
+    plain = F.substring(body, 1, limit)
+    return F.when((size <= limit) | (F.size(patterns) <= 0) | (F.size(pieces) == 0), plain).otherwise(
+        F.substring(F.aggregate(pieces, head, add), 1, limit))
 
 
 @pandas_udf(ArrayType(StringType()))
@@ -119,28 +138,20 @@ def extract_links(body: Column, base: Column) -> Column:
     return _resolved(found, base)
 
 
-def _render(prices) -> str:
-    if isinstance(prices, list):
-        return " | ".join(
-            f"{_label(entry)}: {_render(entry.get('prices'))}" if isinstance(entry, dict)
-            else f"组{number}: {entry}" for number, entry in enumerate(prices, 1))
-    if not isinstance(prices, dict):
-        return str(prices)
-    usual = [k for k in ("input_mtok", "cache_read_mtok", "cache_write_mtok", "output_mtok")
-             if k in prices]
-    return ", ".join(
-        f"{k}=${prices[k]}/M" if k.endswith("_mtok") else f"{k}={prices[k]}"
-        for k in usual + sorted(set(prices) - set(usual)))
-
-
-def _label(entry: dict) -> str:
-    rule = entry.get("constraint")
-    return json.dumps(rule, ensure_ascii=False, sort_keys=True,
-                      separators=(",", ":")) if rule else "default"
+def compact_prices_json(prices: Column) -> Column:
+    """Render prices given as JSON text: one map, or a list of maps under conditions.
 
+    A condition is shown as JSON with sorted keys. Values stay as JSON writes them; anything
+    that is neither a map nor a list stays as it is.
+    """
+    one = T.compact_prices(F.from_json(prices, "map<string,string>"))
+    entries = F.from_json(prices, "array<struct<constraint:string,prices:map<string,string>>>")
 
-@pandas_udf(StringType())
-def compact_prices_json(prices: pd.Series) -> pd.Series:
-    """Render nested prices given as JSON text."""
-    return pd.Series([_render(json.loads(p)) if p is not None else None for p in prices],
-                     dtype="object")
+    def line(entry: Column) -> Column:
+        rule = F.to_json(F.try_parse_json(entry["constraint"]))
+        label = F.when(F.coalesce(rule, F.lit("{}")).isin("{}", "null", "\"\""), "default")
+        return F.concat(F.coalesce(label, rule), F.lit(": "),
+                        F.coalesce(T.compact_prices(entry["prices"]), F.lit("")))
+    opens = F.substring(F.ltrim(prices), 1, 1)
+    return F.when(opens == "{", one).when(
+        opens == "[", F.array_join(F.transform(entries, line), " | ")).otherwise(prices)

@@ -186,7 +186,7 @@ def compact_prices(prices: Column) -> Column:
     rest = F.array_sort(F.filter(F.map_keys(prices), lambda k: ~k.isin(preferred)))
 
     def part(key: Column) -> Column:
-        value = F.element_at(prices, key).cast("string")
+        value = F.coalesce(F.element_at(prices, key).cast("string"), F.lit("null"))
         return F.when(key.endswith("_mtok"),
                       F.concat(key, F.lit("=$"), value, F.lit("/M"))).otherwise(
             F.concat(key, F.lit("="), value))

@@ -1,76 +1,77 @@
-"""Landed feed bodies to items: RSS 2.0 or Atom, one row per entry."""
+"""Landed feed bodies to items: RSS or Atom, one row per entry, read by Spark's XML parser."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from xml.etree import ElementTree
-
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsledger.functions import similarity, text as T, urls as U
 from newsledger.operators.barrier import computed
 
-# fixed values: prefixed names used by feeds
-CONTENT = "{http://purl.org/rss/1.0/modules/content/}encoded"
-DUBLIN_DATE = "{http://purl.org/dc/elements/1.1/}date"
+#: Characters of an item's summary that the record format keeps.
 SUMMARY_CHARS = 2000
+
+# fixed values: elements of an entry, by feed format; a repeated element is an array
+_TEXTS = "array<string>"
+RSS_ENTRY = (f"struct<title:{_TEXTS},link:{_TEXTS},pubDate:{_TEXTS},`dc:date`:{_TEXTS},"
+             f"description:{_TEXTS},`content:encoded`:{_TEXTS}>")
+ATOM_ENTRY = (f"struct<title:{_TEXTS},link:array<struct<_href:string>>,updated:{_TEXTS},"
+              f"published:{_TEXTS},summary:{_TEXTS},content:{_TEXTS}>")
+#: RSS lists its items in a channel, RDF beside it.
+FEED = (f"channel struct<item:array<{RSS_ENTRY}>>, item array<{RSS_ENTRY}>, "
+        f"entry array<{ATOM_ENTRY}>, _broken string")
 _FIELDS = ["title", "url", "published", "summary", "fulltext"]
 
 
-def _text(entry, *names: str) -> str:
-    """First non-blank text among child elements."""
-    found = (entry.findtext(name) for name in names)
-    return next((value.strip() for value in found if value and value.strip()), "")
+def _filled(*values: Column) -> Column:
+    """The first text that is not blank, trimmed; empty if there is none."""
+    tidy = F.array(*[U.strip(T.text(F.get(value, F.lit(0)))) for value in values])
+    return F.coalesce(F.get(F.filter(tidy, lambda t: t != ""), F.lit(0)), F.lit(""))
 
 
-def _entry(entry, url: str, dates: tuple[str, ...], bodies: tuple[str, ...]) -> tuple:
-    texts = [t for t in (_text(entry, name) for name in bodies) if t]
-    return (_text(entry, "title"), url, _text(entry, *dates), texts[0] if texts else "",
-            " ".join(texts))
+def _item(title: Column, url: Column, date: Column, bodies: list[Column]) -> Column:
+    written = F.filter(F.array(*[_filled(b) for b in bodies]), lambda t: t != "")
+    return F.struct(_filled(title).alias("title"), url.alias("url"), date.alias("published"),
+                    F.coalesce(F.get(written, F.lit(0)), F.lit("")).alias("summary"),
+                    F.array_join(written, " ").alias("fulltext"))
 
 
-def _entries(body: bytes) -> list[tuple]:
-    """Entries of one body. Default namespaces are dropped, prefixed ones stay."""
-    root = ElementTree.fromstring(re.sub(rb'\sxmlns="[^"]*"', b"", body))
-    rss = root.findall(".//item")
-    if rss:
-        return [_entry(e, _text(e, "link"), ("pubDate", DUBLIN_DATE), ("description", CONTENT))
-                for e in rss]
-    # Atom: the updated date counts before the published one
-    return [_entry(e, link.get("href", "") if (link := e.find("link")) is not None else "",
-                   ("updated", "published"), ("summary", "content"))
-            for e in root.findall(".//entry")]
+def _rss_item(e: Column) -> Column:
+    return _item(e["title"], _filled(e["link"]), _filled(e["pubDate"], e["dc:date"]),
+                 [e["description"], e["content:encoded"]])
 
 
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows, failures = [], []
-        for source, fetched, body in zip(batch["source_id"], batch["fetched_at"], batch["body"]):
-            try:
-                rows += [(source, fetched, i, *entry, None)
-                         for i, entry in enumerate(_entries(bytes(body)))]
-            except ElementTree.ParseError as error:
-                failures.append((source, fetched, -1, None, None, None, None, None, str(error)))
-        yield pd.DataFrame(rows + failures, columns=["source_id", "fetched_at", "item_ord",
-                                                     *_FIELDS, "error"])
+def _atom_item(e: Column) -> Column:
+    """An entry's own link is its first; the date of its update counts before the first one."""
+    return _item(e["title"], T.text(F.get(e["link"]["_href"], F.lit(0))),
+                 _filled(e["updated"], e["published"]), [e["summary"], e["content"]])
 
 
 def parse_feeds(bodies: DataFrame) -> DataFrame:
     """Entries of landed bodies (source_id, fetched_at, body); a broken body gives one
     row with ``error``."""
-    schema = "source_id string, fetched_at string, item_ord int, " + ", ".join(
-        f"{c} string" for c in [*_FIELDS, "error"])
-    return bodies.select("source_id", "fetched_at", "body").mapInPandas(_parse, schema)
-
-
-def feed_items(entries: DataFrame) -> DataFrame:
+    read = F.from_xml(F.decode("body", "utf-8"), FEED,
+                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    rows = bodies.select("source_id", "fetched_at", read.alias("_x"))
+    rss = F.coalesce("_x.channel.item", "_x.item")
+    items = F.when(F.size(F.coalesce(rss, F.array())) > 0, F.transform(rss, _rss_item)).otherwise(
+        F.transform("_x.entry", _atom_item))
+    broken = F.col("_x").isNull() | F.col("_x._broken").isNotNull()
+    found = rows.where(~broken).select(
+        "source_id", "fetched_at", F.posexplode(items).alias("item_ord", "_e"))
+    failed = rows.where(broken).select(
+        "source_id", "fetched_at", F.lit(-1).alias("item_ord"),
+        *[F.lit(None).cast("string").alias(c) for c in _FIELDS],
+        F.lit("not well-formed XML").alias("error"))
+    return found.select("source_id", "fetched_at", "item_ord", *[f"_e.{c}" for c in _FIELDS],
+                        F.lit(None).cast("string").alias("error")).unionByName(failed)
+
+
+def feed_items(entries: DataFrame, summary_chars: int = SUMMARY_CHARS) -> DataFrame:
     """Capture items: links are mined from the full text before tags go."""
     full = F.when(F.col("fulltext") != "", F.col("fulltext")).otherwise(F.col("summary"))
     rows = entries.where(F.col("error").isNull()).withColumn("_full", full)
     rows = rows.withColumn("external_urls", similarity.extract_links(F.col("_full"), F.col("url")))
     rows = computed(rows, {
         "x_links": U.status_links(F.col("_full")), "fulltext": T.strip_tags(F.col("_full")),
-        "summary": F.substring(T.strip_tags(F.col("summary")), 1, SUMMARY_CHARS)})
+        "summary": F.substring(T.strip_tags(F.col("summary")), 1, summary_chars)})
     return rows.drop("_full", "error")

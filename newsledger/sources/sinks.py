@@ -9,9 +9,14 @@ from newsledger.session import materialize
 
 
 def content_fingerprint(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Order-insensitive content hash per partition: row count and sum of row hashes."""
+    """Order-insensitive content hash per partition: row count and sum of row hashes.
+
+    Rows are hashed as JSON with their NULLs, since a hash of columns skips a NULL and with it
+    the place where it stood.
+    """
     rest = sorted(c for c in df.columns if c not in keys)
-    row = F.xxhash64(*rest).cast("decimal(38,0)")
+    row = F.xxhash64(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"})).cast(
+        "decimal(38,0)")
     return df.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum(row).alias("hash"))
 
 
@@ -28,7 +33,9 @@ def write_if_changed(df: DataFrame, path: str, key: str = "day") -> int:
         old = content_fingerprint(spark.read.schema(rows.schema).parquet(path), [key])
         same = new.join(old, [key, "rows", "hash"], "left_semi").select(key)
         changed = new.join(same, key, "left_anti").select(key)
-    except AnalysisException:
+    except AnalysisException as error:  # only a table that is not there yet is written whole
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         changed = new.select(key)
     changed = materialize(changed)
     count = changed.count()

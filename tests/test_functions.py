@@ -139,3 +139,24 @@ def test_excerpt_and_prices(spark):
     assert flat.select(T.compact_prices(F.col("p"))).first()[0] == "input_mtok=$3/M, output_mtok=$2/M, z=1"
     nested = '[{"prices":{"input_mtok":3}},{"constraint":{"a":1},"prices":{"x":2}}]'
     assert apply(spark, S.compact_prices_json, [nested]) == ['default: input_mtok=$3/M | {"a":1}: x=2']
+
+
+def test_excerpt_windows(spark):
+    gap = "\n… [必要内容片段] …\n"
+    line = "".join(f"{i:05d} " for i in range(1500))
+    body = line[:3000] + "PRICE one" + line[3000:3100] + "price two " + line[3100:]
+    far = body.index("01400")
+    rows = spark.createDataFrame([(body, ["price \\w+", "01400"])], "b string, p array<string>")
+    got = rows.select(S.excerpt(F.col("b"), F.col("p"), 4000)).first()[0].split(gap)
+    second = body.index("price two") + len("price two")
+    assert got == [body[:600].rstrip(), body[3000 - 320:second + 560].strip(),
+                   body[far - 320:far + 5 + 560].strip()]
+    cut = rows.select(S.excerpt(F.col("b"), F.col("p"), 700)).first()[0]
+    assert len(cut) == 700 and cut.startswith(body[:599])
+
+
+def test_price_forms(spark):
+    nested = ('[{"constraint":{"b":1,"a":{"z":2}},"prices":{"output_mtok":0.5,"k":null}},'
+              '{"constraint":null,"prices":{}}]')
+    assert apply(spark, S.compact_prices_json, [nested, "3", None]) == [
+        '{"a":{"z":2},"b":1}: output_mtok=$0.5/M, k=null | default: ', "3", None]

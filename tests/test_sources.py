@@ -185,3 +185,31 @@ def test_source_health_attempts(spark):
     assert (rows["a"]["attempt_days"], rows["a"]["success_rate"], rows["a"]["last_success_at"]) == (2, 0.5, "t1")
     assert (rows["b"]["attempt_days"], rows["b"]["success_rate"]) == (0, None)
     assert (rows["c"]["attempt_days"], rows["c"]["success_rate"]) == (1, 0.0)
+
+
+def test_nulls_keep_their_place_in_fingerprints(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "day string, a long, b long"
+    first = spark.createDataFrame([("d", 1, None)], schema)
+    second = spark.createDataFrame([("d", None, 1)], schema)
+    assert sinks.write_if_changed(first, path) == 1
+    assert sinks.write_if_changed(first, path) == 0
+    assert sinks.write_if_changed(second, path) == 1
+    assert [tuple(r) for r in spark.read.schema(schema).parquet(path).select(
+        "day", "a", "b").collect()] == [("d", None, 1)]
+
+
+def test_feed_forms(spark):
+    rdf = (b'<rdf:RDF xmlns:rdf="r"><channel><title>c</title></channel><item><title> A </title>'
+           b"<link>https://a.com/</link><pubDate> </pubDate></item><item/></rdf:RDF>")
+    atom = (b'<feed><entry><title type="html">T</title><summary>s</summary><content type="html">'
+            b"&lt;b&gt;c&lt;/b&gt;</content></entry></feed>")
+    bodies = spark.createDataFrame(
+        [("r", "t", bytearray(rdf)), ("a", "t", bytearray(atom)), ("n", "t", None),
+         ("e", "t", bytearray(b"<rss><channel/></rss>"))],
+        "source_id string, fetched_at string, body binary")
+    rows = feeds.parse_feeds(bodies).collect()
+    got = {(r["source_id"], r["item_ord"]): r for r in rows}
+    assert (got["r", 0]["title"], got["r", 0]["url"], got["r", 0]["published"]) == (
+        "A", "https://a.com/", "")
+    assert got["r", 1]["title"] == "" and got["a", 0]["fulltext"] == "s <b>c</b>"
+    assert got["n", -1]["error"] and not any(k[0] == "e" for k in got)
