@@ -163,11 +163,12 @@ def best_configuration(points: DataFrame) -> DataFrame:
 
 
 def quote_changes(quotes: DataFrame) -> DataFrame:
-    """Percent change of each close against the symbol's preceding non-null close."""
+    """Percent change of each close against the symbol's preceding non-null close; NULL where
+    that close is zero."""
     rows = quotes.where(F.col("close").isNotNull())
     rows = with_lag(rows, ["symbol"], F.trunc("ts", "month"), ["ts"], ["close"])
-    return rows.withColumn("change_pct", (F.col("close") - F.col("prev_close"))
-                           / F.col("prev_close") * 100).drop("is_first")
+    return rows.withColumn("change_pct", F.try_divide(
+        F.col("close") - F.col("prev_close"), F.col("prev_close")) * 100).drop("is_first")
 
 
 def flat_price_snapshot(models: DataFrame, keywords: Sequence[str]) -> DataFrame:

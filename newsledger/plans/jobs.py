@@ -113,8 +113,12 @@ def analysis_context(items: DataFrame, rules: Rules, claim_table: DataFrame,
              .unionByName(claims.broad_candidates(matches).select(
                  F.lit(3).alias("rank"), "claim_id", F.col("source_item_id").alias("ref"),
                  F.lit("").alias("text"))))
-    packed = claims.pack_to_budget(lanes, ["rank", "claim_id", "ref"],
-                                   F.struct("rank", "claim_id"), budget)
+    # Within a lane the claims with most signals come first and lose their details last.
+    signals = details.groupBy("claim_id").agg((-F.max("signals")).alias("less"))
+    lanes = (lanes.join(signals, "claim_id", "left")
+             .withColumn("less", F.coalesce("less", F.lit(0))))
+    packed = claims.pack_to_budget(lanes, ["rank", "less", "claim_id", "ref"],
+                                   F.struct("rank", "less", "claim_id"), budget).drop("less")
     return {"directory": claims.active_claims(claim_table), "rows": packed.where("kept"),
             "omitted": packed.where(~F.col("kept")).select("rank", "claim_id", "ref"),
             "stances": claims.stance_counts(evidence)}
@@ -132,11 +136,17 @@ def inbox_add(records: DataFrame, existing: DataFrame, items: DataFrame,
             "unbound": bound.where(F.col("binding") != "ok")}
 
 
-def evidence_add(additions: DataFrame, evidence: DataFrame, claim_table: DataFrame) -> Tables:
+def evidence_add(additions: DataFrame, evidence: DataFrame, claim_table: DataFrame,
+                 items: DataFrame, collections: DataFrame, audit_urls: DataFrame) -> Tables:
+    """Validate, bind to captures and dedupe; what no capture confirms is set apart."""
     checked = materialize(claims.addition_errors(additions))
-    valid = checked.where(F.size("errors") == 0).drop("errors")
+    bound = materialize(claims.binding_check(
+        checked.where(F.size("errors") == 0).drop("errors"), items, collections, audit_urls,
+        "link"))
+    valid = bound.where(F.col("binding") == "ok").drop("binding")
     return {"outcomes": claims.evidence_additions(valid, evidence, claim_table),
-            "invalid": checked.where(F.size("errors") > 0)}
+            "invalid": checked.where(F.size("errors") > 0),
+            "unbound": bound.where(F.col("binding") != "ok")}
 
 
 def month_review(inbox: DataFrame, claim_table: DataFrame, month_end: Column,

@@ -129,7 +129,8 @@ def incidents(bodies: DataFrame) -> DataFrame:
 
 
 def quotes(bodies: DataFrame) -> DataFrame:
-    """Landed charts: last price, change of the last two closes, and the closes as text."""
+    """Landed charts: last price, change of the last two closes (NULL after a close of zero),
+    and the closes as text."""
     rows = computed(bodies, {"_b": F.from_json("body", CHART)})
     days = F.filter(F.arrays_zip(F.col("_b.timestamp").alias("t"), F.col("_b.close").alias("c")),
                     lambda x: x["c"].isNotNull() & x["t"].isNotNull())
@@ -140,7 +141,8 @@ def quotes(bodies: DataFrame) -> DataFrame:
         F.format_string("%.2f", x["c"]))), "，")
     return rows.select("source_id", F.col("_b.symbol").alias("symbol"),
                        F.col("_b.price").alias("price"),
-                       F.when(F.size(closes) >= 2, (last - before) / before * 100)
+                       F.when(F.size(closes) >= 2,
+                              F.try_divide(last - before, before) * 100)
                        .alias("change_pct"), listed.alias("closes"))
 
 
