@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -38,15 +40,26 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only on a single machine, where nothing is named, a temporary folder stands in.
+    Only where everything runs in one process and nothing is named, one temporary folder an
+    application stands in; it goes when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and not spark.sparkContext.master.startswith("local"):
+    if named is not None:
+        return named
+    context = spark.sparkContext
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return named or tempfile.mkdtemp(prefix="newsledger-")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        folder = tempfile.mkdtemp(prefix="newsledger-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _LOCAL_FOLDERS[context.applicationId] = folder
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def materialize(df: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsledger.sources import apis, captures, feeds, sinks
+from newsledger.sources import apis, captures, feeds
 from registry import register, views as V
 from registry.digests import joined
 
@@ -74,12 +74,12 @@ def price_catalog(spark, sf_dir):
 
 
 @register("quotes", """
-SELECT o_orderkey, round((o_totalprice - c_acctbal) / c_acctbal * 100, 4) AS change_pct,
+SELECT o_orderkey, round((o_totalprice - c_acctbal) / nullif(c_acctbal, 0) * 100, 4) AS change_pct,
   strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m-%d') AS day FROM orders
-JOIN customer ON c_custkey = o_custkey WHERE c_acctbal <> 0""")
+JOIN customer ON c_custkey = o_custkey""")
 def quotes(spark, sf_dir):
     orders, customers = V.table(spark, sf_dir, "orders"), V.table(spark, sf_dir, "customer")
-    rows = orders.join(customers, orders.o_custkey == customers.c_custkey).where("c_acctbal <> 0")
+    rows = orders.join(customers, orders.o_custkey == customers.c_custkey)
     at = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
     body = F.to_json(F.struct(
         F.lit("X").alias("symbol"), F.col("o_totalprice").alias("price"),
@@ -131,19 +131,3 @@ def collection_identity(spark, sf_dir):
         "doc_id", F.concat(F.lit("src"), "doc_id").alias("source"), F.lit("n").alias("name"),
         F.array(item).alias("items"))
     return captures.collection_identity(landed).select("doc_id", "collection_id", "collection_hash")
-
-
-@register("file_manifest")
-def file_manifest(spark, sf_dir):
-    V.table(spark, sf_dir, "region")
-    return sinks.manifest(spark, sf_dir, "*.parquet")
-
-
-@register("manifest_diff")
-def manifest_diff(spark, sf_dir):
-    """The given files against a target without one of them and with another altered."""
-    files = file_manifest(spark, sf_dir)
-    target = (files.where(F.col("path") != "nation.parquet")
-              .withColumn("sha256", F.when(F.col("path") == "pages.parquet", "0")
-                          .otherwise(F.col("sha256"))))
-    return sinks.manifest_diff(files, target)

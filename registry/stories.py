@@ -10,29 +10,18 @@ from registry import register, views as V
 from registry.digests import day_text
 from registry.audits import community_entries
 
-_BUILT: dict[tuple[str, str, str], object] = {}
-
-
-def _once(spark, sf_dir, name, build):
-    """The story and lineage tables are written once and read by every view of them."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _BUILT:
-        _BUILT[key] = materialize(build())
-    return _BUILT[key]
-
 
 def story_items(spark, sf_dir):
-    return _once(spark, sf_dir, "items", lambda: S.cluster_items(
-        V.classified(spark, sf_dir, first_url_wins=False)))
+    return materialize(S.cluster_items(V.classified(spark, sf_dir, first_url_wins=False)))
 
 
-def story_table(spark, sf_dir):
-    return _once(spark, sf_dir, "stories", lambda: S.stories(story_items(spark, sf_dir)))
+def story_table(spark, sf_dir, items=None):
+    return S.stories(story_items(spark, sf_dir) if items is None else items)
 
 
 def lineage_table(spark, sf_dir):
-    return _once(spark, sf_dir, "lineages", lambda: L.build_lineages(
-        story_table(spark, sf_dir), story_items(spark, sf_dir)))
+    items = story_items(spark, sf_dir)
+    return L.build_lineages(materialize(story_table(spark, sf_dir, items)), items)
 
 
 @register("stories")
