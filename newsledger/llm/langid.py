@@ -123,11 +123,15 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, max_rows: int = MAX_ROW
     rows = docs.where(docs["lang"].isNotNull()).select(
         docs["doc_id"].alias("__id"), docs["lang"].alias("lang"),
         full_text(docs["text"]).alias("text"))
-    # A hash of the id thins the rows before the exact bound.
+    # A hash of the id thins the rows where they lie. Only if rows that repeat an id exceed
+    # the bound even so do they pass through a limit.
     total = rows.count()
     share = F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < int(
-        (1 << 20) * min(1.0, 1.05 * max_rows / max(1, total)))
-    chosen = rows.where(share).limit(max_rows).select("lang", "text")
+        (1 << 20) * (0.95 * max_rows / total if total > max_rows else 1))
+    chosen = rows.where(share)
+    if chosen.count() > max_rows:
+        chosen = chosen.limit(max_rows)
+    chosen = chosen.select("lang", "text")
     sums = (chosen.mapInArrow(lambda b: _partial_sums(b, dimensions),
                               "lang string, at int, value double")
             .groupBy("lang", "at").agg(F.sum("value").alias("value")))
