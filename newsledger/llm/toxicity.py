@@ -28,6 +28,7 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from newsledger.llm.common import full_text, id_bucket
@@ -163,6 +164,17 @@ def _count_known(batches, known: frozenset[str]):
                                      ["entry", "n"])
 
 
+def _places(batches, known: frozenset[str]):
+    """The entries of each toxic text, which is named by its hash."""
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        found = [sorted(known & _entries(fold(t))) for t in texts]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1
+                       for t in texts], pa.int64()), pa.array(found, pa.list_(pa.string()))],
+            ["name", "entries"])
+
+
 def _surroundings(batches, model: Model):
     """Documents with each phrase around a match, by label."""
     automaton = model.automaton()
@@ -192,13 +204,12 @@ def _training_features(batches, model: Model):
             ["total", "rate", "toxic"])
 
 
-def choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int,
-           max_entries: int = MAX_ENTRIES) -> dict[str, float]:
-    """Weights of the entries that mark toxic documents: log ratio of the two shares.
+def rate(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int
+         ) -> list[tuple[str, float]]:
+    """Entries that mark toxic documents with their weight, the log ratio of the two shares.
 
-    An entry needs a ratio of 5 and a gap that chance does not explain (z of 6). A longer
-    entry is left out where a shorter stem finds more, a shorter one where a longer entry
-    finds as much.
+    An entry needs a ratio of 5 and a gap that chance does not explain (z of 6). Clearest gaps
+    come first, of equal ones the longer entry.
     """
     rated = []
     for entry, a in toxic.items():
@@ -209,14 +220,28 @@ def choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean:
         z = (a - n_toxic * share) / max(spread, 1e-9)
         if weight >= math.log(5) and z >= 6:
             rated.append((-round(z, 6), -len(entry.rstrip("*")), entry, weight))
+    return [(entry, weight) for *_, entry, weight in sorted(rated)]
+
+
+def choose(rated: list[tuple[str, float]], found_in: dict[str, set[int]], support: int,
+           max_entries: int = MAX_ENTRIES) -> dict[str, float]:
+    """The lexicon: entries in order of their gap that each explain documents of their own.
+
+    ``found_in`` has the different toxic texts of each entry. An entry must occur in
+    ``support`` texts that fewer than two entries before it explain; words that only share a
+    few copied texts with real ones drop out. Entries that begin alike explain once.
+    """
     kept: dict[str, float] = {}
-    for _, _, entry, weight in sorted(rated):
-        stem = entry.rstrip("*")
-        if any(kept.get(stem[:n] + "*", -9.0) >= weight - 0.7 for n in STEMS if n <= len(stem)):
-            continue
-        if any(k.startswith(stem) and toxic[k] >= 0.95 * toxic[entry] for k in kept):
+    explained: Counter = Counter()
+    for entry, weight in rated:
+        texts, stem = found_in.get(entry, set()), entry.rstrip("*")
+        alike = set().union(*(found_in[k] for k in kept
+                              if k.rstrip("*").startswith(stem) or stem.startswith(k.rstrip("*"))))
+        fresh = [t for t in texts - alike if explained[t] < 2]
+        if len(fresh) < support:
             continue
         kept[entry] = weight
+        explained.update(texts - alike)
         if len(kept) == max_entries:
             break
     return kept
@@ -265,7 +290,15 @@ def learn(docs: DataFrame, labels: DataFrame, lexicon: dict[str, float] | None =
              rows.where("toxic = 0")
              .mapInArrow(lambda b: _count_known(b, known), "entry string, n long")
              .groupBy("entry").agg(F.sum("n").alias("n")).collect()}
-    weights = choose(toxic, clean, n_toxic, n_clean)
+    rated = rate(toxic, clean, n_toxic, n_clean)
+    marks = frozenset(entry for entry, _ in rated)
+    found_in: dict[str, set[int]] = defaultdict(set)
+    for name, entries in (rows.where("toxic = 1")
+                          .mapInArrow(lambda b: _places(b, marks),
+                                      "name long, entries array<string>").collect()):
+        for entry in entries:
+            found_in[entry].add(name)
+    weights = choose(rated, found_in, support)
     weights.update({fold(k): v for k, v in (lexicon or {}).items()})
     bare = Model(weights, frozenset(fold(p) for p in exceptions))
     around = defaultdict(lambda: [0, 0])
