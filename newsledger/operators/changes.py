@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsledger.functions import similarity, text as T
 from newsledger.operators.barrier import computed
 from newsledger.operators.ordered import with_lag, with_running_max
-from newsledger.operators.skew import collect_bounded
+from newsledger.session import materialize
 
 # fixed values: title prefixes of page captures
 PAGE_PREFIX = {"snapshot": "[页面快照] ", "updated": "[页面有更新] ",
@@ -66,12 +66,9 @@ def page_items(changes: DataFrame, limit: int = 5000) -> DataFrame:
 
 # --- snapshots ----------------------------------------------------------------
 def _with_previous_day(snapshots: DataFrame) -> DataFrame:
-    """Every snapshot day with the one before it: a calendar, one row per day."""
-    days = [r["day"] for r in collect_bounded(
-        snapshots.select("day").distinct().orderBy("day"), 100_000)]
-    spark = snapshots.sparkSession
-    pairs = [(day, days[i - 1] if i else None) for i, day in enumerate(days)]
-    return F.broadcast(spark.createDataFrame(pairs, "day date, prev_day date"))
+    """Every snapshot day with the one before it: a calendar, one short row a day."""
+    days = snapshots.select("day").distinct()
+    return days.withColumn("prev_day", F.lag("day").over(Window.orderBy("day")))
 
 
 def _against_previous(snapshots: DataFrame, values: Sequence[str]) -> DataFrame:
@@ -102,47 +99,48 @@ def series_delta(snapshots: DataFrame, threshold: float = 2.0) -> DataFrame:
             .withColumn("delta", F.col("value") - F.col("prev_value")).drop("known"))
 
 
-def retained_counts(snapshots: DataFrame, pairs: DataFrame) -> DataFrame:
-    """For each (day, earlier): keys of the earlier snapshot still present."""
-    keys = snapshots.select("day", "key").distinct()
+def retained_counts(keys: DataFrame, pairs: DataFrame) -> DataFrame:
+    """For each (day, earlier) of ``pairs``: keys of the earlier snapshot still present."""
     earlier = keys.withColumnRenamed("day", "earlier")
-    return (earlier.join(F.broadcast(pairs), "earlier").join(keys, ["day", "key"], "left_semi")
+    return (earlier.join(pairs, "earlier").join(keys, ["day", "key"], "left_semi")
             .groupBy("day", "earlier").agg(F.count("*").alias("retained")))
 
 
-def guarded_snapshots(snapshots: DataFrame, ratio: float = 0.5) -> list[dict]:
-    """Which snapshots may replace the state; a collapsed one may not.
+def guarded_snapshots(snapshots: DataFrame, ratio: float = 0.5) -> DataFrame:
+    """(day, earlier, keys, ratio, accepted): which snapshots may replace the state.
 
-    A snapshot is compared with the last accepted one. Counting runs on Spark for
-    many day pairs at once; the walk over the days is on the driver and only asks for
-    another count when a rejection moves the comparison to an earlier day.
+    A snapshot is compared with the last accepted one, and a collapsed one is rejected. All
+    days are compared at once, first with the day before; where that was rejected the
+    comparison moves to the last day accepted so far, until no comparison moves. The days
+    before the first wrong comparison are right in every round, so the end is what a walk
+    over the days in order gives. A whole rejected run moves in one round.
     """
-    spark = snapshots.sparkSession
-    sizes = {r["day"]: r["n"] for r in collect_bounded(
-        snapshots.groupBy("day").agg(F.countDistinct("key").alias("n")), 100_000)}
-    days = sorted(sizes)
-    counts: dict[tuple, int] = {}
-    wanted = set(zip(days[1:], days[:-1]))
+    keys = materialize(snapshots.select("day", "key").distinct())
+    sizes = materialize(keys.groupBy("day").agg(F.count("*").alias("keys")))
+    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    judged = sizes.withColumn("accepted", F.lit(True))
+    counted = materialize(retained_counts(keys, sizes.select(
+        "day", F.lit(None).cast("date").alias("earlier")).limit(0)))
+    mark = None
     while True:
-        if wanted:
-            pairs = spark.createDataFrame(sorted(wanted), "day date, earlier date")
-            found = collect_bounded(retained_counts(snapshots, pairs), 100_000)
-            counts.update({pair: 0 for pair in wanted})
-            counts.update({(r["day"], r["earlier"]): r["retained"] for r in found})
-        report, accepted, wanted = [], None, set()
-        for day in days:
-            if accepted is not None and (day, accepted) not in counts:
-                # ask for this day and the following ones against the same state
-                wanted = {(later, accepted) for later in days
-                          if later >= day and (later, accepted) not in counts}
-                break
-            kept = counts.get((day, accepted), 0) / sizes[accepted] if accepted else None
-            good = kept is None or kept >= ratio
-            report.append({"day": day, "earlier": accepted, "keys": sizes[day],
-                           "ratio": kept, "accepted": good})
-            accepted = day if good else accepted
-        if not wanted:
-            return report
+        against = materialize(judged.select("day", "keys", F.last(
+            F.when(F.col("accepted"), F.col("day")), True).over(before).alias("earlier")))
+        moved = against.agg(F.bit_xor(F.xxhash64("day", F.coalesce(
+            "earlier", F.lit("0001-01-01").cast("date")))), F.count("*")).first()
+        if moved == mark:
+            return judged.select("day", "earlier", "keys", "ratio", "accepted")
+        mark = moved
+        asked = against.where(F.col("earlier").isNotNull()).select("day", "earlier")
+        fresh = asked.join(counted.select("day", "earlier"), ["day", "earlier"], "left_anti")
+        found = (fresh.join(retained_counts(keys, fresh), ["day", "earlier"], "left")
+                 .withColumn("retained", F.coalesce("retained", F.lit(0))))
+        counted = materialize(counted.unionByName(found))
+        state = sizes.select(F.col("day").alias("earlier"), F.col("keys").alias("before"))
+        share = F.col("retained") / F.col("before")
+        judged = materialize(
+            against.join(counted, ["day", "earlier"], "left").join(state, "earlier", "left")
+            .select("day", "earlier", "keys", share.alias("ratio"),
+                    F.coalesce(share >= ratio, F.lit(True)).alias("accepted")))
 
 
 def first_seen(sightings: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

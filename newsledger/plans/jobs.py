@@ -170,11 +170,10 @@ def claim_quality(claim_table: DataFrame, evidence: DataFrame) -> Tables:
 def change_events(pages: DataFrame, prices: DataFrame, series: DataFrame,
                   threshold: float = 2.0) -> Tables:
     """Page, price and index changes; a collapsed price snapshot is passed over."""
-    report = changes.guarded_snapshots(prices)
-    good = [r["day"] for r in report if r["accepted"]]
+    good = changes.guarded_snapshots(prices).where("accepted").select("day")
     values = [c for c in prices.columns if c not in ("day", "key")]
     return {"pages": changes.page_changes(changes.page_probe(pages)),
-            "prices": changes.snapshot_diff(prices.where(F.col("day").isin(good)), values),
+            "prices": changes.snapshot_diff(prices.join(good, "day", "left_semi"), values),
             "series": changes.series_delta(series, threshold)}
 
 

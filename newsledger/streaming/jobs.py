@@ -68,14 +68,14 @@ def snapshot_stream(spark: SparkSession, snapshots: DataFrame, values: Sequence[
     def step(batch: DataFrame, number: int) -> None:
         known = materialize(state.previous(number))
         rows = materialize(known.unionByName(batch.select("day", "key", *values)))
-        report = changes.guarded_snapshots(rows, ratio)
-        good = [r["day"] for r in report if r["accepted"]]
-        bad = [(r["day"], r["ratio"]) for r in report if not r["accepted"]]
-        accepted = rows.where(F.col("day").isin(good)) if good else rows.limit(0)
-        found = changes.snapshot_diff(accepted, list(values)) if good else events.empty()
+        report = materialize(changes.guarded_snapshots(rows, ratio))
+        good = report.where("accepted").select("day")
+        accepted = rows.join(good, "day", "left_semi")
+        found = changes.snapshot_diff(accepted, list(values))
         events.write(found.select(*[f.name for f in events.empty().schema]), number)
-        rejected.write(spark.createDataFrame(bad, "day date, ratio double"), number)
-        state.write(accepted.where(F.col("day") == max(good)) if good else accepted, number)
+        rejected.write(report.where("not accepted").select("day", "ratio"), number)
+        last = good.agg(F.max("day").alias("day"))
+        state.write(accepted.join(last, "day", "left_semi"), number)
 
     return run_batches(snapshots, step, checkpoint), events, rejected
 

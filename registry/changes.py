@@ -111,11 +111,9 @@ SELECT strftime(day, '%Y-%m-%d') AS day, strftime(earlier, '%Y-%m-%d') AS earlie
 def snapshot_guard(spark, sf_dir):
     lines = V.table(spark, sf_dir, "lineitem").select(
         F.to_date(F.trunc("l_shipdate", "month")).alias("day"), F.col("l_partkey").alias("key"))
-    report = C.guarded_snapshots(lines.distinct())
-    rows = [(str(r["day"]), None if r["earlier"] is None else str(r["earlier"]), r["keys"],
-             None if r["ratio"] is None else round(r["ratio"], 6), r["accepted"]) for r in report]
-    return spark.createDataFrame(
-        rows, "day string, earlier string, keys bigint, ratio double, accepted boolean")
+    return C.guarded_snapshots(lines).select(
+        *[F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("day", "earlier")], "keys",
+        F.round("ratio", 6).alias("ratio"), "accepted")
 
 
 @register("first_seen", """

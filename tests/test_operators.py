@@ -356,3 +356,25 @@ def test_late_items(spark):
     df = spark.createDataFrame(rows, "i int, day date, published string, fetched_at string")
     kept = {r["i"]: r["ts"] for r in timely_items(df).collect()}
     assert set(kept) == {2, 3, 4} and kept[2] == dt.datetime(2026, 8, 5, 1)
+
+
+def test_guard_equals_a_walk_over_the_days(spark):
+
+    from newsledger.operators import changes
+    rng = random.Random(11)
+    day0, rows, sizes = dt.date(2026, 1, 1), [], {}
+    for i in range(40):  # runs of collapsed snapshots, and states that drift
+        low = 3 * (i // 9)
+        keys = range(low, low + 20) if rng.random() < 0.6 else range(90, 90 + rng.randrange(1, 6))
+        sizes[day0 + dt.timedelta(i)] = set(keys)
+        rows += [(day0 + dt.timedelta(i), f"k{k}") for k in keys]
+    want, state = [], None
+    for day, keys in sorted(sizes.items()):
+        share = len(sizes[state] & keys) / len(sizes[state]) if state else None
+        good = share is None or share >= 0.5
+        want.append((day, state, len(keys), share, good))
+        state = day if good else state
+    got = changes.guarded_snapshots(spark.createDataFrame(rows, "day date, key string"))
+    assert [tuple(r) for r in got.orderBy("day").collect()] == want
+    assert sum(not w[4] for w in want) > 8
+    assert changes.guarded_snapshots(got.select("day", F.lit("x").alias("key")).limit(0)).count() == 0

@@ -49,8 +49,7 @@ def test_snapshots_with_guard(spark, tmp_path):
     query, events, rejected = J.snapshot_stream(
         spark, stream, ["price"], f"{tmp_path}/out", f"{tmp_path}/ck")
     query.awaitTermination(240)
-    report = C.guarded_snapshots(snaps)
-    good = [r["day"] for r in report if r["accepted"]]
+    good = [r["day"] for r in C.guarded_snapshots(snaps).where("accepted").collect()]
     assert [r["day"] for r in rejected.read().collect()] == [days(6)[3]]
     names = [f.name for f in events.empty().schema]
     batch = C.snapshot_diff(snaps.where(F.col("day").isin(good)), ["price"]).select(names)
