@@ -11,7 +11,12 @@ bound), of those only shards behind its own, since the reverse visit would find
 pairs. Inside a shard the same pruning goes on with local vantage points until small blocks
 are compared bit by bit. The tree is fitted on a bounded sample; every fingerprint is
 routed, so no pair within the radius is lost. A shard reports a spanning forest of its
-links, never all pairs of a group.
+links, never all pairs of a group. A shard of more than ``CHUNK_PRINTS`` fingerprints is cut
+into chunks, and each pair of chunks is searched by a task of its own.
+
+Pairs as far apart as a Jaccard similarity of 0.8 leaves them are beyond the triangle bound
+of one tree over the corpus. There ``near_groups`` cuts shards by rare shingles that such
+pairs provably share, and the vantage points prune inside them.
 
 Defined results: null text is empty text; without words the fingerprint is zero, linked like
 any other; fewer than k words are one shingle. Null ids stay and take part; equal rows get
@@ -27,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from newsledger.llm.common import Forest, by_group, full_text, one_per_key, tasks, without
 from newsledger.llm.components import components
@@ -38,6 +43,10 @@ SEED = 42
 SAMPLE = 16_384
 #: Fingerprints that live in one shard, about.
 SHARD_ROWS = 8_000
+#: Fingerprints of one shard that a task holds at once.
+CHUNK_PRINTS = 250_000
+#: Counters of shingles, by the leading bits of their hash: they order shingles by rarity.
+COUNTERS = 1 << 16
 #: Documents of one candidate group that one task compares with each other.
 BLOCK_DOCS = 2_000
 #: Below this size a set of fingerprints is compared directly.
@@ -98,13 +107,46 @@ def fingerprint(words: int, bits: int = 64):
     return run
 
 
-def sketch(words: int, bits: int):
-    """Column function: fingerprint of the distinct shingles, and their number."""
-    @F.pandas_udf("fp binary, size int")
+def shingle_counts(texts: DataFrame, words: int) -> np.ndarray:
+    """How many texts have shingles of each counter, over all rows of ``texts`` (text)."""
+    def count(batches):
+        held = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                found = np.unique(shingle_hashes(text, words)) >> np.uint64(48)
+                held += np.bincount(found.astype(np.int64), minlength=COUNTERS)
+        at = np.nonzero(held)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(held[at])],
+                                         ["at", "n"])
+
+    out = np.zeros(COUNTERS, np.int64)
+    for row in (texts.select("text").mapInArrow(count, "at int, n long")
+                .groupBy("at").agg(F.sum("n").alias("n")).collect()):  # COUNTERS rows at most
+        out[row["at"]] = row["n"]
+    return out
+
+
+def rare_shingles(hashes: np.ndarray, similarity: float, counts: np.ndarray) -> np.ndarray:
+    """The rarest of a set's shingles, so many that two sets of at least this Jaccard
+    similarity share one of them: n - ceil(similarity * n) + 1, in one order for all sets.
+
+    A set without shingles is that of the one hash 0.
+    """
+    if not len(hashes):
+        return np.zeros(1, np.uint64)
+    keep = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1
+    rank = counts[(hashes >> np.uint64(48)).astype(np.int64)]
+    return hashes[np.lexsort((hashes, rank))[:keep]]
+
+
+def sketch(words: int, bits: int, similarity: float, counts: np.ndarray):
+    """Column function: fingerprint of the distinct shingles, and the rarest of them, packed."""
+    @F.pandas_udf("fp binary, rare binary")
     def run(texts: pd.Series) -> pd.DataFrame:
         made = [np.unique(shingle_hashes(t, words)) for t in texts]
         return pd.DataFrame({"fp": [majority(h, bits // 64) for h in made],
-                             "size": [len(h) for h in made]})
+                             "rare": [rare_shingles(h, similarity, counts).tobytes()
+                                      for h in made]})
     return run
 
 
@@ -208,34 +250,141 @@ def close_pairs(own: np.ndarray, others: np.ndarray, radius: int
                 yield a[i], part[j]
 
 
-def _shard_links(batches, width: int, radius: int):
-    """Spanning forest of the links inside each shard."""
-    for table in by_group(batches, "shard"):
-        own = unpack(table.filter(table["home"]).column("fps").to_pylist(), width)
-        guests = unpack(table.filter(pa.compute.invert(table["home"])).column("fps").to_pylist(),
-                        width)
-        rows = np.concatenate([own, guests])
-        forest = Forest(len(rows))
-        for i, j in close_pairs(own, rows, radius):
-            strict = i < j
-            links = list(forest.link(i[strict], j[strict]))
-            if links:
-                x, y = (np.array(c) for c in zip(*links))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r.tobytes() for r in rows[x]], pa.binary()),
-                     pa.array([r.tobytes() for r in rows[y]], pa.binary())], ["a", "b"])
-
-
-def link_fingerprints(prints: DataFrame, radius: int, bits: int = 64,
-                      band: str | None = None, sample: int = SAMPLE,
-                      shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Links (a, b) of different fingerprints within ``radius`` bits: the same components
-    as all pairs, as a forest a shard.
+def linked_pairs(rows: np.ndarray, own: int, radius: int
+                 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs that connect all rows within ``radius`` of one of the first ``own`` rows.
 
-    ``prints``: distinct binary column ``fp``, and with ``band`` an integer column; then only
-    fingerprints of equal or neighbouring bands are linked.
+    Rows within the radius of one vantage point are connected through it and need no
+    comparison with each other, so a dense group costs about its size.
     """
-    spark, width = prints.sparkSession, bits // 64
+    mine, guests = np.arange(own), np.arange(own, len(rows))
+    while len(mine) > DIRECT:
+        d = distances(rows[mine], rows[mine[0]])
+        ball, rest = mine[d <= radius], mine[d > radius]
+        if len(ball) < len(mine) // 8:
+            break
+        yield np.full(len(ball), mine[0]), ball
+        others = np.concatenate([rest, guests])
+        for i, j in close_pairs(rows[ball], rows[others], radius):
+            yield ball[i], others[j]
+        mine = rest
+    others = np.concatenate([mine, guests])
+    for i, j in close_pairs(rows[mine], rows[others], radius):
+        yield mine[i], others[j]
+
+
+def _links(own: list[bytes], guests: list[bytes], width: int, radius: int
+           ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Spanning forest of the links of one shard, as fingerprints."""
+    home = unpack(own, width)
+    rows = np.concatenate([home, unpack(guests, width)])
+    forest = Forest(len(rows))
+    for i, j in linked_pairs(rows, len(home), radius):
+        strict = i != j
+        links = list(forest.link(i[strict], j[strict]))
+        if links:
+            x, y = (np.array(c) for c in zip(*links))
+            yield rows[x], rows[y]
+
+
+FOUND = "a binary, b binary, shard long, home boolean, fps binary"
+
+
+def _shard_links(batches, width: int, radius: int, limit: int | None):
+    """From rows (shard, home, packed fingerprints) sorted by shard, home ones first: links
+    (a, b) of each shard. A shard of more than ``limit`` fingerprints comes out again instead,
+    in chunks of about that many."""
+    types = (pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.binary())
+    names = ["a", "b", "shard", "home", "fps"]
+    out: list[tuple] = []
+    shard, held, size, large = None, {True: [], False: []}, 0, False
+
+    def chunk():
+        for home, parts in held.items():
+            if parts:
+                out.append((None, None, shard, home, b"".join(parts)))
+            parts.clear()
+
+    def close():
+        if large:
+            chunk()
+        elif held[True] and size > 1:
+            for a, b in _links(held[True], held[False], width, radius):
+                out.extend((x.tobytes(), y.tobytes(), None, None, None) for x, y in zip(a, b))
+        held[True].clear()
+        held[False].clear()
+
+    def flush():
+        made = pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+        out.clear()
+        return made
+
+    for batch in batches:
+        # Rows that are alone in their shard with one fingerprint link nothing.
+        shards = batch.column("shard").to_numpy(zero_copy_only=False)
+        if not len(shards):
+            continue
+        apart = np.ones(len(shards) + 1, bool)
+        apart[1:-1] = shards[1:] != shards[:-1]
+        apart[0], apart[-1] = shards[0] != shard, False
+        lengths = pa.compute.binary_length(batch.column("fps")).to_numpy(zero_copy_only=False)
+        keep = ~(apart[:-1] & apart[1:] & (lengths == 8 * width))
+        for s, home, fps in zip(*(c.to_pylist() for c in batch.filter(pa.array(keep)).columns)):
+            if s != shard:
+                close()
+                shard, size, large = s, 0, False
+            elif limit and size > 0 and (size + len(fps) // (8 * width)) > limit:
+                chunk()
+                size, large = 0, True
+            held[home].append(fps)
+            size += len(fps) // (8 * width)
+            if len(out) >= 2_000 or large and out:
+                yield flush()
+    close()
+    if out:
+        yield flush()
+
+
+def _search(dealt: DataFrame, width: int, radius: int, limit: int) -> DataFrame:
+    """Links (a, b) from dealt rows (shard, home, fps), large shards in pairs of chunks."""
+    count = tasks(dealt.sparkSession)
+
+    def run(rows: DataFrame, most: int | None) -> DataFrame:
+        return (rows.repartition(count, "shard").sortWithinPartitions("shard", F.desc("home"))
+                .mapInArrow(lambda batches: _shard_links(batches, width, radius, most), FOUND))
+
+    found = materialize(run(dealt, limit))
+    links = found.where("a is not null").select("a", "b")
+    chunks = found.where("shard is not null").select("shard", "home", "fps")
+    if chunks.isEmpty():
+        return links
+    # Home chunks 0 .. H-1, then guests up to T-1: home chunk i meets every chunk from i on.
+    listed = (chunks.select("shard", "home", F.xxhash64("fps").alias("mark"))
+              .withColumn("no", F.row_number().over(
+                  Window.partitionBy("shard").orderBy(F.desc("home"), "mark")) - 1))
+    totals = listed.groupBy("shard").agg(F.count("*").cast("int").alias("t"),
+                                         F.sum(F.col("home").cast("int")).cast("int").alias("h"))
+    numbered = materialize(listed.join(totals, "shard").where("h > 0").distinct())
+    low = F.sequence(F.lit(0), F.least(F.col("no"), F.col("h") - 1))
+    high = F.when(F.col("home"), F.sequence(F.col("no"), F.col("t") - 1)).otherwise(
+        F.array().cast("array<int>"))
+    meets = F.array_distinct(F.concat(
+        F.transform(low, lambda i: F.struct(i.alias("i"), F.col("no").alias("j"))),
+        F.transform(high, lambda j: F.struct(F.col("no").alias("i"), j.alias("j")))))
+    blocks = (chunks.withColumn("mark", F.xxhash64("fps"))
+              .join(numbered, ["shard", "home", "mark"])
+              .select("shard", "no", "fps", F.explode(meets).alias("m"))
+              .select(F.xxhash64("shard", "m.i", "m.j").alias("shard"),
+                      (F.col("no") == F.col("m.i")).alias("home"), "fps"))
+    return links.unionByName(run(blocks, None).select("a", "b"))
+
+
+def link_fingerprints(prints: DataFrame, radius: int, bits: int = 64, sample: int = SAMPLE,
+                      shard_rows: int = SHARD_ROWS, limit: int = CHUNK_PRINTS) -> DataFrame:
+    """Links (a, b) of different fingerprints within ``radius`` bits: the same components
+    as all pairs, as a forest a shard. ``prints`` has a distinct binary column ``fp``."""
+    width = bits // 64
     total = prints.count()
     # A hash thins the fingerprints before the exact bound: few leave each task.
     share = int((1 << 20) * min(1.0, 1.2 * sample / max(1, total))) + 1
@@ -243,42 +392,64 @@ def link_fingerprints(prints: DataFrame, radius: int, bits: int = 64,
     fitted = [bytes(r[0]) for r in
               thin.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()]
     tree = Tree(unpack(fitted, width), total // shard_rows + 1, radius)
-    leaves = tree.leaves
 
     def deal(batches):
         for batch in batches:
             rows = unpack(batch.column("fp").to_pylist(), width)
-            bands = (np.array(batch.column("band").to_pylist(), np.int64) if band
-                     else np.zeros(len(rows), np.int64))
-            out = {}
             homes = np.zeros(len(rows), np.int64)
             routed = list(tree.route(rows))
             for leaf, own, _ in routed:
                 homes[own] = leaf
+            out = []
             for leaf, own, guests in routed:
                 later = guests[homes[guests] < leaf]
-                for b in np.unique(bands[own]):
-                    out[b * leaves + leaf, True] = own[bands[own] == b]
-                for b in np.unique(bands[later]):
-                    out[b * leaves + leaf, False] = later[bands[later] == b]
-                if band:  # the next band holds the larger partners, in any shard
-                    both = np.concatenate([own, guests])
-                    for b in np.unique(bands[both]):
-                        key = ((b + 1) * leaves + leaf, False)
-                        more = both[bands[both] == b]
-                        out[key] = np.concatenate([out[key], more]) if key in out else more
-            keys = [k for k in out if len(out[k])]
+                out += [(leaf, home, rows[part].tobytes())
+                        for home, part in ((True, own), (False, later)) if len(part)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(k[0]) for k in keys], pa.int64()),
-                 pa.array([k[1] for k in keys], pa.bool_()),
-                 pa.array([rows[out[k]].tobytes() for k in keys], pa.binary())],
+                [pa.array([o[0] for o in out], pa.int64()),
+                 pa.array([o[1] for o in out], pa.bool_()),
+                 pa.array([o[2] for o in out], pa.binary())], ["shard", "home", "fps"])
+
+    dealt = prints.select("fp").mapInArrow(deal, "shard long, home boolean, fps binary")
+    return _search(dealt, width, radius, limit)
+
+
+def _by_rare_shingle(batches, width: int, at_once: int = 200_000):
+    """One row a rare shingle of a batch, with the fingerprints of the texts that have it."""
+    for batch in batches:
+        prints, start = batch.column("fp").to_pylist(), 0
+        sets = [np.frombuffer(r, np.uint64) for r in batch.column("rare").to_pylist()]
+        ends = np.cumsum([len(r) for r in sets])
+        while start < len(sets):
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + at_once, "right")))
+            part = sets[start:stop]
+            rare = np.concatenate(part)
+            order = np.argsort(rare, kind="stable")
+            rows = unpack(prints[start:stop], width)
+            flat = rows[np.repeat(np.arange(len(part)), [len(r) for r in part])[order]]
+            names, first = np.unique(rare[order], return_index=True)
+            offsets = np.append(first, len(rare)).astype(np.int32) * np.int32(8 * width)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names.view(np.int64)), pa.array(np.ones(len(names), bool)),
+                 pa.Array.from_buffers(pa.binary(), len(names),
+                                       [None, pa.py_buffer(offsets), pa.py_buffer(flat)])],
                 ["shard", "home", "fps"])
+            start = stop
+
 
-    columns = ["fp", F.col(band).alias("band")] if band else ["fp"]
-    dealt = prints.select(*columns).mapInArrow(deal, "shard long, home boolean, fps binary")
-    return (dealt.repartition(tasks(spark), "shard").sortWithinPartitions("shard")
-            .mapInArrow(lambda batches: _shard_links(batches, width, radius),
-                        "a binary, b binary"))
+def link_by_rare_shingles(prints: DataFrame, radius: int, bits: int,
+                          limit: int = CHUNK_PRINTS) -> DataFrame:
+    """Links (a, b) of fingerprints within ``radius`` bits whose texts share a rare shingle.
+
+    ``prints`` has the binary columns ``fp`` and ``rare`` (packed shingle hashes). Each rare
+    shingle is a shard; most hold one text and end there.
+    """
+    width = bits // 64
+    dealt = prints.select("fp", "rare").mapInArrow(
+        lambda batches: _by_rare_shingle(batches, width),
+        "shard long, home boolean, fps binary")
+    return _search(dealt, width, radius, limit)
 
 
 # ---- operators
@@ -341,25 +512,25 @@ def _verified_links(batches, similarity: float):
 
 
 def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, bits: int = 256,
-                block_docs: int = BLOCK_DOCS) -> DataFrame:
+                block_docs: int = BLOCK_DOCS, limit: int = CHUNK_PRINTS) -> DataFrame:
     """(key, root) of every text in a group of near duplicates; key is the MD5 of the text.
 
     A link is a Jaccard similarity of at least ``similarity`` between the sets of
-    ``words``-word shingles, proven on the sets themselves. Candidates are fingerprints within
-    ``radius_for(similarity, bits)``; sizes in proportion bound them to neighbouring size
-    bands. Candidate groups are verified in blocks of about ``block_docs`` texts, each pair
-    of blocks in a task of its own, so no group has to fit one task.
+    ``words``-word shingles, proven on the sets themselves. Candidates share one of their rare
+    shingles, which all such pairs do, and have fingerprints within
+    ``radius_for(similarity, bits)``. Shingles are ordered by how common they are in all
+    texts, so a passage that many texts share makes no large shard where texts have
+    anything else. Candidate groups are verified in blocks of about ``block_docs`` texts, each
+    pair of blocks in a task of its own, so no group has to fit one task.
     """
     spark = docs.sparkSession
     key = F.unhex(F.md5(full_text(docs["text"])))
-    prints = materialize(docs.select(key.alias("key"),
-                                     sketch(words, bits)(docs["text"]).alias("s"))
-                         .select("key", "s.fp", "s.size"))
-    step = -math.log(similarity)
-    banded = materialize(prints.select("fp", F.floor(F.log(F.greatest("size", F.lit(1))) / step)
-                                       .cast("int").alias("band")).distinct())
-    near = components(link_fingerprints(banded, radius_for(similarity, bits), bits, "band",
-                                        shard_rows=10 * SHARD_ROWS))
+    counts = shingle_counts(docs.select(docs["text"].alias("text")), words)
+    prints = materialize(docs.select(
+        key.alias("key"), sketch(words, bits, similarity, counts)(docs["text"]).alias("s"))
+        .select("key", "s.fp", "s.rare"))
+    near = components(link_by_rare_shingles(prints.select("fp", "rare").distinct(),
+                                            radius_for(similarity, bits), bits, limit))
     # Texts with equal fingerprints are candidates as well.
     by_print = (prints.select("key", "fp").distinct()
                 .join(near, F.col("fp") == F.col("node"), "left")

@@ -99,8 +99,9 @@ def test_odd_rows_and_null_ids(make_docs):
     assert len(blank) == 6 and {r["component_id"] for r in blank} == {1}
 
 
-@pytest.mark.parametrize("bits,radius", [(64, 2), (64, 9), (256, 40)])
-def test_tree_loses_no_pair(spark, bits, radius):
+@pytest.mark.parametrize("bits,radius,limit", [(64, 2, 1000), (64, 9, 1000), (256, 40, 1000),
+                                               (64, 2, 15), (64, 9, 40)])
+def test_tree_loses_no_pair(spark, bits, radius, limit):
     rng = random.Random(bits + radius)
     prints = []
     for _ in range(150):
@@ -113,7 +114,8 @@ def test_tree_loses_no_pair(spark, bits, radius):
     prints = sorted(set(prints))
     frame = spark.createDataFrame([(p.to_bytes(bits // 8, "little"),) for p in prints],
                                   "fp binary")
-    links = simhash.link_fingerprints(frame, radius, bits, sample=200, shard_rows=20)
+    links = simhash.link_fingerprints(frame, radius, bits, sample=200, shard_rows=20,
+                                      limit=limit)
     roots = {r["node"]: r["root"] for r in components.components(links).collect()}
     want = plain_groups(prints, radius)
     keys = [roots.get(p.to_bytes(bits // 8, "little"), p.to_bytes(bits // 8, "little"))
@@ -155,17 +157,44 @@ def jaccard_groups(rows, words=5, similarity=0.8):
     return [forest.find(i) for i in range(len(rows))]
 
 
-@pytest.mark.parametrize("block", [2000, 3])
-def test_near_groups_are_exact(make_docs, block):
+@pytest.mark.parametrize("block,limit", [(2000, 1000), (3, 2)])
+def test_near_groups_are_exact(make_docs, block, limit):
     rows = variants()
     groups = {bytes(r["node"]): bytes(r["root"]) for r in
-              simhash.near_groups(make_docs(rows), block_docs=block).collect()}
+              simhash.near_groups(make_docs(rows), block_docs=block, limit=limit).collect()}
     keys = [hashlib.md5(t.encode()).digest() for _, t in rows]
     mine = [groups.get(k, k) for k in keys]
     want = jaccard_groups(rows)
     assert len(set(zip(mine, want))) == len(set(mine)) == len(set(want))
 
 
+def test_dense_shards_are_connected():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**64, (6, 4), np.uint64)
+    rows = np.repeat(base, 400, 0)
+    for _ in range(12):
+        rows[np.arange(len(rows)), rng.integers(0, 4, len(rows))] ^= (
+            np.uint64(1) << rng.integers(0, 64, len(rows)).astype(np.uint64))
+    rng.shuffle(rows)
+    plain, quick = common.Forest(len(rows)), common.Forest(len(rows))
+    for i, j in simhash.close_pairs(rows, rows, 18):
+        list(plain.link(i, j))
+    for i, j in simhash.linked_pairs(rows, len(rows), 18):
+        list(quick.link(i, j))
+    assert np.array_equal(plain.roots(), quick.roots())
+
+
+def test_rare_shingles_meet():
+    rng = np.random.default_rng(6)
+    counts = rng.integers(0, 9, simhash.COUNTERS)
+    for _ in range(300):
+        pool = rng.integers(0, 2**64, rng.integers(2, 60), np.uint64)
+        a, b = (np.unique(pool[rng.random(len(pool)) < 0.93]) for _ in range(2))
+        if len(np.intersect1d(a, b)) >= 0.8 * max(1, len(np.union1d(a, b))):
+            assert len(np.intersect1d(*(simhash.rare_shingles(x, 0.8, counts)
+                                        for x in (a, b))))
+
+
 def test_near_rows_that_stay(make_docs):
     rows = variants() + [(None, None), (None, None), (9000, ""), (9001, " "), (9002, "solo"),
                          (9002, "solo")]
