@@ -112,27 +112,45 @@ def shared_origin_parents(open_: DataFrame, features: dict[str, DataFrame],
     return _best_similar(pairs, ORIGIN_THRESHOLD, "shared_origin_url")
 
 
+def _entity_blocks(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row per named vendor or model and title block: ids and the title's length only."""
+    rows = computed(rows, {"_keys": ST.title_blocks(F.col("title_n"), F.col("tokens"))})
+    named = F.concat(F.transform("vendors", lambda v: F.concat(F.lit("v"), v)),
+                     F.transform("models", lambda m: F.concat(F.lit("m"), m)))
+    return (rows.select(*keep, F.length("title_n").alias("length"), "_keys",
+                        F.explode(named).alias("_entity"))
+            .withColumn("_key", F.explode("_keys")).drop("_keys"))
+
+
 def title_parents(open_: DataFrame, features: dict[str, DataFrame],
                   lookback: int = LOOKBACK_DAYS,
                   threshold: float = TITLE_THRESHOLD) -> DataFrame:
-    """Parent by title: both mergeable, compatible, with a common vendor or model."""
+    """Parent by title: both mergeable, compatible, with a common vendor or model.
+
+    Stories meet on that vendor or model, a title block and the prior day, as ids with
+    lengths that allow the threshold; titles join the distinct pairs afterwards.
+    """
     if threshold < ST.THRESHOLD:
         raise ValueError("title blocks lose no pair only from 0.86 upward")
-    named = (F.size("vendors") > 0) | (F.size("models") > 0)
-    stories = features["stories"].where(F.col("mergeable") & named)
-    prior = (stories.groupBy(F.col("day").alias("prior_day"), *_titles(stories, "y"))
+    named = F.col("mergeable") & ((F.size("vendors") > 0) | (F.size("models") > 0))
+    titles = ["title_n", "tokens", "vendors", "models"]
+    prior = (features["stories"].where(named)
+             .groupBy(F.col("day").alias("prior_day"), *titles)
              .agg(F.max("story_id").alias("prior_story_id")))
-    prior = computed(prior, {"_key": ST.title_blocks(F.col("y_title"), F.col("y_tokens"))})
-    child = open_.where(F.col("mergeable") & named).select(*KEY, *_titles(open_, "x"))
-    child = computed(child, {"_key": ST.title_blocks(F.col("x_title"), F.col("x_tokens"))})
-    child = child.withColumn("_key", F.explode("_key")).withColumn("prior_day", F.explode(
-        F.transform(F.sequence(F.lit(1), F.lit(lookback)),
-                    lambda i: F.date_sub(F.col("day"), i))))
-    pairs = salted_join(child, prior.withColumn("_key", F.explode("_key")), ["_key", "prior_day"])
-    common = (F.arrays_overlap("x_vendors", "y_vendors")
-              | F.arrays_overlap("x_models", "y_models"))
-    pairs = (pairs.where(common).drop("_key")
-             .dropDuplicates([*KEY, "prior_day", "prior_story_id"]))
+    child = open_.where(named).select(*KEY, *titles)
+    near = (_entity_blocks(child, *KEY).withColumnRenamed("length", "x_length")
+            .withColumn("prior_day", F.explode(F.transform(
+                F.sequence(F.lit(1), F.lit(lookback)), lambda i: F.date_sub(F.col("day"), i)))))
+    far = _entity_blocks(prior, "prior_day", "prior_story_id").withColumnRenamed(
+        "length", "y_length")
+    bound = S.ratio_bound(F.col("x_length"), F.col("y_length"))
+    # equal words may lift a lower ratio, but such titles also meet in a word block
+    pairs = (near.join(far, ["_entity", "_key", "prior_day"])
+             .where((bound >= ST.THRESHOLD) | (F.col("_key").startswith("w") & (bound >= 0.7666)))
+             .select(*KEY, "prior_day", "prior_story_id").distinct())
+    pairs = (pairs.join(child.select(*KEY, *_titles(child, "x")), KEY)
+             .join(prior.select("prior_day", "prior_story_id", *_titles(prior, "y")),
+                   ["prior_day", "prior_story_id"]))
     return _best_similar(pairs, threshold, "title_similarity")
 
 

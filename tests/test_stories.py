@@ -6,7 +6,7 @@ from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
-from newsledger.operators import stories as S
+from newsledger.operators import lineage as L, stories as S
 from newsledger.operators.classify import with_identity
 
 SCHEMA = ("day date, section_ord int, payload_ord string, item_ord long, title string, "
@@ -200,3 +200,39 @@ def test_lost_share_is_exact(spark):
     frame = spark.createDataFrame([(title, ["x"])], "t string, w array<string>")
     keys = frame.select(S.title_blocks(F.col("t"), F.col("w")).alias("k")).first()["k"]
     assert sum(k.startswith("g") for k in keys) == 29
+
+
+def test_title_parents_are_the_best_of_all_pairs(spark):
+    from newsledger.functions import text as T
+    rng = random.Random(11)
+    rows = []
+    for i in range(140):
+        words = rng.choices(WORDS, k=rng.randint(4, 7))
+        if i > 20 and rng.random() < 0.7:
+            words = rows[rng.randrange(len(rows))][2].split()
+            words[rng.randrange(len(words))] += rng.choice(["", "s", "er"])
+        rows.append((dt.date(2026, 8, 1 + rng.randrange(12)), f"story-{i:03}", " ".join(words)))
+    df = spark.createDataFrame(rows, "day date, story_id string, title_n string")
+    tokens_ = T.title_tokens(F.col("title_n"))
+    df = (df.withColumn("tokens", tokens_).withColumn("vendors", T.title_vendors(F.col("title_n")))
+          .withColumn("models", T.title_models(F.col("title_n")))
+          .withColumn("mergeable", T.title_is_mergeable(F.col("title_n"), tokens_)))
+    got = {r["story_id"]: (r["prior_day"], r["prior_story_id"]) for r in
+           L.title_parents(df, {"stories": df}).collect()}
+    want = {}
+    for day, story, title in rows:
+        best = None
+        vendors, models = entities(title)
+        for other_day, other, text in rows:
+            v, m = entities(text)
+            clash = (vendors and v and not vendors & v) or (models and m and not models & m)
+            if (clash or not (vendors & v or models & m) or not 1 <= (day - other_day).days <= 7
+                    or min(len(title), len(text)) < 18
+                    or min(len(tokens(title)), len(tokens(text))) < 4):
+                continue
+            value = likeness(title, text)
+            if value >= 0.9:
+                best = max(best or (0.0,), (value, other_day, other))
+        if best:
+            want[story] = best[1:]
+    assert len(want) > 20 and got == want
