@@ -367,8 +367,55 @@ def author_nominees(spark, sf_dir):
         "author", F.col("count").cast("bigint").alias("count"), "list")
 
 
-@register("author_current")
+def _current(sightings: str, manual: str, as_of: str) -> str:
+    """CTEs ending in ``kept``: what ``current_sightings`` keeps at a day."""
+    return f""",
+dd AS (SELECT DISTINCT author, day FROM {sightings} WHERE day <= {as_of}),
+br AS (SELECT *, CASE WHEN day - lag(day) OVER (PARTITION BY author ORDER BY day) > {A.FORGET_DAYS}
+    THEN 1 ELSE 0 END AS gap FROM dd),
+sr AS (SELECT author, day, sum(gap) OVER (PARTITION BY author ORDER BY day) AS stretch FROM br),
+rr AS (SELECT DISTINCT s.author, s.status_id, s.day, sr.stretch FROM {sightings} s
+  JOIN sr ON s.author = sr.author AND s.day = sr.day),
+cc AS (SELECT author, stretch, count(DISTINCT status_id) AS n FROM rr GROUP BY ALL),
+bb AS (SELECT cc.author, max(stretch) AS last,
+    min(CASE WHEN n + coalesce(mc, 0) >= 2 THEN stretch END) AS firm
+  FROM cc LEFT JOIN (SELECT author, max(manual_count) AS mc FROM {manual} GROUP BY author) x
+    ON cc.author = x.author GROUP BY cc.author),
+tt AS (SELECT rr.*, firm, max(day) OVER (PARTITION BY rr.author) AS seen FROM rr
+  JOIN bb ON rr.author = bb.author AND stretch >= coalesce(firm, last)),
+kept AS (SELECT * FROM tt WHERE firm IS NOT NULL OR {as_of} - seen <= {A.FORGET_DAYS})
+SELECT author, status_id, strftime(day, '%Y-%m-%d') AS day FROM kept"""
+
+
+@register("author_current", AUTHORS + _current("st", "m", f"DATE '{V.LAST_DAY}'"))
 def author_current(spark, sf_dir):
     kept = A.current_sightings(A.author_sightings(_cited(spark, sf_dir)),
                                A.manual_entries(manual(spark, sf_dir)), F.lit(V.LAST_DAY).cast("date"))
     return kept.select("author", "status_id", day_text())
+
+
+# One author a post, seen every 40 days at most: most are forgotten in between.
+_SPACING = 40
+_LAST_SPARSE = 29 * _SPACING
+
+
+@register("author_sparse", AUTHORS + f""",
+sp AS (SELECT author || 'n' || status_id AS author, status_id,
+  CAST(DATE '{V.FIRST_DAY}' + CAST((day - DATE '{V.FIRST_DAY}') * {_SPACING} AS INTEGER) AS DATE) AS day
+  FROM st),
+sm AS (SELECT 'author' || (s_suppkey % 23) || 'n' || (1000 + s_suppkey % 97) AS author,
+  s_suppkey % 4 AS manual_count FROM supplier)"""
+          + _current("sp", "sm", f"(DATE '{V.FIRST_DAY}' + {_LAST_SPARSE})"))
+def author_sparse(spark, sf_dir):
+    first, n = F.lit(V.FIRST_DAY).cast("date"), F.col("s_suppkey")
+    cited = _cited(spark, sf_dir).select(
+        F.date_add(first, F.datediff("day", first) * _SPACING).alias("day"),
+        F.transform("x_links", lambda link: F.regexp_replace(
+            link, r"/status/(\d+)", r"n$1/status/$1")).alias("x_links"))
+    by_hand = V.table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("Author"), n % 23, F.lit("n"), 1000 + n % 97).alias("handle"),
+        (n % 4).cast("int").alias("score"), F.lit(False).alias("has_test_signal"),
+        F.lit("").alias("provenance"))
+    kept = A.current_sightings(A.author_sightings(cited), A.manual_entries(by_hand),
+                               F.date_add(first, _LAST_SPARSE))
+    return kept.select("author", "status_id", day_text())

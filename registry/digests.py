@@ -60,11 +60,16 @@ def first_wins_dedupe(spark, sf_dir):
         "url", day_text(), "source_id", "item_ord", "title", "content_sha256")
 
 
-@register("rejected_items", V.STORY_INPUT + """
+# every thirteenth item has lost the web address in its URL
+@register("rejected_items", "WITH " + V.OBSERVATIONS + """,
+odd AS (SELECT * REPLACE (CASE WHEN item_ord % 13 = 0 THEN 'mailto:item' || item_ord ELSE url END
+  AS url) FROM obs),""" + V.sql_classified(first_url_wins=False, source="odd") + """
 SELECT source_id, url FROM classified WHERE canonical_url IS NULL""")
 def rejected_items(spark, sf_dir):
-    return rejected_urls(V.observations(spark, sf_dir), V.RULES, V.WINDOW_DAYS).select(
-        "source_id", "url")
+    odd = V.observations(spark, sf_dir).withColumn("url", F.when(
+        F.col("item_ord") % 13 == 0, F.concat(F.lit("mailto:item"), "item_ord"))
+        .otherwise(F.col("url")))
+    return rejected_urls(odd, V.RULES, V.WINDOW_DAYS).select("source_id", "url")
 
 
 # --- URLs ---------------------------------------------------------------------
