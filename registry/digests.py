@@ -188,6 +188,47 @@ def title_tokens(spark, sf_dir):
                        T.title_is_mergeable(F.col("title"), F.col("tokens")).alias("mergeable"))
 
 
+# An item's title against the first sentence of its text, both with a vendor from the id.
+_NAMED = (["", " openai", " anthropic"], ["", " openai", " anthropic", " openai anthropic"])
+
+
+def _sql_vendors(title: str) -> str:
+    hits = ", ".join(f"CASE WHEN contains({title}, {V.quote(alias)}) THEN {V.quote(name)} END"
+                     for alias, name in fixed.VENDOR_ALIASES.items())
+    return f"list_distinct(list_filter([{hits}], lambda v: v IS NOT NULL))"
+
+
+def _sql_ending(names: list[str]) -> str:
+    listed = ", ".join(V.quote(n) for n in names)
+    return f"[{listed}][CAST(item_ord % {len(names)} AS INTEGER) + 1]"
+
+
+@register("title_pairs_jaccard", "WITH " + V.OBSERVATIONS + f""",
+p0 AS (SELECT item_ord, title || {_sql_ending(_NAMED[0])} AS x,
+  regexp_extract(summary, '^[^.\n]*') || {_sql_ending(_NAMED[1])} AS y FROM obs),
+p1 AS (SELECT item_ord, trim(regexp_replace(lower(x), '\\s+', ' ', 'g')) AS x,
+  trim(regexp_replace(lower(y), '\\s+', ' ', 'g')) AS y FROM p0),
+p2 AS (SELECT item_ord, {_TOKENS.format('x')} AS a, {_TOKENS.format('y')} AS b,
+  {_sql_vendors('x')} AS v, {_sql_vendors('y')} AS w FROM p1)
+SELECT item_ord, CASE WHEN len(a) > 0 AND len(b) > 0
+    THEN len(list_intersect(a, b)) / len(list_distinct(a || b)) ELSE 0.0 END AS jaccard,
+  len(v) = 0 OR len(w) = 0 OR list_has_any(v, w) AS compatible FROM p2""")
+def title_pairs_jaccard(spark, sf_dir):
+    def ending(names):
+        return F.element_at(F.array(*[F.lit(n) for n in names]),
+                            (F.col("item_ord") % len(names) + 1).cast("int"))
+
+    first = F.regexp_extract("summary", r"^[^.\n]*", 0)
+    rows = V.observations(spark, sf_dir).select(
+        "item_ord", T.normalized_title(F.concat("title", ending(_NAMED[0]))).alias("x"),
+        T.normalized_title(F.concat(first, ending(_NAMED[1]))).alias("y"))
+    rows = computed(rows, {"a": T.title_tokens(F.col("x")), "b": T.title_tokens(F.col("y"))})
+    return rows.select("item_ord", T.jaccard(F.col("a"), F.col("b")).alias("jaccard"),
+                       T.titles_compatible(T.title_vendors(F.col("x")), T.title_models(F.col("x")),
+                                           T.title_vendors(F.col("y")), T.title_models(F.col("y")))
+                       .alias("compatible"))
+
+
 @register("title_keys", "WITH " + V.OBSERVATIONS + r"""
 SELECT item_ord, array_to_string(list_filter(regexp_extract_all(lower(title),
   '[a-z0-9][a-z0-9_+.\-]*'), lambda w: length(w) > 2)[1:20], ' ') AS title_key FROM obs""")
