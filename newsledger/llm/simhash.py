@@ -25,6 +25,7 @@ equal results. Empty tables give empty results.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -49,6 +50,10 @@ CHUNK_PRINTS = 250_000
 COUNTERS = 1 << 16
 #: Documents of one candidate group that one task compares with each other.
 BLOCK_DOCS = 2_000
+#: Share of pairs at a similarity that their radius may leave out, at most.
+MISSED = 1e-12
+#: Sets of so many shingles together have their bit differences worked out exactly.
+SMALL_UNION = 40
 #: Below this size a set of fingerprints is compared directly.
 DIRECT = 1_024
 
@@ -473,15 +478,42 @@ def group_fingerprints(docs: DataFrame, words: int = 3, radius: int = 2) -> Data
         "doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def radius_for(similarity: float, bits: int, sigmas: float = 4.0) -> int:
-    """Bits within which pairs of at least this Jaccard similarity fall.
+def bit_difference(shared: int, left: int, right: int) -> float:
+    """Chance that one bit of the fingerprints differs between two sets of shingles with
+    ``shared`` members in common and ``left`` and ``right`` of their own, ties counting as 0."""
+    def tails(n: int, total: int) -> np.ndarray:
+        """For each count of set bits among the shared: chance that ``n`` more win a majority."""
+        chances = [math.comb(n, k) / 2**n for k in range(n + 1)]
+        return np.array([sum(c for k, c in enumerate(chances) if 2 * (x + k) > total)
+                         for x in range(shared + 1)])
 
-    Two sets of like size with Jaccard J have cosine 2J / (1 + J); each bit differs with
-    probability acos(cosine) / pi. Four standard deviations leave out 3 in 100,000 pairs at
-    the threshold itself and practically none above it.
+    weights = np.array([math.comb(shared, x) / 2**shared for x in range(shared + 1)])
+    a, b = tails(left, shared + left), tails(right, shared + right)
+    return float((weights * (a * (1 - b) + b * (1 - a))).sum())
+
+
+@functools.cache
+def radius_for(similarity: float, bits: int, missed: float = MISSED) -> int:
+    """Bits within which pairs of at least this Jaccard similarity fall, but for a share of
+    ``missed`` of the pairs whose sets are the least favourable.
+
+    Large sets of like size with Jaccard J have cosine 2J / (1 + J), and a bit differs with
+    probability acos(cosine) / pi. Small sets differ more often, because few shingles decide a
+    majority: all sets of up to ``SMALL_UNION`` shingles together are worked out exactly, and
+    the largest chance holds for all pairs.
     """
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.ceil(bits * p + sigmas * math.sqrt(bits * p * (1 - p)))
+    p = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    for union in range(1, SMALL_UNION + 1):
+        for shared in range(math.ceil(similarity * union - 1e-9), union):
+            p = max([p] + [bit_difference(shared, left, union - shared - left)
+                           for left in range((union - shared) // 2 + 1)])
+    tail, radius = 0.0, bits
+    while radius:
+        tail += math.comb(bits, radius) * p**radius * (1 - p)**(bits - radius)
+        if tail > missed:
+            break
+        radius -= 1
+    return radius
 
 
 def _verified_links(batches, similarity: float):
@@ -518,7 +550,8 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, bits:
     A link is a Jaccard similarity of at least ``similarity`` between the sets of
     ``words``-word shingles, proven on the sets themselves. Candidates share one of their rare
     shingles, which all such pairs do, and have fingerprints within
-    ``radius_for(similarity, bits)``. Shingles are ordered by how common they are in all
+    ``radius_for(similarity, bits)``, which leaves out at most ``MISSED`` of the pairs at any
+    size of the sets. Shingles are ordered by how common they are in all
     texts, so a passage that many texts share makes no large shard where texts have
     anything else. Candidate groups are verified in blocks of about ``block_docs`` texts, each
     pair of blocks in a task of its own, so no group has to fit one task.

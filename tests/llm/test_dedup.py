@@ -1,6 +1,7 @@
 """Exact and SimHash deduplication against plain Python."""
 
 import hashlib
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -206,3 +207,32 @@ def test_near_rows_that_stay(make_docs):
     for (doc_id, text), root in zip(rows, jaccard_groups(rows)):
         low[root] = min(low.get(root, 10**9), 10**9 if doc_id is None else doc_id)
     assert sorted(ids) == sorted(low.values())
+
+
+def short_pairs(words, n, seed=8):
+    """Texts of so many words, each with the same text and one more word: Jaccard 0.8 or more."""
+    rng = random.Random(seed)
+    for i in range(n):
+        text = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+        yield " ".join(text), " ".join([*text, f"v{i}"])
+
+
+def test_short_near_copies_are_found(make_docs):
+    def far(pair):
+        a, b = (np.frombuffer(simhash.majority(np.unique(simhash.shingle_hashes(t, 5)), 4),
+                              np.uint64) for t in pair)
+        return int(np.bitwise_count(a ^ b).sum())
+    pairs = [p for words in (8, 9, 15) for p in short_pairs(words, 2000)]
+    assert simhash.bit_difference(4, 0, 1) == pytest.approx(0.1875)
+    assert max(map(far, pairs)) <= simhash.radius_for(0.8, 256)
+    apart = sorted(pairs, key=far)[-12:]
+    assert far(apart[0]) > 62  # a radius by many shingles loses these
+    rows = [(i, t) for i, t in enumerate(itertools.chain(*apart))]
+    assert sorted(r["doc_id"] for r in simhash.deduplicate(make_docs(rows)).collect()) == [
+        *range(0, 24, 2)]
+
+
+def test_small_sets_differ_most():
+    worst = max(simhash.bit_difference(u - d, a, d - a) for u in range(41, 90)
+                for d in range(1, u // 5 + 1) for a in range(d // 2 + 1))
+    assert worst < simhash.bit_difference(4, 0, 1)
