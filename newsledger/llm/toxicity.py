@@ -29,15 +29,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsledger.llm.common import full_text, id_bucket
 from newsledger.session import materialize
 
 #: Labelled rows the lexicon and the curve are fitted on, at most.
 MAX_ROWS = 20_000
-#: Entries looked at, and kept, while the lexicon is learned.
-MAX_CANDIDATES, MAX_ENTRIES, MAX_EXCEPTIONS = 20_000, 500, 500
+#: Entries and exceptions that a lexicon keeps, the clearest first.
+MAX_ENTRIES, MAX_EXCEPTIONS = 500, 500
+#: Ratio of shares, and gap in standard deviations, that an entry must have.
+RATIO, GAP = 5, 6
 #: Lengths of word beginnings that may become entries.
 STEMS = range(4, 9)
 
@@ -143,25 +145,28 @@ def _entries(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n}
 
 
-def _count_toxic(batches):
-    """Documents with each entry, over toxic rows; combined within a task."""
-    counts = Counter()
+def _count_entries(batches):
+    """Toxic and clean documents with each entry; combined within a task."""
+    counts = (Counter(), Counter())
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            counts.update(_entries(fold(text)))
-    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()),
-                                      pa.array(list(counts.values()), pa.int64())],
-                                     ["entry", "n"])
+        for text, toxic in zip(batch.column("text").to_pylist(),
+                               batch.column("toxic").to_pylist()):
+            counts[toxic].update(_entries(fold(text)))
+    for toxic, found in enumerate(counts):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.string()),
+             pa.array([n * toxic for n in found.values()], pa.int64()),
+             pa.array([n * (1 - toxic) for n in found.values()], pa.int64())],
+            ["entry", "toxic", "clean"])
 
 
-def _count_known(batches, known: frozenset[str]):
-    counts = Counter()
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
-            counts.update(known & _entries(fold(text)))
-    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()),
-                                      pa.array(list(counts.values()), pa.int64())],
-                                     ["entry", "n"])
+def _may_mark(n_toxic: int, n_clean: int, support: int) -> Column:
+    """The tests of ``rate`` as a condition on the columns toxic and clean, a hair wider."""
+    a, b, share = F.col("toxic"), F.col("clean"), n_toxic / (n_toxic + n_clean)
+    weight = F.log((a + 0.5) / (n_toxic + 1)) - F.log((b + 0.5) / (n_clean + 1))
+    gap = a - (a + b) * share
+    spread = F.sqrt((a + b) * (share * max(1e-9, 1 - share)))
+    return (a >= support) & (weight >= math.log(RATIO) - 1e-6) & (gap >= (GAP - 1e-6) * spread)
 
 
 def _places(batches, known: frozenset[str]):
@@ -218,7 +223,7 @@ def rate(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: in
         share = (a + b) / (n_toxic + n_clean)
         spread = math.sqrt(n_toxic * share * max(1e-9, 1 - n_toxic / (n_toxic + n_clean)))
         z = (a - n_toxic * share) / max(spread, 1e-9)
-        if weight >= math.log(5) and z >= 6:
+        if weight >= math.log(RATIO) and z >= GAP:
             rated.append((-round(z, 6), -len(entry.rstrip("*")), entry, weight))
     return [(entry, weight) for *_, entry, weight in sorted(rated)]
 
@@ -281,16 +286,12 @@ def learn(docs: DataFrame, labels: DataFrame, lexicon: dict[str, float] | None =
     if not n_toxic or not n_clean:
         return Model(base=float(n_toxic > 0))
     support = max(3, n_toxic // 200)
-    counted = (rows.where("toxic = 1").mapInArrow(_count_toxic, "entry string, n long")
-               .groupBy("entry").agg(F.sum("n").alias("n")).where(F.col("n") >= support))
-    toxic = {r[0]: r[1] for r in counted.orderBy(F.desc("n"), "entry")
-             .limit(MAX_CANDIDATES).collect()}
-    known = frozenset(toxic)
-    clean = {r[0]: r[1] for r in
-             rows.where("toxic = 0")
-             .mapInArrow(lambda b: _count_known(b, known), "entry string, n long")
-             .groupBy("entry").agg(F.sum("n").alias("n")).collect()}
-    rated = rate(toxic, clean, n_toxic, n_clean)
+    # Every entry is tested where it is counted; what leaves passes the tests.
+    counted = (rows.mapInArrow(_count_entries, "entry string, toxic long, clean long")
+               .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+               .where(_may_mark(n_toxic, n_clean, support)).collect())
+    rated = rate({r["entry"]: r["toxic"] for r in counted},
+                 {r["entry"]: r["clean"] for r in counted}, n_toxic, n_clean)
     marks = frozenset(entry for entry, _ in rated)
     found_in: dict[str, set[int]] = defaultdict(set)
     for name, entries in (rows.where("toxic = 1")

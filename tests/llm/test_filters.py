@@ -45,6 +45,16 @@ def test_folding_and_matching():
     assert toxicity.features(long, model, auto)[1] < toxicity.features(short, model, auto)[1]
 
 
+def test_rare_toxic_words_are_tested(spark, make_docs):
+    rng, rows, labels = random.Random(9), [], []
+    common = ["".join(rng.choices("bcdfghjklmnp", k=10)) for _ in range(5000)]
+    for i in range(300):  # words and stems of long texts, over 20,000, in half of the toxic texts
+        rows.append((i, " ".join(rng.sample(common, 2500)) + (" zyxvile" if i < 20 else "")))
+        labels.append((i, 1, int(i < 100)))
+    model = toxicity.learn(make_docs(rows), spark.createDataFrame(labels, LABELS))
+    assert any(e.startswith("zyx") for e in model.weights)
+
+
 def test_toxicity_odd_rows(spark, make_docs):
     docs = make_docs(ODD)
     none = spark.createDataFrame([], LABELS)
