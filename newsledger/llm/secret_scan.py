@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and formats inferred from the credentials they find.
 
-The patterns give the base spans. From the credentials found in a bounded sample of
-documents a probabilistic automaton is inferred: their prefix tree counts how often each
+The patterns give the base spans. From the different credentials they find in all documents
+(the first ``MAX_CREDENTIALS`` by hash) a probabilistic automaton is inferred: their prefix tree counts how often each
 state is left by each character or ends, and states whose counts are statistically
 compatible (Hoeffding bound, recursively for their successors) merge, nearest the root
 first. Every candidate token of a text is then scored by its likelihood in this automaton
@@ -10,7 +10,7 @@ token that fits the format better, by a margin per character, adds a span of kin
 ``format``. Base spans stay as they are.
 
 Defined results: null text is empty and has no span. Offsets count code points, ends are
-exclusive. Without credentials in the sample nothing is inferred and no span is added. A
+exclusive. Without credentials nothing is inferred and no span is added. A
 candidate that overlaps a base span adds nothing. Repeated rows get equal results.
 """
 
@@ -25,9 +25,11 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from newsledger.llm.common import full_text
+from newsledger.session import materialize
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
@@ -37,8 +39,9 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
 #: What a candidate looks like, and its shortest length.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-#: Documents whose credentials teach, credentials and other tokens learned from, at most.
-MAX_DOCS, MAX_CREDENTIALS, MAX_OTHERS = 20_000, 2_000, 20_000
+#: Different credentials that teach, ordinary tokens that teach, and documents these come
+#: from, at most. Credentials come from all documents.
+MAX_CREDENTIALS, MAX_OTHERS, MAX_DOCS = 2_000, 20_000, 20_000
 ALPHABET = 66
 #: Share of chance that merging accepts, and bits per character by which a format must win.
 ALPHA, MARGIN = 0.05, 0.5
@@ -205,37 +208,54 @@ def build(credentials: list[str], others: Iterable[str]) -> Model | None:
 
 # ---- operators
 
-def _teach(batches):
-    """Credentials of the base spans, and other candidate tokens, of the sampled documents."""
+def _teach(batches, max_credentials: int):
+    """Different credentials of the base spans of all documents, and other candidate tokens of
+    the sampled ones. A task passes on at most ``max_credentials``, the first by hash."""
+    found: dict[str, int] = {}
     for batch in batches:
-        tokens, kinds = [], []
-        for text in batch.column("text").to_pylist():
+        tokens = []
+        for text, sampled in zip(batch.column("text").to_pylist(),
+                                 batch.column("sampled").to_pylist()):
             spans = base_spans(text)
-            for kind, start, end, at in spans:
-                tokens.append(text[at:end])
-                kinds.append(1)
-            for m in CANDIDATE.finditer(text):
-                if not any(s < m.end() and m.start() < e for _, s, e, _ in spans):
-                    tokens.append(m[0])
-                    kinds.append(0)
-        yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()),
-                                          pa.array(kinds, pa.int32())], ["token", "label"])
+            for _, _, end, at in spans:
+                found.setdefault(text[at:end], 0)
+            if sampled:
+                tokens += [m[0] for m in CANDIDATE.finditer(text)
+                           if not any(s < m.end() and m.start() < e for _, s, e, _ in spans)]
+        if len(found) > 4 * max_credentials:
+            found = _first_by_hash(found, max_credentials)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(tokens, pa.string()), pa.array([0] * len(tokens), pa.int32())],
+            ["token", "label"])
+    found = _first_by_hash(found, max_credentials)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(found), pa.string()), pa.array([1] * len(found), pa.int32())],
+        ["token", "label"])
+
+
+def _first_by_hash(found: dict[str, int], bound: int) -> dict[str, int]:
+    """The first tokens in the order of Spark's xxhash64, ties by the token."""
+    def place(token: str) -> tuple[int, str]:
+        h = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), 42)
+        return (h - (1 << 64) if h >> 63 else h), token
+    return dict.fromkeys(sorted(found, key=place)[:bound], 0)
 
 
 def learn(docs: DataFrame, max_docs: int = MAX_DOCS, max_credentials: int = MAX_CREDENTIALS,
           max_others: int = MAX_OTHERS) -> Model | None:
-    """A model from the base spans of at most about ``max_docs`` documents, by a hash of the text."""
+    """A model from the credentials of all documents, the first ``max_credentials`` different
+    ones by hash, and from ordinary tokens of about ``max_docs`` documents."""
     total = docs.count()
     text = full_text(docs["text"])
     share = int((1 << 20) * min(1.0, max_docs / max(1, total)))
-    taught = (docs.select(text.alias("text"))
-              .where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share)
-              .mapInArrow(_teach, "token string, label int").distinct())
-    order = [F.xxhash64("token"), F.col("token")]
+    taught = materialize(
+        docs.select(text.alias("text"))
+        .withColumn("sampled", F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share)
+        .mapInArrow(lambda b: _teach(b, max_credentials), "token string, label int").distinct())
 
     def some(label: int, bound: int) -> list[str]:
-        return [r[0] for r in taught.where(F.col("label") == label).select("token")
-                .orderBy(*order).limit(bound).collect()]
+        held = taught.where(F.col("label") == label).select("token")
+        return [r[0] for r in held.orderBy(F.xxhash64("token"), "token").limit(bound).collect()]
     return build(some(1, max_credentials), some(0, max_others))
 
 
