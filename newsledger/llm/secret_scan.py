@@ -4,10 +4,11 @@ The patterns give the base spans. From the different credentials they find in al
 (the first ``MAX_CREDENTIALS`` by hash) a probabilistic automaton is inferred: their prefix tree counts how often each
 state is left by each character or ends, and states whose counts are statistically
 compatible (Hoeffding bound, recursively for their successors) merge, nearest the root
-first. Every candidate token of a text is then scored by its likelihood in this automaton
-against its likelihood as ordinary text (a character bigram model of the other tokens); a
-token that fits the format better, by a margin per character, adds a span of kind
-``format``. Base spans stay as they are.
+first. Every candidate token of a text, a run of the characters and of the shortest length that
+credentials have, is then scored by its likelihood in this automaton against its likelihood as
+ordinary text (a character bigram model of the other tokens); a token that fits the format
+better, by a margin per character, adds a span of kind ``format``. A run with dots at its ends
+is also scored without them, and one that does not fit as a whole piece by piece between dots. Base spans stay as they are.
 
 Defined results: null text is empty and has no span. Offsets count code points, ends are
 exclusive. Without credentials nothing is inferred and no span is added. A
@@ -16,6 +17,7 @@ candidate that overlaps a base span adds nothing. Repeated rows get equal result
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -37,12 +39,14 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
-#: What a candidate looks like, and its shortest length.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: What a candidate looks like: letters and shortest length of the credentials that teach.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
+#: Gains of different tokens that a task remembers.
+REMEMBERED = 500_000
 #: Different credentials that teach, ordinary tokens that teach, and documents these come
 #: from, at most. Credentials come from all documents.
 MAX_CREDENTIALS, MAX_OTHERS, MAX_DOCS = 2_000, 20_000, 20_000
-ALPHABET = 66
+ALPHABET = 68
 #: Share of chance that merging accepts, and bits per character by which a format must win.
 ALPHA, MARGIN = 0.05, 0.5
 _HEX_ONLY = bytes(1 if chr(b) in "0123456789abcdef" else 0 for b in range(256))
@@ -259,17 +263,35 @@ def learn(docs: DataFrame, max_docs: int = MAX_DOCS, max_credentials: int = MAX_
     return build(some(1, max_credentials), some(0, max_others))
 
 
-def all_spans(text: str | None, model: Model | None) -> tuple[list, list]:
-    """Base spans, and base spans with those of inferred formats, by start and kind."""
+def format_spans(text: str, gain) -> Iterator[tuple[int, int]]:
+    """Candidates that fit the format: whole runs, with or without the dots at their ends,
+    whichever fits better, else their pieces between dots."""
+    for m in CANDIDATE.finditer(text):
+        run, at, end = m[0], m.start(), m.end()
+        fit, bare = gain(run), run.strip(".")
+        if len(run) > len(bare) >= MIN_ASSIGN and gain(bare) >= fit:
+            at += run.index(bare)
+            run, fit, end = bare, gain(bare), at + len(bare)
+        if fit >= MARGIN:
+            yield at, end
+        elif "." in run:
+            for piece in run.split("."):
+                if len(piece) >= MIN_ASSIGN and gain(piece) >= MARGIN:
+                    yield at, at + len(piece)
+                at += len(piece) + 1
+
+
+def all_spans(text: str | None, model: Model | None, gain=None) -> tuple[list, list]:
+    """Base spans, and base spans with those of inferred formats, by start and kind.
+
+    ``gain`` may stand for ``model.gain`` with a memory.
+    """
     text = text or ""
     base = [s[:3] for s in base_spans(text)]
     if model is None:
         return base, base
-    added = []
-    for m in CANDIDATE.finditer(text):
-        if model.gain(m[0]) >= MARGIN and not any(
-                s < m.end() and m.start() < e for _, s, e in base):
-            added.append(("format", m.start(), m.end()))
+    added = [("format", a, b) for a, b in format_spans(text, gain or model.gain)
+             if not any(s < b and a < e for _, s, e in base)]
     return base, sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -280,15 +302,18 @@ def _written(spans: list) -> str:
 def scanner(model: Model | None):
     """Column function: text to counts, digest and list of its spans."""
     @F.pandas_udf("n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            base, spans = all_spans(text, model)
-            kinds = Counter(k for k, *_ in base)
-            rows.append((kinds["assign"], kinds["access"], kinds["hex"],
-                         hashlib.sha256(_written(base).encode()).hexdigest(), _written(spans)))
-        return pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256",
-                                           "spans"])
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        gain = functools.lru_cache(REMEMBERED)(model.gain) if model else None
+        for texts in parts:
+            rows = []
+            for text in texts:
+                base, spans = all_spans(text, model, gain)
+                kinds = Counter(k for k, *_ in base)
+                rows.append((kinds["assign"], kinds["access"], kinds["hex"],
+                             hashlib.sha256(_written(base).encode()).hexdigest(),
+                             _written(spans)))
+            yield pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256",
+                                              "spans"])
     return run
 
 

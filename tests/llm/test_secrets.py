@@ -27,3 +27,26 @@ def test_credentials_of_all_documents_teach(make_docs):
     assert one.moves == secret_scan.build(list(first), []).moves
     text = "found zq01234567899876543210 here"
     assert secret_scan.all_spans(text, thinned)[1] == [("format", 6, 28)]
+
+
+def test_short_and_dotted_formats_are_scored(make_docs):
+    rng = random.Random(6)
+
+    def digits(n):
+        return "".join(rng.choices("0123456789", k=n))
+    for form in (lambda: "zq" + digits(9),
+                 lambda: f"hd{digits(6)}.py{digits(6)}.sg{digits(6)}"):
+        docs = make_docs([(i, f"{prose(rng)}. password: {form()} {prose(rng)}")
+                          for i in range(60)])
+        model = secret_scan.learn(docs)
+        key = form()
+        for text in (f"see {key} now", f"see {key}.", f"see {key}... now"):
+            assert secret_scan.all_spans(text, model)[1] == [("format", 4, 4 + len(key))]
+        for text in (prose(rng), "Say something. Nothing... www.example.com/department.html"):
+            assert secret_scan.all_spans(text, model)[1] == []
+
+
+def test_pieces_between_dots_are_scored():
+    found = list(secret_scan.format_spans("a.b ..host1234.zq123456789.. x",
+                                          lambda t: float(t == "zq123456789")))
+    assert found == [(15, 26)]
