@@ -5,14 +5,15 @@ are ignored, so a changed word at an ignored position leaves the hash alone. Has
 benchmark items at all positions meet those of every document; each hit fixes how the two
 texts lie against each other, and the words around it are compared. A document is
 contaminated where ``window`` aligned words in a row (all words of a shorter item) agree in
-at least ``identity`` of the places.
+at least ``identity`` of the places. An item of fewer than 8 words is found by the hash of all
+its words and must be repeated whole, word by word.
 
 Benchmark hashes go to every task only while the benchmark text is at most
 ``broadcast_bytes`` long, which is checked; beyond that documents and benchmark meet in a
 join on the hash. Both ways give the same result.
 
-Defined results: words are runs of letters and digits, in lower case. Items with fewer than 8
-words cannot prove a leak and match nothing; null text is empty.
+Defined results: words are runs of letters and digits, in lower case; in scripts written without
+spaces every letter is a word. Items without a word match nothing; null text is empty.
 Items with equal id and text count once; null ids take part. Empty tables give no match.
 """
 
@@ -39,9 +40,20 @@ WINDOW, IDENTITY = 13, 0.8
 #: Benchmark text that may be sent to every task.
 BROADCAST_BYTES = 8_000_000
 _WORD = re.compile(r"[^\W_]+")
+#: Letters of scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, Bopomofo, Yi and
+#: Chinese characters.
+_SPACELESS = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3021-\u3029\u3031-\u312f"
+              "\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\ua48f\uaa60-\uaa7f"
+              "\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff")
+_ANY_WORD = re.compile(rf"(?![\W_])[{_SPACELESS}]|[^\W_{_SPACELESS}]+")
 _ODD = [pow(0x9E3779B97F4A7C15, 2 * i + 1, 2**64) | 1 for i in range(64)]
 
 
+def split_words(text: str | None) -> list[str]:
+    text = (text or "").lower()
+    return (_WORD if text.isascii() else _ANY_WORD).findall(text)
+
+
 class Words:
     """64-bit hashes of words, remembered up to a bound."""
 
@@ -49,7 +61,7 @@ class Words:
         self.known, self.bound = {}, bound
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = _WORD.findall((text or "").lower())
+        words = split_words(text)
         known = self.known
         if len(known) > self.bound:
             known.clear()
@@ -82,18 +94,33 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, window: int = WINDOW,
     Word i of the item lies on word i + ``shift`` of the document.
     """
     lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
-    width = min(window, len(item))
-    if hi - lo < width or width < MIN_WORDS:
+    short = len(item) < MIN_WORDS
+    width = len(item) if short else min(window, len(item))
+    if hi - lo < width or not width or width < MIN_WORDS and not short:
         return None
     equal = (item[lo:hi] == doc[lo + shift:hi + shift]).astype(np.int64)
     sums = np.concatenate([[0], np.cumsum(equal)])
-    good = np.nonzero(sums[width:] - sums[:-width] >= identity * width - 1e-9)[0]
+    needed = width if short else identity * width - 1e-9
+    good = np.nonzero(sums[width:] - sums[:-width] >= needed)[0]
     if not len(good):
         return None
     first, last = int(good[0]), int(good[-1]) + width
     return lo + first + shift, lo + last + shift, int(sums[last] - sums[first])
 
 
+def item_seeds(words: int) -> tuple[str, ...]:
+    """The seeds of an item: a short one has a single seed, all its words."""
+    return SEEDS if words >= MIN_WORDS else ("1" * words,) if words else ()
+
+
+def first_places(hashes: np.ndarray, seed: str) -> np.ndarray:
+    """Where a document's hashes of a seed are looked up. All words of a short item agree
+    wherever it lies, so its first place is enough."""
+    if seed in SEEDS:
+        return np.arange(len(hashes))
+    return np.sort(np.unique(hashes, return_index=True)[1])
+
+
 class Index:
     """Seed hashes of a bounded benchmark, for lookups inside a task."""
 
@@ -102,8 +129,10 @@ class Index:
         self.ids = [i for i, _ in items]
         self.words = [words(t) for _, t in items]
         self.tables = []
-        for seed in SEEDS:
-            made = [seed_hashes(w, seed) for w in self.words]
+        seeds = [item_seeds(len(w)) for w in self.words]
+        for seed in sorted({s for own in seeds for s in own}):
+            made = [seed_hashes(w, seed) if seed in own else np.zeros(0, np.uint64)
+                    for w, own in zip(self.words, seeds)]
             hashes = np.concatenate([np.zeros(0, np.uint64), *made])
             item = np.repeat(np.arange(len(made)), [len(m) for m in made])
             at = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(m)) for m in made]])
@@ -168,18 +197,27 @@ def _bounded(items: DataFrame, limit: int) -> list | None:
     return [tuple(r) for r in items.orderBy("__item", "__text").collect()] if size <= limit else None
 
 
-def _placed(batches):
-    """Seed hashes of each text with their place: item or document words at a hash."""
+def _lengths(batches):
+    """How many words the short items have."""
+    found = {n for batch in batches for text in batch.column("__text").to_pylist()
+             if 0 < (n := len(split_words(text))) < MIN_WORDS}
+    yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int32())], ["n"])
+
+
+def _placed(batches, short: tuple[str, ...] | None = None):
+    """Seed hashes of each text with their place: item or, where the seeds of ``short`` items
+    are given, document words at a hash."""
     words = Words()
     for batch in batches:
         keys, hashes, places = [], [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             own = words(text)
-            for seed in SEEDS:
+            for seed in item_seeds(len(own)) if short is None else SEEDS + short:
                 made = seed_hashes(own, seed)
-                keys += [key] * len(made)
-                hashes.append(made)
-                places += range(len(made))
+                at = first_places(made, seed)
+                keys += [key] * len(at)
+                hashes.append(made[at])
+                places += at.tolist()
         flat = np.concatenate([np.zeros(0, np.uint64), *hashes]).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys, batch.schema.field(0).type), pa.array(flat),
@@ -195,7 +233,11 @@ def _joined_leaks(docs: DataFrame, items: DataFrame, window: int, identity: floa
     texts = docs.select(F.md5("__text").alias("key"), "__text").distinct()
     questions = items.select(F.md5("__text").alias("key"), "__text").distinct()
     placed = "key string, hash long, at int"
-    left = texts.mapInArrow(_placed, placed)
+    # At most MIN_WORDS - 1 lengths, so many rows a task.
+    short = tuple("1" * r[0] for r in questions.select("__text").mapInArrow(_lengths, "n int")
+                  .distinct().orderBy("n").collect())
+    short = tuple(s for s in short if s not in SEEDS)
+    left = texts.mapInArrow(lambda batches: _placed(batches, short), placed)
     right = questions.mapInArrow(_placed, placed)
     pairs = (left.alias("d").join(right.alias("b"), F.col("d.hash") == F.col("b.hash"))
              .select(F.col("d.key").alias("d"), F.col("b.key").alias("b"),

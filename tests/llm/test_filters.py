@@ -127,6 +127,30 @@ def test_leaks_against_brute_force(spark, make_docs):
     assert again.count() == kept.count()
 
 
+def test_short_items_and_scripts_without_spaces(spark, make_docs):
+    capital = "What is the capital of France?"
+    clauses = "今天的天气很好，我们一起去公园散步。晚上我们在家里看电影。"
+    thai = "ประเทศไทยมีเมืองหลวงชื่อกรุงเทพมหานครและเป็นเมืองใหญ่"
+    items = [(1, capital), (2, clauses), (3, "yes no maybe so then"), (4, "?!"), (5, thai),
+             (6, "东京在哪里")]
+    docs = make_docs([
+        (1, f"Q: {capital.upper()} A: Paris. {capital}"), (2, "what is the capital of Spain france"),
+        (3, f"前言。{clauses}结束"), (4, clauses[:9] + "其他完全不同的内容在这里"),
+        (5, "oh yes, no, maybe: so; then!"), (6, f"ก ข {thai}"), (7, "问：东京在哪里？"),
+        (8, clauses.replace("公园", "海边")), (9, "the capital of france is what")])
+    benchmark = spark.createDataFrame(items, BENCHMARK)
+    want = {(1, 1), (3, 2), (8, 2), (5, 3), (6, 5), (7, 6)}
+    near = decontaminate.find_leaks(docs, benchmark)
+    far = decontaminate.find_leaks(docs, benchmark, broadcast_bytes=0)
+    assert sorted(map(tuple, near.collect())) == sorted(map(tuple, far.collect()))
+    assert {(r["doc_id"], r["item_id"]) for r in near.collect()} == want
+    first = near.where("doc_id = 1").first()
+    assert (first["first_word"], first["end_word"], first["equal_words"]) == (1, 7, 6)
+    for size in (0, 8_000_000):
+        kept = decontaminate.decontaminate(docs, benchmark, broadcast_bytes=size)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [2, 4, 9]
+
+
 def test_seeds_miss_no_window():
     for width in range(decontaminate.MIN_WORDS, decontaminate.WINDOW + 1):
         for bad in itertools.combinations(range(width), int(width * 0.2 + 1e-9)):
