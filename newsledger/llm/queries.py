@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from newsledger.llm import (chat, decontaminate, exact_dedup, langid, mixing, secret_scan,
-                            simhash, suffix_dedup, toxicity, warc)
+from newsledger.llm import (chat, decontaminate, exact_dedup, langid, license_scan, mixing,
+                            secret_scan, simhash, suffix_dedup, toxicity, warc)
 from newsledger.llm.common import read
 
 
@@ -53,6 +53,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     read(spark, sf_dir, "benchmark"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -60,7 +64,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_language_id, op3_secret_scan, op4_chat_rotation, op5_simhash,
     op6_toxicity, op7_mixing, op8_warc_derivatives, op9_suffix_dedup, op10_decontamination,
-    pipeline)}
+    op11_license_scan, pipeline)}
 
 #: Same rows as the query of that name. Fitted models, fingerprints, records of bytes and
 #: suffix order have no SQL form; tests hold those operators against brute force.
