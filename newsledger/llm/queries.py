@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from newsledger.llm import (chat, decontaminate, exact_dedup, langid, license_scan, mixing,
-                            ranked_search, secret_scan, simhash, suffix_dedup, toxicity, warc)
+                            prefix_trie, ranked_search, secret_scan, simhash, suffix_dedup,
+                            toxicity, warc)
 from newsledger.llm.common import read
 
 
@@ -62,6 +63,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
                               read(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -69,7 +74,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_language_id, op3_secret_scan, op4_chat_rotation, op5_simhash,
     op6_toxicity, op7_mixing, op8_warc_derivatives, op9_suffix_dedup, op10_decontamination,
-    op11_license_scan, op12_ranked_search, pipeline)}
+    op11_license_scan, op12_ranked_search, op13_prefix_trie, pipeline)}
 
 #: Same rows as the query of that name. Fitted models, fingerprints, records of bytes and
 #: suffix order have no SQL form; tests hold those operators against brute force.
@@ -85,6 +90,7 @@ FROM d WINDOW w AS (PARTITION BY t)
     "op4_chat_rotation": chat.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op12_ranked_search": ranked_search.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
