@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from newsledger.llm.common import by_group, tasks
+from newsledger.llm.common import tasks
 from newsledger.session import materialize
 
 #: Conversations that borrow from one, and the first turns that can be borrowed.
@@ -185,9 +185,26 @@ def _nodes(batches: Iterable[pa.RecordBatch], rows: int):
             [*NODE, "p1", "p2", "turn", "len", "n_convs", "conv_id"])
 
 
-def _subtrees(batches: Iterable[pa.RecordBatch], block: int):
+def _units(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Shards of about ``rows`` rows that hold whole blocks of conversations, from rows in order
+    of conversation and block."""
+    rest: list[pa.RecordBatch] = []
+    for table in _shards(batches, rows):
+        table = pa.Table.from_batches([*rest, *table.to_batches()])
+        conv, block = _numbers(table, "conv_id", "block")
+        cut = len(conv) - 1
+        while cut and conv[cut - 1] == conv[-1] and block[cut - 1] == block[-1]:
+            cut -= 1
+        if cut:
+            yield table.slice(0, cut)
+        rest = table.slice(cut).to_batches()
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def _subtrees(batches: Iterable[pa.RecordBatch], block: int, rows: int):
     """Sums over the subtrees of each shard's nodes, within their block of depths."""
-    for table in by_group(batches, "shard"):
+    for table in _units(batches, rows):
         depth, d1, d2, p1, p2, leaf, saved = _numbers(
             table, "depth", "d1", "d2", "p1", "p2", "leaf", "saved")
         slots = Slots(d1, d2)
@@ -413,12 +430,10 @@ def trie(turns: DataFrame, block: int = BLOCK, shard_rows: int = SHARD_ROWS,
     values = values.where((F.col("leaf") > 0) | (F.col("saved") > 0))
     if deep:
         values = _carried(values, convs, block)
-    shards = F.pmod(F.xxhash64("conv_id", "block"), F.lit(1 + rows.count() // shard_rows))
-    sums = (rows.select("conv_id", *NODE, "p1", "p2", shards.alias("shard"))
-            .join(values, ["conv_id", "depth"], "left").drop("conv_id")
-            .fillna(0, ["leaf", "saved"])
-            .repartition(width, "shard").sortWithinPartitions("shard")
-            .mapInArrow(lambda b: _subtrees(b, block),
+    sums = (rows.select("conv_id", "block", *NODE, "p1", "p2")
+            .join(values, ["conv_id", "depth"], "left").fillna(0, ["leaf", "saved"])
+            .repartition(width, "conv_id", "block").sortWithinPartitions("conv_id", "block")
+            .mapInArrow(lambda b: _subtrees(b, block, shard_rows),
                         "depth long, d1 long, d2 long, n_leaves long, saved_tokens long"))
     ends = (rows.where("last").select(*NODE, "conv_id")
             .repartitionByRange(width, "conv_id").sortWithinPartitions("conv_id")
