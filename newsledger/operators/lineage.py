@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsledger.functions import ids, similarity as S, text as T
-from newsledger.operators import stories as ST
+from newsledger.operators import stories as ST, titles
 from newsledger.operators.barrier import computed
 from newsledger.operators.skew import salted_join
 from newsledger.session import materialize
@@ -112,14 +112,10 @@ def shared_origin_parents(open_: DataFrame, features: dict[str, DataFrame],
     return _best_similar(pairs, ORIGIN_THRESHOLD, "shared_origin_url")
 
 
-def _entity_blocks(rows: DataFrame, *keep: str) -> DataFrame:
-    """One row per named vendor or model and title block: ids and the title's length only."""
-    rows = computed(rows, {"_keys": ST.title_blocks(F.col("title_n"), F.col("tokens"))})
-    named = F.concat(F.transform("vendors", lambda v: F.concat(F.lit("v"), v)),
-                     F.transform("models", lambda m: F.concat(F.lit("m"), m)))
-    return (rows.select(*keep, F.length("title_n").alias("length"), "_keys",
-                        F.explode(named).alias("_entity"))
-            .withColumn("_key", F.explode("_keys")).drop("_keys"))
+def _blocks(rows: DataFrame, order: Column, *keep: str) -> DataFrame:
+    """One row per title block: ids, names and what bounds the similarity, without the titles."""
+    return titles.with_block_keys(rows, order).select(
+        *keep, "vendors", "models", F.length("title_n").alias("length"), F.inline("_keys"))
 
 
 def title_parents(open_: DataFrame, features: dict[str, DataFrame],
@@ -127,27 +123,28 @@ def title_parents(open_: DataFrame, features: dict[str, DataFrame],
                   threshold: float = TITLE_THRESHOLD) -> DataFrame:
     """Parent by title: both mergeable, compatible, with a common vendor or model.
 
-    Stories meet on that vendor or model, a title block and the prior day, as ids with
-    lengths that allow the threshold; titles join the distinct pairs afterwards.
+    Stories meet in a title block and on the prior day, by their rarest bigrams and words, as
+    ids with lengths and places that allow the threshold; titles join the distinct pairs
+    afterwards. A vendor named in a third of all titles is no join key.
     """
-    if threshold < ST.THRESHOLD:
+    if threshold < titles.THRESHOLD:
         raise ValueError("title blocks lose no pair only from 0.86 upward")
     named = F.col("mergeable") & ((F.size("vendors") > 0) | (F.size("models") > 0))
-    titles = ["title_n", "tokens", "vendors", "models"]
-    prior = (features["stories"].where(named)
-             .groupBy(F.col("day").alias("prior_day"), *titles)
-             .agg(F.max("story_id").alias("prior_story_id")))
-    child = open_.where(named).select(*KEY, *titles)
-    near = (_entity_blocks(child, *KEY).withColumnRenamed("length", "x_length")
+    columns = ["title_n", "tokens", "vendors", "models"]
+    prior = materialize(features["stories"].where(named)
+                        .groupBy(F.col("day").alias("prior_day"), *columns)
+                        .agg(F.max("story_id").alias("prior_story_id")))
+    order = titles.corpus_order(prior)
+    child = open_.where(named).select(*KEY, *columns)
+    near = (_blocks(child, order, *KEY)
             .withColumn("prior_day", F.explode(F.transform(
                 F.sequence(F.lit(1), F.lit(lookback)), lambda i: F.date_sub(F.col("day"), i)))))
-    far = _entity_blocks(prior, "prior_day", "prior_story_id").withColumnRenamed(
-        "length", "y_length")
-    bound = S.ratio_bound(F.col("x_length"), F.col("y_length"))
-    # equal words may lift a lower ratio, but such titles also meet in a word block
-    pairs = (near.join(far, ["_entity", "_key", "prior_day"])
-             .where((bound >= ST.THRESHOLD) | (F.col("_key").startswith("w") & (bound >= 0.7666)))
-             .select(*KEY, "prior_day", "prior_story_id").distinct())
+    far = _blocks(prior, order, "prior_day", "prior_story_id")
+    common = (F.arrays_overlap("x_vendors", "y_vendors")
+              | F.arrays_overlap("x_models", "y_models"))
+    pairs = (titles.meet(near, far, ["prior_day", "key"], common)
+             .select(F.col("x_day").alias("day"), F.col("x_story_id").alias("story_id"),
+                     "prior_day", F.col("y_prior_story_id").alias("prior_story_id")).distinct())
     pairs = (pairs.join(child.select(*KEY, *_titles(child, "x")), KEY)
              .join(prior.select("prior_day", "prior_story_id", *_titles(prior, "y")),
                    ["prior_day", "prior_story_id"]))

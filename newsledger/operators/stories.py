@@ -2,44 +2,40 @@
 
 Items are read in time order. An item joins the first story that knows its URL and is
 compatible, else the first story whose founder has a similar title within six hours,
-else it founds a story. The outcome depends on the order, so it cannot be a plain
-join; but an item can only ever join a story it is connected to. Hence:
+else it founds a story. The outcome depends on the order, yet an item only waits for the few
+earlier ones that might still take it:
 
 1. Copies (same day, URL, title and source) collapse to their first item: all later
    copies provably follow it. A flood of copies is one aggregate.
-2. Links connect the rest: equal URLs, and titles that may reach the threshold.
-   Candidate titles meet in blocks that lose no pair (``_title_keys``). A block too
-   large for pairs links its members as a whole, which only makes components larger.
-3. Connected components of the links are independent of each other.
-4. Components are read in order, in chunks of bounded size; a chunk first looks up
-   the stories of earlier chunks by join, then reads itself in one task.
+2. Similar titles are joined exactly (``titles``), within six hours or within one URL and
+   source. Of blocks that stay crowded only the first open members are compared.
+3. Rounds settle items of all days at once. An item settles when the first story that
+   would take it lies before every open item that could still found or enter such a story.
+   Stories of another source under one URL are found by an index of named vendors and models,
+   so no pairs form within a URL. The earliest open item always settles; a day of near-equal
+   titles takes a few rounds, since all that a founder takes settle together.
 
 The result equals reading the whole day in order.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsledger import fixed_values as fixed
-from newsledger.functions import ids, similarity as S, text as T
+from newsledger.functions import ids, text as T
 from newsledger.functions.urls import story_url, url_host, safe_canonical
+from newsledger.operators import titles
 from newsledger.operators.barrier import computed
-from newsledger.operators.ordered import with_rank
 from newsledger.session import materialize
 
 WINDOW_HOURS = 6
-THRESHOLD = 0.86
-BLOCK_ROWS = 500
-CHUNK_ROWS = 2000
 SLOT = WINDOW_HOURS * 3_600_000_000
-# the most frequent letters first: blocks use the bigrams whose letters come last
-_COMMON = " etaoinsrhldcumfpgwybvk"
-# share of a title's bigrams that a partner at the threshold may lack, see _title_keys:
-# with M = 0.43 (a + b) and b <= 57/43 a, 2 (a - M) + (b - M) is largest for the shortest
-# partner, b = 43/57 a, where it is 28/57 a
-_LOST = (28, 57)
+#: Members of a block that are compared in pairs, and first open members of a larger one.
+BLOCK_ROWS, FRONT_ROWS = 200, 64
+COPY = ["day", "canon", "title_n", "source_id"]
+REP = ["day", "rep"]
+BLOCK = ["day", "block", "key"]
 
 
 def story_features(items: DataFrame) -> DataFrame:
@@ -53,339 +49,258 @@ def story_features(items: DataFrame) -> DataFrame:
         F.col("item_ord").alias("o5")))
 
 
-COPY = ["day", "canon", "title_n", "source_id"]
-
-
 def _representatives(rows: DataFrame) -> DataFrame:
+    """The first of each set of copies; ``shared`` tells whether others have its URL."""
     reps = (rows.groupBy(*COPY).agg(F.min("ord").alias("ord"))
             .withColumn("t", F.when(F.col("ord.o1") > -(2 ** 62), F.col("ord.o1")))
             .withColumn("rep", F.sha2(F.to_json(F.struct(*COPY)), 256)))
     tokens = T.title_tokens(F.col("title_n"))
     reps = computed(reps, {"tokens": tokens, "vendors": T.title_vendors(F.col("title_n")),
                            "models": T.title_models(F.col("title_n"))})
-    return reps.withColumn("mergeable", T.title_is_mergeable(F.col("title_n"), F.col("tokens")))
-
+    pages = (reps.groupBy("day", "canon").agg((F.count("*") > 1).alias("shared")))
+    return reps.join(pages, ["day", "canon"]).withColumn(
+        "mergeable", T.title_is_mergeable(F.col("title_n"), F.col("tokens")))
 
-def _title_keys(reps: DataFrame) -> DataFrame:
-    """(day, key, rep): blocks in which every pair at the threshold meets.
 
-    Similarity 0.86 needs a ratio of 0.86, or a Jaccard value above 0.86.
-
-    * Ratio r = 2M/(a+b) over M matched characters. A title of length a loses at most
-      2(a-M) + (b-M) bigrams against its partner, which for r >= 0.86 is at most
-      28/57 a. Two sets that share all but so many elements share one among their
-      first 28/57 a + 1 elements under any common order; the order here puts bigrams
-      of rare letters first to keep blocks small. Titles with too few distinct bigrams
-      for the bound meet in a block of their own.
-    * Jaccard: the same argument with 0.14 of the tokens.
-
-    Every key is cut by time into overlapping blocks of two slots.
-    """
-    title = F.col("title_n")
-    # one title of a pair has 18 characters at least, and a ratio below 0.7666 cannot reach
-    # the threshold even with equal words: the other has 12 or more
-    dated = reps.where(F.col("t").isNotNull() & (F.length(title) >= 12))
-    rows = computed(dated, {"_keys": title_blocks(title, F.col("tokens"))})
+# --- candidates ------------------------------------------------------------------
+def _block_keys(reps: DataFrame, order: Column) -> DataFrame:
+    """Rows (day, rep, block, key, ...) of titles that may be similar. A ``block`` is two time
+    slots, or a URL and source. Blocks of time need both titles dated and one of them mergeable,
+    with 18 characters at least, so the other has 12 or more."""
     slot = F.floor(F.col("t") / SLOT)
-    return (rows.select("day", "rep", "t", F.length(title).alias("length"),
-                        F.explode("_keys").alias("_key"), F.array(slot, slot + 1).alias("_slots"))
-            .withColumn("_slot", F.explode("_slots"))
-            .withColumn("key", F.concat_ws("\x00", "_key", "_slot"))
-            .drop("_key", "_slot", "_slots"))
-
-
-def title_blocks(title: Column, tokens: Column) -> Column:
-    """Keys of a title; two titles at the threshold share at least one."""
-    grams = F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(title) - 1)),
-        lambda i: F.substring(title, i, F.lit(2))))
-    ranked = F.array_sort(F.transform(grams, lambda g: F.struct(
-        _rarity(g).alias("r"), F.xxhash64(g).alias("h"), g.alias("g"))))
-    lost = F.floor(F.length(title) * _LOST[0] / _LOST[1] + 1e-9).cast("int")
-    first = F.slice(ranked, F.lit(1), F.greatest(F.lit(1), lost + 1))
-    weak = F.when(F.size(grams) <= lost, F.array(F.lit("weak"))).otherwise(T.empty_strings())
-    some = (F.size(tokens) - F.ceil(F.size(tokens) * 0.86) + 1).cast("int")
-    words = F.slice(F.array_sort(tokens), F.lit(1), F.greatest(F.lit(1), some))
-    return F.concat(F.transform(first, lambda x: F.concat(F.lit("g"), x["g"])), weak,
-                    F.transform(words, lambda w: F.concat(F.lit("w"), w)))
-
-
-def _rarity(gram: Column) -> Column:
-    def place(letter: Column) -> Column:
-        found = F.instr(F.lit(_COMMON), letter)
-        return F.when(found == 0, len(_COMMON) + 1).otherwise(found)
-    return -(place(F.substring(gram, 1, 1)) + place(F.substring(gram, 2, 1)))
-
-
-def _similar_enough(rows: DataFrame, later: str, earlier: str) -> DataFrame:
-    """Keep pairs at the threshold; the ratio runs only where the lengths allow it."""
-    a, b = F.col(f"{later}_title"), F.col(f"{earlier}_title")
-    ja = T.jaccard(F.col(f"{later}_tokens"), F.col(f"{earlier}_tokens"))
-    bound = S.ratio_bound(F.length(a), F.length(b))
-    rows = computed(rows, {"_j": ja, "_bound": bound})
-    possible = S.blend(F.col("_bound"), F.col("_j")) >= THRESHOLD
-    rows = rows.where(possible).withColumn("_r", S.ratio_above(a, b, 0.7666))
-    return (computed(rows, {"similarity": S.blend(F.col("_r"), F.col("_j"))})
-            .where(F.col("similarity") >= THRESHOLD).drop("_j", "_bound", "_r"))
-
-
-def _links(reps: DataFrame) -> DataFrame:
-    """(day, rep, link): members of a link belong to one component."""
-    same_url = reps.select("day", "rep", F.concat(F.lit("u"), "canon").alias("link"))
-    keys = materialize(_title_keys(reps))
-    sizes = keys.groupBy("day", "key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    hot = sizes.where(F.col("n") > BLOCK_ROWS).select("day", "key")
-    crowded = (keys.join(hot, ["day", "key"], "left_semi")
-               .select("day", "rep", F.concat(F.lit("b"), "key").alias("link")))
-    small = keys.join(sizes.where(F.col("n") <= BLOCK_ROWS).select("day", "key"),
-                      ["day", "key"], "left_semi")
-
-    def side(name: str) -> DataFrame:
-        return small.select("day", "key", *[F.col(c).alias(f"{name}_{c}")
-                                            for c in ("rep", "t", "length")])
-
-    # first only ids and lengths: a ratio of 0.86 bounds the lengths, a word key does not
-    bound = S.ratio_bound(F.col("x_length"), F.col("y_length"))
-    met = (side("x").join(side("y"), ["day", "key"])
-           .where((F.col("x_rep") < F.col("y_rep"))
-                  & (F.abs(F.col("x_t") - F.col("y_t")) <= SLOT)
-                  & ((bound >= THRESHOLD) | (F.col("key").startswith("w") & (bound >= 0.7666))))
-           .select("day", "x_rep", "y_rep").distinct())
-    title = F.struct("ord", "rep", "title_n", "tokens", "mergeable")
-    pairs = (met.join(reps.select("day", F.col("rep").alias("x_rep"), title.alias("_x")),
-                      ["day", "x_rep"])
-             .join(reps.select("day", F.col("rep").alias("y_rep"), title.alias("_y")),
-                   ["day", "y_rep"]))
-    x_later = F.col("_x.ord") > F.col("_y.ord")
-    pairs = pairs.select("day", F.when(x_later, F.col("_x")).otherwise(F.col("_y")).alias("_l"),
-                         F.when(x_later, F.col("_y")).otherwise(F.col("_x")).alias("_e"))
-    pairs = pairs.where("_l.mergeable").select(
-        "day", *[F.col(f"{s}.{c}").alias(f"{n}_{c.split('_')[0]}")
-                 for s, n in (("_l", "x"), ("_e", "y")) for c in ("rep", "title_n", "tokens")])
-    similar = _similar_enough(pairs, "x", "y").select(
-        "day", F.array("x_rep", "y_rep").alias("_reps"),
-        F.concat(F.lit("p"), "x_rep", "y_rep").alias("link"))
-    return (same_url.unionByName(crowded)
-            .unionByName(similar.select("day", F.explode("_reps").alias("rep"), "link")))
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(day, rep, component): smallest label spread over shared links to a fixed point.
-
-    Both steps are aggregates with map-side combining, so a link shared by a third of
-    all items stays cheap. Labels also jump to their label's label, which keeps the
-    number of rounds logarithmic in practice. Every round is a written table.
+    dated = F.col("t").isNotNull() & (F.length("title_n") >= 12)
+    slots = F.when(dated, F.array(F.concat(F.lit("t"), slot), F.concat(F.lit("t"), slot + 1)))
+    page = F.when(F.col("shared"), F.array(
+        F.concat(F.lit("u"), F.sha2(F.concat_ws("\x00", "canon", "source_id"), 256))))
+    blocks = F.concat(F.coalesce(slots, T.empty_strings()), F.coalesce(page, T.empty_strings()))
+    rows = titles.with_block_keys(reps, order)
+    return (rows.select(*REP, "ord", F.length("title_n").alias("length"), "_keys",
+                        F.explode(blocks).alias("block"))
+            .select(*REP, "ord", "length", "block", F.inline("_keys")))
+
+
+def _met(x: DataFrame, y: DataFrame) -> DataFrame:
+    """Distinct pairs (day, x, y) of members that share a block, ``x`` later than ``y``."""
+    pairs = titles.meet(x, y, BLOCK, F.col("x_ord") > F.col("y_ord"))
+    return pairs.select("day", F.col("x_rep").alias("x"), F.col("y_rep").alias("y")).distinct()
+
+
+def _edges(met: DataFrame, reps: DataFrame) -> DataFrame:
+    """(day, x, y, ord, similarity, by_title, by_url): ``x`` may join the story that the earlier
+    ``y``, at ``ord``, founds, by its title or as one of their URL and source."""
+    what = F.struct("ord", "t", "canon", "source_id", "title_n", "tokens", "vendors", "models",
+                    "mergeable")
+    pairs = (met.join(reps.select("day", F.col("rep").alias("x"), what.alias("_l")), ["day", "x"])
+             .join(reps.select("day", F.col("rep").alias("y"), what.alias("_e")), ["day", "y"]))
+    near = F.abs(F.col("_l.t") - F.col("_e.t")) <= SLOT
+    fits = T.titles_compatible(F.col("_l.vendors"), F.col("_l.models"),
+                               F.col("_e.vendors"), F.col("_e.models"))
+    pairs = pairs.where(fits).select(
+        "day", "x", "y", F.col("_e.ord").alias("ord"), "_l", "_e",
+        F.coalesce(F.col("_l.mergeable") & near, F.lit(False)).alias("by_title"),
+        ((F.col("_l.canon") == F.col("_e.canon"))
+         & (F.col("_l.source_id") == F.col("_e.source_id"))).alias("by_url"))
+    return titles.similar(pairs.where("by_title or by_url"), "_l", "_e").drop("_l", "_e")
+
+
+def _crowded(keys: DataFrame) -> DataFrame:
+    return materialize(keys.groupBy(*BLOCK).agg(F.count("*").alias("n"))
+                       .where(F.col("n") > BLOCK_ROWS).select(*BLOCK))
+
+
+def candidates(reps: DataFrame, order: Column) -> tuple[DataFrame, DataFrame | None]:
+    """Edges of similar titles, and the members of blocks too large for pairs, or None."""
+    keys = materialize(_block_keys(reps, order))
+    crowd = _crowded(keys)
+    if crowd.isEmpty():
+        return materialize(_edges(_met(keys, keys), reps)), None
+    small = keys.join(crowd, BLOCK, "left_anti")
+    full = keys.join(crowd, BLOCK, "left_semi")
+    split = materialize(titles.split_keys(
+        full.join(reps.select(*REP, "title_n", "tokens"), REP), order))
+    crowd = _crowded(split)
+    small = small.unionByName(split.join(crowd, BLOCK, "left_anti"))
+    full = materialize(split.join(crowd, BLOCK, "left_semi"))
+    edges = materialize(_edges(_met(small, small), reps))
+    return edges, (None if full.isEmpty() else full)
+
+
+def _front(members: DataFrame, open_: DataFrame, news: DataFrame | None, reps: DataFrame
+           ) -> tuple[DataFrame, DataFrame]:
+    """Of crowded blocks: edges among their first open members, and of all open members to the
+    founders of the last round; and, as facts, the first open member for each hidden one."""
+    live = materialize(members.join(open_.select(*REP), REP, "left_semi").withColumn(
+        "place", F.row_number().over(Window.partitionBy(*BLOCK).orderBy("ord"))))
+    front = live.where(F.col("place") <= FRONT_ROWS).drop("place")
+    met = _met(front, front)
+    if news is not None:
+        founders = members.join(news.where(F.col("reason") == "founder").select(*REP), REP,
+                                "left_semi")
+        met = met.unionByName(_met(live.drop("place"), founders)).distinct()
+    first = live.where(F.col("place") == 1).select(*BLOCK, "ord")
+    hidden = live.where(F.col("place") > FRONT_ROWS).select(*REP, "block", "key")
+    return (materialize(_edges(met, reps)),
+            materialize(_facts(hidden.join(first, BLOCK), F.lit("hidden"))))
+
+
+# --- rounds ----------------------------------------------------------------------
+def _facts(rows: DataFrame, kind: Column, founder: str | None = None,
+           similarity: str | None = None) -> DataFrame:
+    """What a round knows of an open item: a story that may take it, or an open item that may
+    still found or enter one, at ``ord``."""
+    return rows.select(
+        *REP, kind.alias("kind"), "ord",
+        (F.col(founder) if founder else F.lit(None).cast("string")).alias("founder"),
+        (F.col(similarity) if similarity else F.lit(None).cast("double")).alias("similarity"))
+
+
+def _named(names: Column, asked: bool) -> Column:
+    """Keys under which compatible names meet: ``*`` is anything, ``-`` names nothing."""
+    if asked:
+        return F.when(F.size(names) == 0, F.array(F.lit("*"))).otherwise(
+            F.concat(F.array(F.lit("-")), names))
+    return F.concat(F.array(F.lit("*")), F.when(F.size(names) == 0, F.array(F.lit("-")))
+                    .otherwise(names))
+
+
+def _other_sources(open_: DataFrame, entries: DataFrame) -> DataFrame:
+    """First compatible story, and first open item, of another source under the same URL.
+
+    Per URL and pair of names the firsts of the two earliest sources are kept: one of the two
+    is of another source.
     """
-    shared = links.groupBy("day", "link").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    links = materialize(links.join(shared.drop("n"), ["day", "link"], "left_semi"))
-    labels = materialize(links.select("day", "rep").distinct()
-                         .withColumn("component", F.col("rep")))
-    while True:
-        spread = (links.join(labels, ["day", "rep"]).groupBy("day", "link")
-                  .agg(F.min("component").alias("component")))
-        least = (links.join(spread, ["day", "link"]).groupBy("day", "rep")
-                 .agg(F.min("component").alias("component")))
-        jump = least.select("day", F.col("rep").alias("component"),
-                            F.col("component").alias("further"))
-        after = (least.join(jump, ["day", "component"], "left")
-                 .select("day", "rep", F.least("component", F.coalesce(
-                     "further", "component")).alias("component")))
-        after = materialize(after)
-        moved = (after.join(labels.withColumnRenamed("component", "old"), ["day", "rep"])
-                 .where(F.col("component") != F.col("old")).limit(1).count())
-        labels = after
-        if not moved:
-            return labels
-
-
-# --- reading one chunk in order ------------------------------------------------
-_ASSIGNED = ("day date, component string, rep string, founder string, reason string, "
-             "similarity double")
-
-
-def _clash(a: set, b: set) -> bool:
-    return bool(a) and bool(b) and not (a & b)
-
-
-def _similarity(a: str, tokens_a: set, b: str, tokens_b: set, ratio) -> float:
-    both = len(tokens_a & tokens_b)
-    jaccard = both / (len(tokens_a) + len(tokens_b) - both) if both else 0.0
-    return max(ratio, ratio * 0.6 + jaccard * 0.4)
-
-
-class _Reader:
-    """Reads items in order and remembers founders and the stories known per URL."""
-
-    def __init__(self) -> None:
-        self.founders: list[dict] = []
-        self.by_url: dict[str, list[dict]] = {}
-
-    @staticmethod
-    def compatible(item: dict, founder: dict) -> bool:
-        return not (_clash(item["vendors"], founder["vendors"])
-                    or _clash(item["models"], founder["models"]))
-
-    @staticmethod
-    def close(item: dict, founder: dict) -> float:
-        """Similarity, or 0 where length already rules the threshold out."""
-        a, b = item["title_n"], founder["title_n"]
-        top = 2.0 * min(len(a), len(b)) / ((len(a) + len(b)) or 1)
-        if _similarity(a, item["tokens"], b, founder["tokens"], top) < THRESHOLD:
-            return 0.0
-        return _similarity(a, item["tokens"], b, founder["tokens"], S.ratio_or_zero(a, b, 0.7666))
-
-    def by_known_url(self, item: dict) -> dict | None:
-        for founder in self.by_url.get(item["canon"], ()):
-            if not self.compatible(item, founder):
-                continue
-            other = founder["source_id"] != item["source_id"]
-            if (other or founder["title_n"] == item["title_n"]
-                    or self.close(item, founder) >= THRESHOLD):
-                return founder
-        return None
-
-    def by_title(self, item: dict) -> tuple[dict | None, float]:
-        if item["mergeable"] and item["t"] is not None:
-            for founder in self.founders:
-                if founder["t"] is None or abs(item["t"] - founder["t"]) > SLOT:
-                    continue
-                value = self.close(item, founder)
-                if value >= THRESHOLD and self.compatible(item, founder):
-                    return founder, value
-        return None, 0.0
-
-    def place(self, item: dict) -> tuple[str, str, float]:
-        """Founder, reason and similarity of one item."""
-        if item["url_founder"] is not None:
-            return item["url_founder"], "canonical_url", 1.0
-        founder = self.by_known_url(item)
-        if founder is not None:
-            return founder["rep"], "canonical_url", 1.0
-        if item["title_founder"] is not None:
-            self.learn(item["canon"], item["title_founder_row"])
-            return item["title_founder"], "title_similarity", item["title_similarity"]
-        founder, value = self.by_title(item)
-        if founder is None:
-            self.founders.append(item)
-            self.learn(item["canon"], item)
-            return item["rep"], "founder", 0.0
-        self.learn(item["canon"], founder)
-        return founder["rep"], "title_similarity", value
-
-    def learn(self, url: str, founder: dict) -> None:
-        known = self.by_url.setdefault(url, [])
-        if all(f["rep"] != founder["rep"] for f in known):
-            known.append(founder)
-
-
-def _prepared(row: dict) -> dict:
-    for name in ("tokens", "vendors", "models"):
-        row[name] = set(row[name])
-    row["t"] = None if pd.isna(row["t"]) else int(row["t"])
-    for name in ("url_founder", "title_founder"):
-        row[name] = row[name] if isinstance(row[name], str) else None
-    if row["title_founder"] is not None:
-        row["title_founder_row"] = {
-            "rep": row["title_founder"], "title_n": row["founder_title"],
-            "source_id": row["founder_source"], "tokens": set(row["founder_tokens"]),
-            "vendors": set(row["founder_vendors"]), "models": set(row["founder_models"])}
-    return row
-
-
-def _read_chunk(chunk: pd.DataFrame) -> pd.DataFrame:
-    reader = _Reader()
-    chunk = chunk.sort_values("position")
-    out = []
-    for row in chunk.to_dict("records"):
-        founder, reason, value = reader.place(_prepared(row))
-        out.append((row["day"], row["component"], row["rep"], founder, reason, value))
-    return pd.DataFrame(out, columns=["day", "component", "rep", "founder", "reason",
-                                      "similarity"])
-
-
-_NO_EARLIER = {
-    "url_founder": "string", "title_founder": "string", "title_similarity": "double",
-    "founder_title": "string", "founder_source": "string",
-    "founder_tokens": "array<string>", "founder_vendors": "array<string>",
-    "founder_models": "array<string>"}
-
-
-def _founder_columns(reps: DataFrame) -> DataFrame:
-    return reps.select(
-        "day", "component", F.col("rep").alias("founder"), F.col("t").alias("f_t"),
-        F.col("position").alias("f_position"), F.col("title_n").alias("f_title"),
-        F.col("source_id").alias("f_source"), F.col("tokens").alias("f_tokens"),
-        F.col("vendors").alias("f_vendors"), F.col("models").alias("f_models"))
-
-
-def _with_earlier(chunk: DataFrame, reps: DataFrame, done: DataFrame) -> DataFrame:
-    """Attach what earlier chunks decided: the first accepting story by URL and title."""
-    founders = _founder_columns(reps.join(
-        done.where(F.col("reason") == "founder").select("day", "rep"), ["day", "rep"],
-        "left_semi"))
-    entries = (reps.select("day", "component", "rep", "canon", "position")
-               .join(done.where(F.col("reason") != "canonical_url"), ["day", "component", "rep"])
-               .groupBy("day", "component", "canon", "founder")
-               .agg(F.min("position").alias("entered")))
-    compatible = T.titles_compatible(F.col("vendors"), F.col("models"),
-                                     F.col("f_vendors"), F.col("f_models"))
-    near = (chunk.join(entries, ["day", "component", "canon"])
-            .join(founders, ["day", "component", "founder"]).where(compatible))
-    free = (F.col("source_id") != F.col("f_source")) | (F.col("title_n") == F.col("f_title"))
-    columns = ["day", "rep", "founder", "entered"]
-    strict = _similar_enough(_renamed(near.where(~free)), "x", "y").select(*columns)
-    by_url = (near.where(free).select(*columns).unionByName(strict).groupBy("day", "rep")
-              .agg(F.min_by("founder", "entered").alias("url_founder")))
-    alike = (chunk.where("mergeable").join(founders, ["day", "component"])
-             .where((F.abs(F.col("t") - F.col("f_t")) <= SLOT) & compatible))
-    alike = _similar_enough(_renamed(alike), "x", "y")
-    best = F.min_by(F.struct(
-        F.col("founder").alias("title_founder"), F.col("similarity").alias("title_similarity"),
-        F.col("y_title").alias("founder_title"), F.col("f_source").alias("founder_source"),
-        F.col("y_tokens").alias("founder_tokens"), F.col("f_vendors").alias("founder_vendors"),
-        F.col("f_models").alias("founder_models")), "f_position")
-    by_title = (alike.groupBy("day", "rep").agg(best.alias("_best"))
-                .select("day", "rep", "_best.*"))
-    return (chunk.join(by_url, ["day", "rep"], "left").join(by_title, ["day", "rep"], "left"))
-
-
-def _renamed(rows: DataFrame) -> DataFrame:
-    return (rows.withColumnRenamed("title_n", "x_title").withColumnRenamed("tokens", "x_tokens")
-            .withColumnRenamed("f_title", "y_title").withColumnRenamed("f_tokens", "y_tokens"))
-
-
-def _assign(reps: DataFrame, chunk_rows: int) -> DataFrame:
+    columns = ["day", "canon", "source_id", "vendors", "models", "ord"]
+    rows = (entries.select(*columns, "founder").unionByName(
+        open_.select(*columns, F.lit(None).cast("string").alias("founder"))))
+    key = ["day", "canon", "v", "m", "kind"]
+    rows = (rows.withColumn("v", F.explode(_named(F.col("vendors"), False)))
+            .withColumn("m", F.explode(_named(F.col("models"), False)))
+            .withColumn("kind", F.when(F.col("founder").isNull(), "page_open").otherwise("page"))
+            .groupBy(*key, F.col("source_id").alias("other"))
+            .agg(F.min(F.struct("ord", "founder")).alias("_first")))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("_first.ord"))
+    index = rows.withColumn("_place", place).where(F.col("_place") <= 2).select(
+        *key, "other", "_first.*")
+    asking = (open_.select(*REP, "canon", "source_id", F.col("ord").alias("own"), "models",
+                           F.explode(_named(F.col("vendors"), True)).alias("v"))
+              .withColumn("m", F.explode(_named(F.col("models"), True))).drop("models"))
+    found = asking.join(index, ["day", "canon", "v", "m"]).where(
+        (F.col("source_id") != F.col("other")) & (F.col("ord") < F.col("own")))
+    return _facts(found, F.col("kind"), "founder")
+
+
+def _guests(open_: DataFrame, entries: DataFrame, order: Column) -> DataFrame:
+    """Similar stories of the same source that entered the URL from another one."""
+    page = ["day", "canon", "source_id"]
+    guests = entries.where(F.col("home") != F.col("canon"))
+    what = F.struct("title_n", "tokens", "vendors", "models")
+
+    def keyed(rows: DataFrame, name: str, *more: str) -> DataFrame:
+        rows = titles.with_block_keys(rows, order).select(*page, *more, what.alias(name), "_keys")
+        return rows.withColumn("key", F.explode("_keys.key")).drop("_keys")
+    hosts = open_.join(guests.select(*page).distinct(), page, "left_semi")
+    pairs = (keyed(hosts.withColumn("own", F.col("ord")), "_l", "rep", "own")
+             .join(keyed(guests, "_e", "founder", "ord"), [*page, "key"])
+             .where(F.col("ord") < F.col("own")).dropDuplicates([*REP, "founder"]))
+    fits = T.titles_compatible(F.col("_l.vendors"), F.col("_l.models"),
+                               F.col("_e.vendors"), F.col("_e.models"))
+    return _facts(titles.similar(pairs.where(fits), "_l", "_e"), F.lit("page"), "founder")
+
+
+def _known(open_: DataFrame, edges: DataFrame, done: DataFrame | None, reps: DataFrame,
+           order: Column) -> DataFrame:
+    """All facts on open items."""
+    state = open_.select("day", F.col("rep").alias("y"), F.lit("open").alias("reason"))
+    if done is not None:
+        state = state.unionByName(done.where(F.col("reason") == "founder").select(
+            "day", F.col("rep").alias("y"), "reason"))
+    near = edges.join(state, ["day", "y"]).withColumnRenamed("x", "rep")
+    waits = F.col("reason") == "open"
+    facts = (_facts(near.where("by_title"), F.when(waits, "title_open").otherwise("title"),
+                    "y", "similarity")
+             .unionByName(_facts(near.where("by_url"), F.when(waits, "page_open")
+                                 .otherwise("page"), "y")))
+    shared = open_.where("shared")
+    who = reps.select("day", F.col("rep").alias("founder"), F.col("canon").alias("home"),
+                      "source_id", "vendors", "models", "title_n", "tokens")
+    if done is None:
+        entries = shared.limit(0).withColumn("founder", F.col("rep")).withColumn(
+            "home", F.col("canon"))
+        return facts.unionByName(_other_sources(shared, entries))
+    pages = shared.select("day", "canon").distinct()
+    entries = (done.where(F.col("reason") != "canonical_url")
+               .join(pages, ["day", "canon"], "left_semi")
+               .groupBy("day", "canon", "founder").agg(F.min("ord").alias("ord"))
+               .join(who, ["day", "founder"]))
+    facts = facts.unionByName(_other_sources(shared, entries))
+    # a guest came to the URL by the title of an item there; most rounds have none
+    moved = (done.where(F.col("reason") == "title_similarity").select("day", "canon", "founder")
+             .join(reps.select("day", F.col("rep").alias("founder"), "source_id"),
+                   ["day", "founder"]))
+    if shared.join(moved, ["day", "canon", "source_id"], "left_semi").isEmpty():
+        return facts
+    return facts.unionByName(_guests(shared, entries, order))
+
+
+def _settle(open_: DataFrame, facts: DataFrame) -> DataFrame:
+    """``open_`` with founder, reason and similarity; an item that has to wait has no reason."""
+    def first(kind: str) -> Column:
+        return F.min(F.when(F.col("kind") == kind, F.struct("ord", "founder", "similarity")))
+    known = facts.groupBy(*REP).agg(*[first(k).alias(k) for k in (
+        "title", "title_open", "page", "page_open", "hidden")])
+    rows = open_.join(known, REP, "left")
+    # an open item that may join a story by title can bring any story to its URL
+    roams = (F.col("title").isNotNull() | F.col("title_open").isNotNull()
+             | F.col("hidden").isNotNull())
+    roaming = (rows.where(F.col("shared") & roams).groupBy("day", "canon")
+               .agg(F.min("ord").alias("_roaming")))
+    rows = rows.join(roaming, ["day", "canon"], "left")
+    page_wait = F.least("page_open.ord", F.when(F.col("_roaming") < F.col("ord"),
+                                                F.col("_roaming")))
+    title_wait = F.least("title_open.ord", "hidden.ord")
+    rows = rows.withColumn("_page_wait", page_wait).withColumn("_title_wait", title_wait)
+
+    def sure(story: str, wait: str) -> Column:
+        return F.col(story).isNotNull() & (F.col(wait).isNull()
+                                           | (F.col(f"{story}.ord") < F.col(wait)))
+    reason = (F.when(sure("page", "_page_wait"), "canonical_url")
+              .when(F.col("_page_wait").isNotNull(), F.lit(None))
+              .when(sure("title", "_title_wait"), "title_similarity")
+              .when(F.col("_title_wait").isNotNull(), F.lit(None)).otherwise("founder"))
+    rows = rows.withColumn("reason", reason)
+    by = F.col("reason")
+    return rows.select(
+        *open_.columns, "reason",
+        F.when(by == "canonical_url", F.col("page.founder"))
+        .when(by == "title_similarity", F.col("title.founder"))
+        .when(by == "founder", F.col("rep")).alias("founder"),
+        F.when(by == "canonical_url", 1.0)
+        .when(by == "title_similarity", F.col("title.similarity")).otherwise(0.0)
+        .alias("similarity"))
+
+
+def _assign(reps: DataFrame) -> DataFrame:
     """(day, rep, founder, reason, similarity) for every representative."""
-    labels = components(_links(reps))
-    alone = (reps.join(labels, ["day", "rep"], "left_anti")
-             .select("day", F.col("rep").alias("component"), "rep",
-                     F.col("rep").alias("founder"), F.lit("founder").alias("reason"),
-                     F.lit(0.0).alias("similarity")))
-    grouped = reps.join(labels, ["day", "rep"])
-    grouped = with_rank(grouped, ["day", "component"],
-                        F.floor(F.coalesce("t", F.lit(-(2 ** 62))) / (SLOT / 24)), ["ord"],
-                        "position")
-    grouped = materialize(grouped.drop("ord").withColumn(
-        "chunk", F.floor((F.col("position") - 1) / chunk_rows)))
-    last = grouped.agg(F.max("chunk").alias("last")).first()["last"]
-    done = None
-    for number in range(0 if last is None else int(last) + 1):
-        chunk = grouped.where(F.col("chunk") == number)
-        if done is None:
-            chunk = chunk.select("*", *[F.lit(None).cast(t).alias(c)
-                                        for c, t in _NO_EARLIER.items()])
-        else:
-            earlier = grouped.where(F.col("chunk") < number)
-            open_ = chunk.select("day", "component").distinct()
-            chunk = _with_earlier(
-                chunk, earlier.join(open_, ["day", "component"], "left_semi"), done)
-        read = materialize(chunk.groupBy("day", "component")
-                           .applyInPandas(_read_chunk, _ASSIGNED))
-        done = read if done is None else done.unionByName(read)
-    return (alone if done is None else alone.unionByName(done)).drop("component")
-
-
-def cluster_items(items: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    order = titles.corpus_order(reps)
+    edges, crowd = candidates(reps, order)
+    columns = [*REP, "ord", "canon", "source_id", "title_n", "tokens", "vendors", "models",
+               "shared"]
+    open_, done, news = reps.select(*columns), None, None
+    while True:
+        hidden = None
+        if crowd is not None:
+            more, hidden = _front(crowd, open_, news, reps)
+            edges = edges.unionByName(more)
+        facts = _known(open_, edges, done, reps, order)
+        step = materialize(_settle(open_, facts if hidden is None else facts.unionByName(hidden)))
+        news = step.where(F.col("reason").isNotNull())
+        done = news if done is None else done.unionByName(news)
+        open_ = step.where(F.col("reason").isNull()).select(*columns)
+        if open_.isEmpty():
+            return done.select(*REP, "founder", "reason", "similarity")
+
+
+def cluster_items(items: DataFrame) -> DataFrame:
     """Items with their story: story_id, reason, similarity and the founder's item id.
 
     ``items`` is classified without URL dedupe. ``reason`` is ``founder`` for the item
@@ -393,12 +308,12 @@ def cluster_items(items: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """
     rows = materialize(story_features(items))
     reps = materialize(_representatives(rows))
-    assigned = materialize(_assign(reps, chunk_rows))
+    assigned = materialize(_assign(reps))
     founder = reps.select(
         "day", F.col("rep").alias("founder"), F.col("ord.o2").alias("founder_item_id"),
         ids.story_id(F.col("canon"), F.col("title_n")).alias("story_id"))
     placed = (reps.select(*COPY, "rep", F.col("ord").alias("_first"))
-              .join(assigned, ["day", "rep"]).join(founder, ["day", "founder"]))
+              .join(assigned, REP).join(founder, ["day", "founder"]))
     rows = rows.join(placed, COPY)
     first = F.col("ord") == F.col("_first")
     return (rows.withColumn("reason", F.when(first, F.col("reason")).otherwise("canonical_url"))
