@@ -349,9 +349,10 @@ def evidence_additions(additions: DataFrame, evidence: DataFrame, claims: DataFr
     """Add ``outcome`` to proposed evidence: added, duplicate, or a rejection.
 
     In batch order a row is a duplicate when either identity is taken, by existing
-    evidence or by a row added before it. Each round adds the rows that come first for
-    both of their identities and drops the rows these block; no claim's rows ever have
-    to meet in one task.
+    evidence or by a row added before it. Each round adds the rows without an open row before
+    them in either identity. A row behind exactly one open row has the opposite fate of that
+    one, so whole chains of such rows settle with their first row, found by pointer doubling;
+    rows behind several wait. No claim's rows ever have to meet in one task.
     """
     named = claims.select(F.col("id").alias("claim_id"), F.lit(True).alias("known"),
                           F.col("ledger_ref").isNotNull().alias("guarded"))
@@ -364,30 +365,67 @@ def evidence_additions(additions: DataFrame, evidence: DataFrame, claims: DataFr
     # copies with both identities equal follow the first of them
     open_ = open_.groupBy("claim_id", "by_capture", "by_words").agg(
         F.min("batch_ord").alias("batch_ord"))
-    taken = evidence_identities(evidence)
-    open_ = materialize(_unless_taken(open_, taken))
-    added = []
-    while open_.limit(1).count():
-        first = open_
-        for identity in ("by_capture", "by_words"):
-            least = open_.groupBy("claim_id", identity).agg(F.min("batch_ord").alias("_least"))
-            first = (first.join(least, ["claim_id", identity], "left")
-                     .where(F.col(identity).isNull() | (F.col("batch_ord") == F.col("_least")))
-                     .drop("_least"))
-        first = materialize(first)
-        added.append(first.select("claim_id", "batch_ord"))
-        rest = open_.join(first.select("claim_id", "batch_ord"), ["claim_id", "batch_ord"],
-                          "left_anti")
-        open_ = materialize(_unless_taken(rest, first))
+    open_ = materialize(_unless_taken(open_, evidence_identities(evidence)))
     new = rows.select("claim_id", "batch_ord").limit(0)
-    for part in added:
-        new = new.unionByName(part)
+    while not open_.isEmpty():
+        fate = _chain_fates(open_)
+        added = materialize(open_.join(fate.where("added").select("claim_id", "batch_ord"),
+                                       ["claim_id", "batch_ord"], "left_semi"))
+        new = new.unionByName(added.select("claim_id", "batch_ord"))
+        rest = open_.join(fate.select("claim_id", "batch_ord"), ["claim_id", "batch_ord"],
+                          "left_anti")
+        open_ = materialize(_unless_taken(rest, added))
     new = new.withColumn("new", F.lit(True))
     outcome = F.coalesce("refused", F.when(F.col("new"), "added").otherwise("duplicate"))
     return (rows.join(new, ["claim_id", "batch_ord"], "left").withColumn("outcome", outcome)
             .drop("refused", "new", "by_capture", "by_words"))
 
 
+def _open_before(open_: DataFrame, identity: str) -> DataFrame:
+    """Add, per identity, the open row before this one, and whether there are more than one.
+
+    The two first rows of an identity are two aggregates; no row is ranked within it.
+    """
+    key = ["claim_id", identity]
+    held = open_.where(F.col(identity).isNotNull())
+    first = held.groupBy(*key).agg(F.min("batch_ord").alias("_first"))
+    second = (held.join(first, key).where(F.col("batch_ord") > F.col("_first"))
+              .groupBy(*key, "_first").agg(F.min("batch_ord").alias("_second")))
+    rows = open_.join(second, key, "left")
+    later = F.col("batch_ord") > F.col("_first")
+    return (rows.withColumn(f"{identity}_prior", F.when(later, F.col("_first")))
+            .withColumn(f"{identity}_many", F.coalesce(
+                F.col("batch_ord") > F.col("_second"), F.lit(False))).drop("_first", "_second"))
+
+
+def _chain_fates(open_: DataFrame) -> DataFrame:
+    """(claim_id, batch_ord, added) of the rows this round settles.
+
+    Every row points to the one open row before it and flips its fate; rows behind none or
+    several point to themselves. Doubling the pointers leads each chain to its start.
+    """
+    rows = _open_before(_open_before(open_, "by_capture"), "by_words")
+    priors = F.array_distinct(F.array_compact(F.array("by_capture_prior", "by_words_prior")))
+    stuck = F.col("by_capture_many") | F.col("by_words_many") | (F.size(priors) > 1)
+    free = F.size(priors) == 0
+    rows = materialize(rows.select(
+        "claim_id", "batch_ord", F.when(~stuck & ~free, priors[0]).otherwise(F.col("batch_ord"))
+        .alias("to"), (~stuck & ~free).alias("flips"), stuck.alias("stuck")))
+    while True:
+        ahead = rows.select("claim_id", F.col("batch_ord").alias("to"), F.col("to").alias("_to"),
+                            F.col("flips").alias("_flips"), F.col("stuck").alias("_stuck"))
+        # a start points to itself, so following it changes nothing
+        after = materialize(rows.join(ahead, ["claim_id", "to"]).select(
+            "claim_id", "batch_ord", F.col("_to").alias("to"),
+            (F.col("flips") != F.col("_flips")).alias("flips"),
+            (F.col("stuck") | F.col("_stuck")).alias("stuck"),
+            (F.col("to") != F.col("_to")).alias("moved")))
+        rows = after.drop("moved")
+        if after.where("moved").isEmpty():
+            return rows.where("not stuck").select("claim_id", "batch_ord",
+                                                  (~F.col("flips")).alias("added"))
+
+
 def _unless_taken(rows: DataFrame, taken: DataFrame) -> DataFrame:
     for identity in ("by_capture", "by_words"):
         seen = taken.where(F.col(identity).isNotNull()).select("claim_id", identity).distinct()

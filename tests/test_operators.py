@@ -183,6 +183,20 @@ def test_evidence_additions_follow_batch_order(spark):
     assert got[60] == "unknown claim" and got[61] == "guarded claim"
 
 
+def test_a_long_chain_of_evidence_takes_few_rounds(spark, monkeypatch):
+    """Each row shares its capture with one neighbour and its words with the other."""
+    steps, write = [], C.materialize
+    monkeypatch.setattr(C, "materialize", lambda df: steps.append(1) or write(df))
+    new = [("c", i, "src", "forum", "support", f"v{(i + 1) // 2}", "https://a.com/x", DAY,
+            f"s:item{i // 2}", "0" * 64) for i in range(10_000)]
+    got = C.evidence_additions(
+        spark.createDataFrame(new, EVIDENCE), spark.createDataFrame([], EVIDENCE),
+        spark.createDataFrame([("c", None)], "id string, ledger_ref string"))
+    added = got.where("outcome = 'added'").select("batch_ord").collect()
+    assert sorted(r[0] for r in added) == list(range(0, 10_000, 2))
+    assert len(steps) < 24
+
+
 def test_claim_rules_positive_and_negative(spark):
     schema = ("id string, status string, watch string, ledger_ref string, career_implication array<string>")
     claims = spark.createDataFrame([
