@@ -11,8 +11,9 @@ FORGET_DAYS = 60
 DAYS_KEPT = 60
 
 
-def author_sightings(items: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
-    """(author, status_id, day, handle): posts linked by items, without seeds."""
+def cited_posts(items: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+    """(day, handle, status_id, author) of every link to a post, without seeds; row by row, so
+    streams can use it."""
     link = F.explode("x_links").alias("link")
     rows = items.select("day", link)
     handle = F.regexp_extract("link", fixed.STATUS_REF_PATTERN, 1)
@@ -20,13 +21,18 @@ def author_sightings(items: DataFrame, seeds: DataFrame | None = None) -> DataFr
                         F.regexp_extract("link", fixed.STATUS_REF_PATTERN, 2).alias("status_id"))
             .where(F.col("status_id") != "").withColumn("author", F.lower("handle"))
             .where(~F.col("author").isin(fixed.STATUS_RESERVED_HEADS)))
-    rows = rows.groupBy("author", "status_id", "day").agg(F.min("handle").alias("handle"))
     if seeds is not None:
         rows = rows.join(seeds.select(F.lower("handle").alias("author")).distinct(), "author",
                          "left_anti")
     return rows
 
 
+def author_sightings(items: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+    """(author, status_id, day, handle): posts linked by items, each once a day."""
+    return (cited_posts(items, seeds).groupBy("author", "status_id", "day")
+            .agg(F.min("handle").alias("handle")))
+
+
 def manual_entries(manual: DataFrame) -> DataFrame:
     """Hand-kept candidates: posts named in the provenance, and the uncounted rest."""
     ids = F.array_distinct(F.regexp_extract_all(

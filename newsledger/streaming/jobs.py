@@ -1,7 +1,8 @@
 """Streaming forms of the operators with memory.
 
 Replaying the archive, one day per micro-batch, yields the same tables as the batch
-operators; the micro-batch jobs call those operators on (state + new rows).
+operators; the micro-batch jobs call those operators on (state + new rows). Pages and the author
+ledger keep keyed state with timers (``state``).
 """
 
 from __future__ import annotations
@@ -13,42 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newsledger.functions import times
 from newsledger.operators import authors, changes, claims
-from newsledger.operators.ordered import last_wins
 from newsledger.session import materialize
 from newsledger.streaming.tables import BatchTable, run_batches
 
-PAGE = "source_id STRING, fetched_at TIMESTAMP, content_sha256 STRING, readable BOOLEAN"
-PAGE_EVENT = PAGE + ", changed BOOLEAN, kind STRING, published TIMESTAMP"
-
-
-# --- pages -----------------------------------------------------------------------
-def page_change_stream(spark: SparkSession, probes: DataFrame, folder: str,
-                       checkpoint: str) -> tuple[StreamingQuery, BatchTable]:
-    """Page changes. State: the last capture of every page and when it last changed."""
-    events = BatchTable(spark, f"{folder}/events", PAGE_EVENT)
-    state = BatchTable(spark, f"{folder}/state", PAGE_EVENT)
-
-    def step(batch: DataFrame, number: int) -> None:
-        known = materialize(state.previous(number))
-        new = batch.select("source_id", "fetched_at", "content_sha256", "readable")
-        last = known.select("source_id", "fetched_at", "content_sha256", "readable")
-        found = changes.page_changes(last.unionByName(new))
-        # the carried capture only serves as predecessor: it looks like a first one, so
-        # its date stands for the date the state remembers
-        carried = known.select("source_id", F.col("fetched_at").alias("start"),
-                               F.col("published").alias("carried"))
-        found = found.join(carried, "source_id", "left")
-        found = found.withColumn("published", F.when(
-            F.col("published") == F.col("start"), F.col("carried"))
-            .otherwise(F.col("published")))
-        found = materialize(found.withColumn(
-            "old", F.coalesce(F.col("fetched_at") == F.col("start"), F.lit(False))))
-        columns = [f.name for f in events.empty().schema]
-        events.write(found.where(~F.col("old")).select(*columns), number)
-        state.write(last_wins(found.select(*columns), ["source_id"], ["fetched_at"]), number)
-
-    return run_batches(probes, step, checkpoint), events
-
 
 # --- snapshots -------------------------------------------------------------------
 def snapshot_stream(spark: SparkSession, snapshots: DataFrame, values: Sequence[str],

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from newsledger.operators import authors as A, changes as C, claims
-from newsledger.streaming import jobs as J
+from newsledger.streaming import jobs as J, state as ST
 
 
 def stream_of(spark, rows, folder, days):
@@ -25,16 +25,56 @@ def same(a, b):
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
+def run(frame, name, folder):
+    query = (frame.writeStream.format("memory").queryName(name).outputMode("append")
+             .option("checkpointLocation", folder).trigger(availableNow=True).start())
+    query.awaitTermination(240)
+    return query
+
+
 def test_page_changes(spark, tmp_path):
     rng = random.Random(4)
     rows = [(f"s{s}", dt.datetime.combine(d, dt.time(hour=h)), rng.choice("ab"),
              rng.random() < 0.7) for s in range(3) for d in days(5) for h in (1, 13)]
-    probes = spark.createDataFrame(rows, J.PAGE).withColumn("at", F.col("fetched_at"))
+    probes = spark.createDataFrame(
+        rows, "source_id string, fetched_at timestamp, content_sha256 string, readable boolean")
+    probes = probes.withColumn("at", F.col("fetched_at"))
     stream = stream_of(spark, probes, f"{tmp_path}/in", days(5))
-    query, events = J.page_change_stream(spark, stream, f"{tmp_path}/out", f"{tmp_path}/ck")
-    query.awaitTermination(240)
-    names = [f.name for f in events.empty().schema]
-    same(events.read().select(names), C.page_changes(probes.drop("at")).select(names))
+    run(ST.page_change_stream(stream), "pages", f"{tmp_path}/ck")
+    events = spark.table("pages")
+    same(events, C.page_changes(probes.drop("at")).select(events.columns))
+
+
+def test_author_ledger_with_eviction(spark, tmp_path):
+    """Sightings over five months: after each day the state's ledger equals the batch ledger, and
+    the timer takes forgotten authors out of the state."""
+    rng, start = random.Random(7), dt.date(2026, 1, 1)
+    rows = []
+    for n in sorted(rng.sample(range(150), 12)) + [149]:
+        day = start + dt.timedelta(days=n)
+        rows += [(day, [f"x.com/A{rng.randrange(7)}/status/{rng.randrange(9)}"],
+                  dt.datetime.combine(day, dt.time(2))) for _ in range(2)]
+    rows += [(start, ["x.com/gone/status/1"], dt.datetime.combine(start, dt.time(2)))]
+    items = spark.createDataFrame(rows, "day date, x_links array<string>, at timestamp")
+    manual = A.manual_entries(spark.createDataFrame(
+        [("a1", "", 1, False)], "handle string, provenance string, score int, "
+                                "has_test_signal boolean"))
+    seeds = spark.createDataFrame([("a3",)], "handle string")
+    seen = sorted({r[0] for r in rows})
+    stream = stream_of(spark, items, f"{tmp_path}/in", seen)
+    query = run(ST.author_ledger_stream(stream, manual, seeds), "ledger", f"{tmp_path}/ck")
+    events = spark.table("ledger").cache()
+    sightings = A.author_sightings(items, seeds).cache()
+    for day in seen:
+        as_of = F.lit(day)
+        batch = A.author_ledger(A.current_sightings(sightings, manual, as_of), manual)
+        same(ST.ledger_at(events, as_of),
+             batch.where("posts > 0").select("author", "posts", F.col("last_day")))
+    gone = {r.author for r in events.where("evicted").collect()}
+    assert "gone" in gone
+    operator = query.lastProgress["stateOperators"][0]
+    alive = ST.ledger_at(events, F.lit(seen[-1])).count()
+    assert operator["numRowsTotal"] <= 40 and alive < 7 + 1
 
 
 def test_snapshots_with_guard(spark, tmp_path):
