@@ -98,19 +98,48 @@ def read_audit_samples(spark: SparkSession, root: str, last, origin: str = "cand
             .withColumn("routing", F.coalesce("routing", F.lit("classify"))))
 
 
+def malformed_line(lines: DataFrame, schema: str) -> str | None:
+    """``path:number`` of the first line that is no JSON object of the schema, or None.
+
+    ``lines`` come from the text reader. Lines are numbered from the blocks of bytes that tasks
+    read: full counts of the blocks before, and the place within the block.
+    """
+    column = "_corrupt"
+    parsed = F.from_json("value", f"{schema}, {column} string", {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": column})
+    rows = lines.select("value", F.col("_metadata.file_path").alias("path"),
+                        F.col("_metadata.file_block_start").alias("block"),
+                        F.monotonically_increasing_id().alias("place"))
+    bad = rows.where((F.trim("value") != "") & (parsed[column].isNotNull() | parsed.isNull()))
+    first = bad.agg(F.min(F.struct("path", "block", "place")).alias("b")).first()["b"]
+    if first is None:
+        return None
+    before = rows.where((F.col("path") == first.path) & (
+        (F.col("block") < first.block)
+        | ((F.col("block") == first.block) & (F.col("place") < first.place)))).count()
+    return f"{first.path}:{before + 1}"
+
+
 def read_inbox(spark: SparkSession, root: str, first=None, last=None) -> DataFrame:
-    """Inbox rows from month shards ``month=YYYY-MM``; a malformed line fails."""
-    rows = (spark.read.schema(schemas.INBOX).option("mode", "FAILFAST")
-            .option("basePath", root).json(f"{root}/month=*"))
+    """Inbox rows from month shards ``month=YYYY-MM``; a malformed line of a month that is read
+    fails with its file and number."""
+    months = F.lit(True)
+    days = F.lit(True)
     if first is not None:
         first = F.lit(first).cast("date")
-        rows = rows.where((F.col("month").cast("string") >= F.date_format(first, "yyyy-MM"))
-                          & (F.col("date") >= first))
+        months = months & (F.col("month").cast("string") >= F.date_format(first, "yyyy-MM"))
+        days = days & (F.col("date") >= first)
     if last is not None:
         last = F.lit(last).cast("date")
-        rows = rows.where((F.col("month").cast("string") <= F.date_format(last, "yyyy-MM"))
-                          & (F.col("date") <= last))
-    return rows
+        months = months & (F.col("month").cast("string") <= F.date_format(last, "yyyy-MM"))
+        days = days & (F.col("date") <= last)
+    lines = spark.read.option("basePath", root).text(f"{root}/month=*").where(months)
+    place = malformed_line(lines, schemas.INBOX)
+    if place:
+        raise ValueError(f"malformed inbox row at {place}")
+    rows = (spark.read.schema(schemas.INBOX).option("mode", "FAILFAST")
+            .option("basePath", root).json(f"{root}/month=*"))
+    return rows.where(months & days)
 
 
 def read_baseline(spark: SparkSession, root: str, last) -> DataFrame:

@@ -20,29 +20,38 @@ def content_fingerprint(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum(row).alias("hash"))
 
 
+def _store(rows: DataFrame, path: str, key: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        key).parquet(path)
+
+
 def write_if_changed(df: DataFrame, path: str, key: str = "day") -> int:
     """Rewrite only the partitions whose content differs; returns how many.
 
-    Partitions are compared by count and hash and replaced one folder at a time, so an
-    unchanged run touches no file and a lost executor only repeats its tasks.
+    Partitions are compared by count and hash with the fingerprints stored beside the table, so
+    no stored row is read, and replaced one folder at a time; an unchanged run touches no file.
+    Fingerprints of changed partitions are taken back before the data is written and stored
+    after it: a run that breaks off in between is made good by the next one.
     """
     spark = df.sparkSession
     rows = materialize(df)
-    new = content_fingerprint(rows, [key])
+    new = materialize(content_fingerprint(rows, [key]))
+    marks = f"{path.rstrip('/')}.fingerprints"
     try:
-        old = content_fingerprint(spark.read.schema(rows.schema).parquet(path), [key])
+        old = spark.read.schema(new.schema).parquet(marks)
         same = new.join(old, [key, "rows", "hash"], "left_semi").select(key)
-        changed = new.join(same, key, "left_anti").select(key)
+        changed = new.join(same, key, "left_anti")
     except AnalysisException as error:  # only a table that is not there yet is written whole
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        changed = new.select(key)
+        changed = new
     changed = materialize(changed)
     count = changed.count()
     if count:
+        _store(changed.withColumn("rows", F.lit(-1).cast("long")), marks, key)
         # rebalance gathers a day's rows into few files and splits a day that is too large
-        (rows.join(changed, key, "left_semi").hint("rebalance", key).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
+        _store(rows.join(changed.select(key), key, "left_semi").hint("rebalance", key), path, key)
+        _store(changed, marks, key)
     return count
 
 

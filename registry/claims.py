@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from newsledger import fixed_values as fixed
@@ -9,7 +11,8 @@ from newsledger.functions import text as T, urls as U
 from newsledger.operators import authors as A, claims as C
 from newsledger.operators.barrier import computed
 from newsledger.operators.classify import with_identity
-from newsledger.session import materialize
+from newsledger.session import materialize, shared_folder
+from newsledger.sources import captures
 from registry import register, views as V
 from registry.digests import day_text, joined
 
@@ -254,6 +257,20 @@ def inbox_dedupe(spark, sf_dir):
                              rows.where(F.col("date") < start)).select("batch_ord", "id")
 
 
+@register("review_inbox", "WITH " + INBOX + """
+SELECT strftime(date, '%Y-%m-%d') AS day, title, url, matched_claim, candidate_key, action,
+  source_item_id, snapshot_hash FROM inbox
+WHERE date BETWEEN DATE '2024-01-20' AND DATE '2024-02-10'""")
+def review_inbox(spark, sf_dir):
+    """The inbox landed as JSON lines in month shards, and a window of it read back."""
+    rows = inbox(spark, sf_dir).withColumn("month", F.date_format("date", "yyyy-MM"))
+    root = f"{shared_folder(spark).rstrip('/')}/inbox-{uuid.uuid4().hex}"
+    rows.write.partitionBy("month").json(root)
+    return captures.read_inbox(spark, root, "2024-01-20", "2024-02-10").select(
+        F.date_format("date", "yyyy-MM-dd").alias("day"), "title", "url", "matched_claim",
+        "candidate_key", "action", "source_item_id", "snapshot_hash")
+
+
 @register("month_review", "WITH " + INBOX + f""",
 w AS (SELECT * FROM inbox WHERE date BETWEEN DATE '{MONTH_END}' - INTERVAL 39 DAY AND DATE '{MONTH_END}'),
 s AS (SELECT matched_claim, count(*) AS signals FROM w WHERE matched_claim IS NOT NULL GROUP BY ALL)

@@ -157,6 +157,47 @@ def test_write_if_changed_and_manifest(spark, tmp_path):
     assert sinks.manifest_diff(after, after).count() == 0
 
 
+def test_unchanged_days_are_not_read_again(spark, tmp_path):
+    path = tmp_path / "table"
+    rows = spark.createDataFrame([(dt.date(2026, 8, d), v) for d in (1, 2) for v in (1, 2)],
+                                 "day date, v int")
+    assert sinks.write_if_changed(rows, str(path)) == 2
+    for file in (path / "day=2026-08-01").glob("*.parquet"):
+        file.write_bytes(b"no parquet file")  # reading it would fail
+    for crc in (path / "day=2026-08-01").glob(".*.crc"):
+        crc.write_bytes(b"")
+    changed = rows.where("day = date'2026-08-02'").withColumn("v", F.lit(5)).unionByName(
+        rows.where("day = date'2026-08-01'"))
+    assert sinks.write_if_changed(changed, str(path)) == 1
+    kept = spark.read.parquet(f"{path}/day=2026-08-02")
+    assert [r[0] for r in kept.collect()] == [5, 5]
+    # a run that broke off after taking its fingerprints back is made good
+    marks = spark.read.parquet(f"{path}.fingerprints").where("day = date'2026-08-02'")
+    sinks._store(sinks.materialize(marks.withColumn("rows", F.lit(-1).cast("long"))),
+                 f"{path}.fingerprints", "day")
+    assert sinks.write_if_changed(changed, str(path)) == 1
+    assert sinks.write_if_changed(changed, str(path)) == 0
+
+
+def test_malformed_inbox_line_is_named(spark, tmp_path):
+    good = '{"id": "%d", "date": "2026-0%d-02", "title": "t"}'
+    for month in (7, 8):
+        folder = tmp_path / f"month=2026-0{month}"
+        folder.mkdir()
+        lines = [good % (i, month) for i in range(3000)]
+        if month == 8:
+            lines[1700] = '{"id": "x", "date": '
+            lines[2900] = "[1]"
+        (folder / "rows.json").write_text("\n".join(lines) + "\n\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # several blocks a file
+    try:
+        assert captures.read_inbox(spark, str(tmp_path), last="2026-07-31").count() == 3000
+        with pytest.raises(ValueError, match=r"month=2026-08/rows\.json:1701$"):
+            captures.read_inbox(spark, str(tmp_path), first="2026-08-01")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_page_changes(spark):
     at = dt.datetime(2026, 8, 1)
     bodies = ["<p>price $5</p><script>1</script>", "<p>price $5</p><script>2</script>", "<p>login</p>",
