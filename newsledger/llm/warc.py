@@ -29,14 +29,17 @@ DATE = "1970-01-01T00:00:00Z"
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
 
-_DROP = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>", re.S | re.I)
+_OPENED = re.compile(r"<!--|<(script|style|noscript|template|head)\b", re.I)
 _BREAK = re.compile(r"<(?:/?(?:p|div|article|section|header|footer|nav|ul|ol|li|table|tr|h[1-6]|"
                     r"blockquote|pre|form|main|aside)|br|hr)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[^>]*>")
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-_CHARSET = re.compile(r"<meta\b[^>]*\bcharset\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE, _TITLE_END = re.compile(r"<title[^>]*>", re.I), re.compile(r"</title\s*>", re.I)
+_HTML, _LANG = (re.compile(r"<html\b", re.I),
+                re.compile(r"\b(?=lang\s*=\s*[\"']?([A-Za-z-]+))", re.I))
+_META, _CHARSET = (re.compile(r"<meta\b", re.I),
+                   re.compile(r"\b(?=charset\s*=\s*[\"']?([\w-]+))", re.I))
+_ANCHOR, _HREF = re.compile(r"<a\b", re.I), re.compile(r"\bhref\s*=\s*", re.I)
+_BARE = re.compile(r"[^\s>]+")
 
 RECORD = ("page_id long, record_type string, record_id string, refers_to string, "
           "target_uri string, content_type string, payload_digest string, block_digest string, "
@@ -52,24 +55,87 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=made, version=3)}>"
 
 
+def _without_hidden(page: str) -> str:
+    """Comments and elements that are not shown become a space. A kind whose end was once not
+    found has none further on, so the text is read once."""
+    out, at, look, endless = [], 0, 0, set()
+    while opened := _OPENED.search(page, look):
+        kind = (opened[1] or "").lower()
+        end = -1
+        if kind not in endless:
+            if kind:
+                closed = re.compile(rf"</{kind}\s*>", re.I).search(page, opened.end())
+                end = closed.end() if closed else -1
+            else:
+                end = page.find("-->", opened.end())
+                end += 3 if end >= 0 else 0
+        if end < 0:
+            endless.add(kind)
+            look = opened.end()
+            continue
+        out += [page[at:opened.start()], " "]
+        at = look = end
+    return "".join([*out, page[at:]])
+
+
 def plain_text(page: str) -> str:
     """The visible text: blocks on lines of their own, runs of white space as one space."""
-    text = _TAG.sub("", _BREAK.sub("\n", _DROP.sub(" ", page)))
+    shown = _without_hidden(page)
+    last = shown.rfind(">") + 1  # every tag in front of it ends: no search runs to the end
+    text = _TAG.sub("", _BREAK.sub("\n", shown[:last])) + shown[last:]
     lines = (" ".join(line.split()) for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def _title(page: str) -> str | None:
+    opened = _TITLE.search(page, 0, page.rfind(">") + 1)
+    closed = _TITLE_END.search(page, opened.end()) if opened else None
+    return page[opened.end():closed.start()] if closed else None
+
+
+def _attribute(page: str, tag: re.Pattern, value: re.Pattern) -> str | None:
+    """The last value of an attribute in the first tag that has it."""
+    at = 0
+    while opened := tag.search(page, at):
+        end = page.find(">", opened.end())
+        end = len(page) if end < 0 else end
+        if found := list(value.finditer(page, opened.end(), end)):
+            return found[-1][1]
+        at = end
+    return None
+
+
+def _links(page: str) -> Iterator[str]:
+    """The last href of every anchor; a quoted one may hold the end of a tag."""
+    at, last = 0, {q: page.rfind(q) for q in "\"'"}
+    while opened := _ANCHOR.search(page, at):
+        end = page.find(">", opened.end())
+        end = len(page) if end < 0 else end
+        at = end
+        for place in reversed([m.end() for m in _HREF.finditer(page, opened.end(), end)]):
+            quote = page[place:place + 1]
+            if quote in last and last[quote] > place:
+                at = page.index(quote, place + 1) + 1
+                yield page[place + 1:at - 1]
+                break
+            if bare := _BARE.match(page, place):
+                at = bare.end()
+                yield bare[0]
+                break
+
+
 def warc_fields(page: str, url: str | None, http: str, source_digest: str) -> str:
     """The body of a metadata record."""
     out = []
-    for name, pattern in (("title", _TITLE), ("language", _LANG), ("charset", _CHARSET)):
-        if found := pattern.search(page):
-            out.append((name, " ".join(html.unescape(found[1]).split())))
+    for name, found in (("title", _title(page)), ("language", _attribute(page, _HTML, _LANG)),
+                        ("charset", _attribute(page, _META, _CHARSET))):
+        if found is not None:
+            out.append((name, " ".join(html.unescape(found).split())))
     out += [("http-" + k.lower(), v) for k, _, v in
             (line.partition(": ") for line in http.split("\r\n")[1:]) if v]
     out.append(("source-payload-digest", source_digest))
-    for link in _LINK.finditer(page):
-        href = html.unescape(next(g for g in link.groups() if g is not None)).strip()
+    for link in _links(page):
+        href = html.unescape(link).strip()
         try:
             target = urljoin(url or "", href)
         except ValueError:

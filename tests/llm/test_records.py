@@ -2,6 +2,9 @@
 
 import base64
 import hashlib
+import random
+import re
+import time
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -119,3 +122,40 @@ def test_warc_round_trip(spark, tmp_path):
 
 def test_empty_pages(spark):
     assert warc.derive(warc.responses(pages(spark).limit(0))).count() == 0
+
+
+# what the linear readers of markup must find, as patterns
+DROP = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>", re.S | re.I)
+TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.S | re.I)
+LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+LINK = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+
+
+def test_markup_equals_patterns():
+    rng = random.Random(3)
+    bits = ["<script", "</script >", "<!--", "-->", "<", ">", "<p>", "<a ", "href=", "href = ", '"',
+            "'", "x", " ", "<title>", "</title>", "<html ", "lang=", "en", "<head>", "</HEAD>", "\n",
+            "<STYLE>", "</style>", "<br", "&amp;"]
+    for _ in range(20_000):
+        page = "".join(rng.choices(bits, k=rng.randint(1, 25)))
+        assert warc._without_hidden(page) == DROP.sub(" ", page), page
+        want = TITLE.search(page)
+        assert warc._title(page) == (want[1] if want else None), page
+        want = LANG.search(page)
+        assert warc._attribute(page, warc._HTML, warc._LANG) == (want[1] if want else None), page
+        want = [next(g for g in m.groups() if g is not None) for m in LINK.finditer(page)]
+        assert list(warc._links(page)) == want, page
+        shown = DROP.sub(" ", page)
+        text = warc._TAG.sub("", warc._BREAK.sub("\n", shown))
+        last = shown.rfind(">") + 1
+        assert warc._TAG.sub("", warc._BREAK.sub("\n", shown[:last])) + shown[last:] == text
+
+
+def test_long_markup_takes_linear_time():
+    for bit in ("<script ", "<!-- ", "<", "<title>", "<html ", "<a ", '<a href="', "<p ", "<a href='x ",
+                "<meta charset ", "<style></script>", "<a href=x <a "):
+        page = bit * (1_000_000 // len(bit))
+        start = time.perf_counter()
+        warc.plain_text(page)
+        warc.warc_fields(page, "https://a.com/", "HTTP/1.1 200 OK", "d")
+        assert time.perf_counter() - start < 20, bit
