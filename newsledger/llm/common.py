@@ -46,6 +46,16 @@ def id_bucket(doc_id: Column, buckets: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % buckets
 
 
+HASHES = 1 << 63
+
+
+def sampled(hashed: Column, rows: int, total: int) -> Column:
+    """True for about ``rows`` of ``total`` rows, by a 64-bit hash. The share is counted in 2^-63,
+    so it does not vanish however many rows there are."""
+    share = max(1, min(HASHES - 1, HASHES * rows // max(1, total)))
+    return hashed.bitwiseAND(F.lit(HASHES - 1)) <= share
+
+
 def tasks(spark: SparkSession) -> int:
     """Partitions for steps whose work per byte is high, which Spark must not coalesce."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newsledger.llm.common import full_text, id_bucket
+from newsledger.llm.common import full_text, id_bucket, sampled
 
 DIMENSIONS = 1024
 #: Rows the prototypes are fitted on, at most.
@@ -126,9 +126,8 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, max_rows: int = MAX_ROW
     # A hash of the id thins the rows where they lie. Only if rows that repeat an id exceed
     # the bound even so do they pass through a limit.
     total = rows.count()
-    share = F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < int(
-        (1 << 20) * (0.95 * max_rows / total if total > max_rows else 1))
-    chosen = rows.where(share)
+    chosen = rows if total <= max_rows else rows.where(
+        sampled(F.xxhash64("__id"), max_rows * 19 // 20, total))
     if chosen.count() > max_rows:
         chosen = chosen.limit(max_rows)
     chosen = chosen.select("lang", "text")

@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from newsledger.llm.common import full_text
+from newsledger.llm.common import full_text, sampled
 from newsledger.session import materialize
 
 KINDS = ("assign", "access", "hex", "format")
@@ -251,10 +251,9 @@ def learn(docs: DataFrame, max_docs: int = MAX_DOCS, max_credentials: int = MAX_
     ones by hash, and from ordinary tokens of about ``max_docs`` documents."""
     total = docs.count()
     text = full_text(docs["text"])
-    share = int((1 << 20) * min(1.0, max_docs / max(1, total)))
     taught = materialize(
         docs.select(text.alias("text"))
-        .withColumn("sampled", F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share)
+        .withColumn("sampled", sampled(F.xxhash64("text"), max_docs, total))
         .mapInArrow(lambda b: _teach(b, max_credentials), "token string, label int").distinct())
 
     def some(label: int, bound: int) -> list[str]:

@@ -1,8 +1,11 @@
 """Secret scans: what teaches the formats, and what is scored by them."""
 
 import random
+import re
 
-from newsledger.llm import secret_scan
+from pyspark.sql import functions as F
+
+from newsledger.llm import common, secret_scan
 
 WORDS = ("information government international development understand something community "
          "experience production department university management environment performance").split()
@@ -50,3 +53,17 @@ def test_pieces_between_dots_are_scored():
     found = list(secret_scan.format_spans("a.b ..host1234.zq123456789.. x",
                                           lambda t: float(t == "zq123456789")))
     assert found == [(15, 26)]
+
+
+def test_samples_do_not_vanish(spark):
+    """The share of sampled rows holds at any number of rows."""
+    ids = spark.range(200_000).select(F.xxhash64("id").alias("h"))
+    half = ids.where(common.sampled(F.col("h"), 10, 20)).count()
+    assert 98_000 < half < 102_000
+    for total in (10**10, 5 * 10**10, 10**13):
+        rows = 200_000 * total // 200_000
+        share = common.sampled(F.col("h"), rows // 100, total)
+        assert 1_700 < ids.where(share).count() < 2_300
+        literal = str(common.sampled(F.col("h"), 20_000, total))
+        assert int(re.findall(r"\d{6,}", literal)[-1]) >= common.HASHES * 20_000 // total - 1
+    assert ids.where(common.sampled(F.col("h"), 5, 0)).count() == 200_000
