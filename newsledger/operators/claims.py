@@ -348,6 +348,8 @@ def evidence_identities(rows: DataFrame) -> DataFrame:
 def evidence_additions(additions: DataFrame, evidence: DataFrame, claims: DataFrame) -> DataFrame:
     """Add ``outcome`` to proposed evidence: added, duplicate, or a rejection.
 
+    ``evidence`` holds the rows that exist, or their identities.
+
     In batch order a row is a duplicate when either identity is taken, by existing
     evidence or by a row added before it. Each round adds the rows without an open row before
     them in either identity. A row behind exactly one open row has the opposite fate of that
@@ -365,7 +367,9 @@ def evidence_additions(additions: DataFrame, evidence: DataFrame, claims: DataFr
     # copies with both identities equal follow the first of them
     open_ = open_.groupBy("claim_id", "by_capture", "by_words").agg(
         F.min("batch_ord").alias("batch_ord"))
-    open_ = materialize(_unless_taken(open_, evidence_identities(evidence)))
+    if "by_words" not in evidence.columns:
+        evidence = evidence_identities(evidence)
+    open_ = materialize(_unless_taken(open_, evidence))
     new = rows.select("claim_id", "batch_ord").limit(0)
     while not open_.isEmpty():
         fate = _chain_fates(open_)

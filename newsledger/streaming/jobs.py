@@ -17,6 +17,9 @@ from newsledger.operators import authors, changes, claims
 from newsledger.session import materialize
 from newsledger.streaming.tables import BatchTable, run_batches
 
+#: Folders of evidence identities.
+IDENTITY_BUCKETS = 64
+
 
 # --- snapshots -------------------------------------------------------------------
 def snapshot_stream(spark: SparkSession, snapshots: DataFrame, values: Sequence[str],
@@ -81,6 +84,43 @@ def inbox_stream(spark: SparkSession, records: DataFrame, folder: str,
     return run_batches(records, step, checkpoint), table, refused
 
 
+def identity_rows(rows: DataFrame, buckets: int) -> DataFrame:
+    """Both identities of evidence as rows of their own (claim_id, by_capture, by_words, bucket)."""
+    none = F.lit(None).cast("string")
+    each = rows.select("claim_id", F.explode(F.array(
+        F.struct(F.col("by_capture").alias("by_capture"), none.alias("by_words")),
+        F.struct(none.alias("by_capture"), F.col("by_words").alias("by_words")))).alias("i"))
+    each = each.select("claim_id", "i.*").where("by_capture is not null or by_words is not null")
+    return each.withColumn("bucket", F.pmod(
+        F.xxhash64("claim_id", "by_capture", "by_words"), F.lit(buckets)).cast("int"))
+
+
+def evidence_stream(spark: SparkSession, additions: DataFrame, known: DataFrame, folder: str,
+                    checkpoint: str, buckets: int = IDENTITY_BUCKETS
+                    ) -> tuple[StreamingQuery, BatchTable, BatchTable]:
+    """Outcomes of proposed evidence, and the identities that are taken.
+
+    Taken identities lie in folders by a hash; a batch reads those of its own identities only.
+    ``known`` are the claims.
+    """
+    columns = ", ".join(f"{c} {t}" for c, t in additions.dtypes)
+    outcomes = BatchTable(spark, f"{folder}/outcomes", f"{columns}, outcome string")
+    taken = BatchTable(spark, f"{folder}/identities",
+                       "claim_id string, by_capture string, by_words string, bucket int")
+
+    def step(batch: DataFrame, number: int) -> None:
+        rows = materialize(claims.evidence_identities(batch))
+        wanted = identity_rows(rows, buckets).select("bucket").distinct()
+        only = [r.bucket for r in wanted.collect()]  # at most ``buckets``
+        seen = taken.before(number, "bucket", only)
+        found = materialize(claims.evidence_additions(rows.select(*batch.columns), seen, known))
+        outcomes.write(found, number)
+        added = claims.evidence_identities(found.where(F.col("outcome") == "added"))
+        taken.write(identity_rows(added, buckets), number, "bucket")
+
+    return run_batches(additions, step, checkpoint), outcomes, taken
+
+
 # --- native state ----------------------------------------------------------------
 def first_seen_stream(sightings: DataFrame, key: str, within: str | None = None) -> DataFrame:
     """Each key once. ``within`` bounds the state by the watermark of ``ts``."""

@@ -19,8 +19,10 @@ class BatchTable:
     def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def write(self, rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+    def write(self, rows: DataFrame, batch: int, by: str | None = None) -> None:
+        """``by`` is a column whose values get folders of their own within the batch."""
+        out = rows.write.mode("overwrite")
+        (out.partitionBy(by) if by else out).parquet(f"{self.path}/batch={batch}")
 
     def empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
@@ -31,13 +33,14 @@ class BatchTable:
             return self.empty()
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={batch - 1}")
 
-    def before(self, batch: int) -> DataFrame:
-        """All increments of earlier micro-batches."""
+    def before(self, batch: int, by: str | None = None, only: list | None = None) -> DataFrame:
+        """All increments of earlier micro-batches, or only those in some folders of ``by``."""
         if batch == 0:
             return self.empty()
         rows = (self.spark.read.schema(f"{self.schema}, batch BIGINT")
                 .option("basePath", self.path).parquet(f"{self.path}/batch=*"))
-        return rows.where(F.col("batch") < batch).drop("batch")
+        rows = rows.where(F.col("batch") < batch).drop("batch")
+        return rows if by is None else rows.where(F.col(by).isin(only or []))
 
     def read(self) -> DataFrame:
         return (self.spark.read.schema(self.schema).option("basePath", self.path)

@@ -164,3 +164,38 @@ def test_inbox(spark, tmp_path):
     query.awaitTermination(240)
     assert sorted(r["batch_ord"] for r in table.read().collect()) == [0, 10]
     assert refused.read().count() == 3
+
+
+def test_evidence(spark, tmp_path):
+    """Three days of proposals end as one batch in their order would; a batch reads only the
+    folders of its own identities."""
+    rng, rows = random.Random(12), []
+    for i, d in enumerate(days(3)):
+        for j in range(40):
+            has = rng.random() < 0.8
+            rows.append((f"c{rng.randrange(4)}", i * 100 + j, "src", "forum", "support",
+                         f"v{rng.randrange(15)}", "https://a.com/x", d,
+                         f"s:item{rng.randrange(20)}" if has else None, "0" * 64 if has else None,
+                         dt.datetime.combine(d, dt.time(3))))
+    frame = spark.createDataFrame(rows, (
+        "claim_id string, batch_ord int, src string, type string, stance string, verdict string, "
+        "link string, date date, source_item_id string, snapshot_hash string, at timestamp"))
+    # wording carries the date: equal words of another day are another identity
+    frame = frame.withColumn("date", F.lit(days(1)[0]))
+    known = spark.createDataFrame([("c0", None), ("c1", None), ("c2", "guard")],
+                                  "id string, ledger_ref string")
+    stream = stream_of(spark, frame, f"{tmp_path}/in", days(3))
+    query, outcomes, taken = J.evidence_stream(spark, stream, known, f"{tmp_path}/out",
+                                               f"{tmp_path}/ck")
+    query.awaitTermination(300)
+    empty = frame.limit(0)
+    batch = claims.evidence_additions(frame, empty, known).select("batch_ord", "outcome")
+    same(outcomes.read().select("batch_ord", "outcome"), batch)
+    assert {r.outcome for r in batch.select("outcome").distinct().collect()} == {
+        "added", "duplicate", "unknown claim", "guarded claim"}
+    some = [r.bucket for r in taken.read().select("bucket").distinct().limit(2).collect()]
+    read = taken.before(3, "bucket", some)
+    paths = [r[0] for r in read.select("_metadata.file_path").distinct().collect()]
+    assert paths and all(any(f"bucket={b}/" in p for b in some) for p in paths)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
