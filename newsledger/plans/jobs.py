@@ -14,7 +14,7 @@ from newsledger.operators.classify import Rules, classify, digest_order
 from newsledger.operators.features import Markers
 from newsledger.operators.ordered import top_per_group
 from newsledger.session import materialize
-from newsledger.sources import sinks
+from newsledger.sources import apis, sinks
 
 Tables = dict[str, DataFrame]
 
@@ -90,8 +90,18 @@ def partition_audit(sources: DataFrame, captures: DataFrame, items: DataFrame, r
             "coverage_errors": audits.coverage_errors(cells, formal, sources)}
 
 
-def baseline_refresh(items: DataFrame, log: DataFrame, stored: DataFrame) -> Tables:
-    return {"baseline": retention.append_distinct(stored, retention.compact_baseline(items, log))}
+def baseline_refresh(items: DataFrame, log: DataFrame, stored: DataFrame, captures: DataFrame,
+                     sampled: DataFrame, end_day: Column, keep_days: int = 900,
+                     signal_days: int = 30, duration: int = 14) -> Tables:
+    """The compact baseline with the day's rows, without days that no scoring needs any more.
+
+    ``captures`` and ``sampled`` are the audit's sample days and their items.
+    """
+    cutoff = retention.baseline_cutoff(captures, sampled, end_day, keep_days, signal_days,
+                                       duration)
+    oldest = cutoff.first()["cutoff"]  # one day: a literal prunes the stored days
+    rows = retention.append_distinct(stored, retention.compact_baseline(items, log))
+    return {"baseline": rows.where(F.col("day") >= F.lit(oldest)), "cutoff": cutoff}
 
 
 def analysis_context(items: DataFrame, rules: Rules, claim_table: DataFrame,
@@ -167,14 +177,19 @@ def claim_quality(claim_table: DataFrame, evidence: DataFrame) -> Tables:
     return {"violations": claims.claim_violations(claim_table, evidence)}
 
 
-def change_events(pages: DataFrame, prices: DataFrame, series: DataFrame,
+def change_events(pages: DataFrame, prices: DataFrame, series: DataFrame, sightings: DataFrame,
+                  points: DataFrame, status_bodies: DataFrame, quote_bodies: DataFrame,
                   threshold: float = 2.0) -> Tables:
-    """Page, price and index changes; a collapsed price snapshot is passed over."""
+    """Page, price and index changes, first sightings (key, day), best configurations (day, model,
+    value, ord), incidents and quotes; a collapsed price snapshot is passed over."""
     good = changes.guarded_snapshots(prices).where("accepted").select("day")
     values = [c for c in prices.columns if c not in ("day", "key")]
     return {"pages": changes.page_changes(changes.page_probe(pages)),
             "prices": changes.snapshot_diff(prices.join(good, "day", "left_semi"), values),
-            "series": changes.series_delta(series, threshold)}
+            "series": changes.series_delta(series, threshold),
+            "first_seen": changes.first_seen(sightings, "key", ["day"]),
+            "best": changes.best_configuration(points),
+            "incidents": apis.incidents(status_bodies), "quotes": apis.quotes(quote_bodies)}
 
 
 def fetch_status(events: DataFrame, log: DataFrame) -> Tables:
