@@ -382,6 +382,34 @@ def coverage_gaps(spark, sf_dir):
                              dim.where(F.col("role") == "candidate"))
 
 
+@register("undeclared_keywords", """
+WITH a AS (SELECT DISTINCT 'word ' || s_nationkey AS alias, 'target ' || (s_suppkey % 7) AS target
+  FROM supplier WHERE s_suppkey % 3 = 0)
+SELECT DISTINCT 'target' AS kind, target AS name FROM a
+  WHERE target NOT IN (SELECT 'target ' || r_regionkey FROM region)
+UNION ALL SELECT DISTINCT 'keyword', 'word ' || c_nationkey FROM customer
+  WHERE 'word ' || c_nationkey NOT IN (SELECT alias FROM a)""")
+def undeclared_keywords(spark, sf_dir):
+    supplier = V.table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 3 == 0)
+    aliases = supplier.select(F.concat(F.lit("word "), "s_nationkey").alias("alias"),
+                              F.concat(F.lit("target "), F.col("s_suppkey") % 7).alias("target"))
+    words = V.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("word "), "c_nationkey").alias("keyword"))
+    targets = V.table(spark, sf_dir, "region").select(
+        F.concat(F.lit("target "), "r_regionkey").alias("target"))
+    return A.undeclared_keywords(words, aliases, targets)
+
+
+@register("audit_progress", "WITH " + ENTRIES + """,
+a AS (SELECT source, count(DISTINCT day) AS attempt_days FROM caps GROUP BY source)
+SELECT count(*) FILTER (attempt_days > 0) AS covered,
+  count(*) FILTER (attempt_days >= 14) AS complete, max(attempt_days) AS most_attempts FROM a""")
+def audit_progress(spark, sf_dir):
+    attempts = captures(spark, sf_dir).groupBy("source").agg(
+        F.countDistinct("day").alias("attempt_days"))
+    return A.audit_progress(attempts)
+
+
 @register("author_catalog", "WITH " + DIM + """
 SELECT source, 'Source ' || number AS name, tier AS audit_group FROM srcs
 WHERE track = 'expert_author'""")
