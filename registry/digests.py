@@ -279,6 +279,15 @@ def marker_groups(spark, sf_dir):
                        joined("hits", T.matched_markers(F.col("low"), ["pour", "erly"])))
 
 
+@register("community_ids", """
+SELECT page_id, 'r_' || trim(regexp_replace(lower(regexp_extract(html, '<title>([^<]*)', 1)),
+  '[^a-z0-9]+', '_', 'g'), '_') AS community FROM pages""")
+def community_ids(spark, sf_dir):
+    title = F.regexp_extract("html", "<title>([^<]*)", 1)
+    return V.table(spark, sf_dir, "pages").select(
+        "page_id", T.community_id(title).alias("community"))
+
+
 # --- identities ---------------------------------------------------------------
 @register("item_identity", "WITH " + V.OBSERVATIONS + f""",
 c AS (SELECT *, {V.sql_canonical('url')} AS canonical FROM obs),

@@ -410,6 +410,21 @@ def audit_progress(spark, sf_dir):
     return A.audit_progress(attempts)
 
 
+@register("collection_candidates", "WITH " + DIM + """,
+c AS (SELECT *, number % 3 <> 0 AS enabled, CASE WHEN number % 2 = 0 THEN 'rotation' ELSE 'fixed' END
+  AS audit_group FROM srcs)
+SELECT 'all' AS asked, source FROM c WHERE enabled
+UNION ALL SELECT 'named', source FROM c WHERE source IN ('src3', 'src4', 'src6', 'src99')
+  AND (enabled OR audit_group = 'rotation')""")
+def collection_candidates(spark, sf_dir):
+    n = _number()
+    dim = (sources(spark, sf_dir).withColumn("enabled", n % 3 != 0)
+           .withColumn("audit_group", F.when(n % 2 == 0, "rotation").otherwise("fixed")))
+    named = A.collection_candidates(dim, ["SRC3", "src4", "src6", "src99"])
+    return (A.collection_candidates(dim).select(F.lit("all").alias("asked"), "source")
+            .unionByName(named.select(F.lit("named").alias("asked"), "source")))
+
+
 @register("author_catalog", "WITH " + DIM + """
 SELECT source, 'Source ' || number AS name, tier AS audit_group FROM srcs
 WHERE track = 'expert_author'""")
