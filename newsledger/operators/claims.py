@@ -8,7 +8,8 @@ from newsledger import fixed_values as fixed
 from newsledger.functions import text as T, urls as U
 from newsledger.operators.barrier import computed
 from newsledger.operators.classify import Rules
-from newsledger.operators.ordered import first_wins, top_per_group, with_running_sum
+from newsledger.operators.ordered import (first_wins, top_per_group, with_ranged_sum,
+                                          with_running_sum)
 from newsledger.operators.skew import broadcast_if_small, small_enough
 from newsledger.session import materialize
 
@@ -112,6 +113,15 @@ def broad_candidates(matches: DataFrame) -> DataFrame:
     return matches.where(F.col("lane") == "broad").join(strict, "claim_id", "left_anti")
 
 
+def broad_samples(matches: DataFrame, items: DataFrame, key: str) -> DataFrame:
+    """Per claim without strict match: its number of broad hits and the first, by capture order."""
+    rows = broad_candidates(matches).join(items, key)
+    return rows.groupBy("claim_id").agg(
+        F.count("*").alias("total"),
+        F.min_by(F.struct(key, "title"), F.struct("payload_ord", "item_ord")).alias("_first")
+    ).select("claim_id", "total", "_first.*")
+
+
 # --- evidence --------------------------------------------------------------------
 def select_evidence(evidence: DataFrame, target_day: Column, limit: int = 8) -> DataFrame:
     """Up to ``limit`` anchors per claim, in lanes.
@@ -179,6 +189,63 @@ def pack_to_budget(rows: DataFrame, order: list[str], bucket: Column, budget: in
     return summed.withColumn("kept", F.col("upto") <= budget)
 
 
+#: Kinds of context rows in the order in which a budget takes them away; the three kinds that
+#: make up a claim's details go together in one phase.
+TRIM_PHASES = {"broad": 1, "collection": 2, "signal": 3, "evidence": 3, "claim": 3}
+
+
+def trim_to_budget(parts: DataFrame, budget: int, spent: int = 0) -> DataFrame:
+    """Mark with ``kept`` what remains of a context when it is trimmed to ``budget`` bytes.
+
+    ``parts`` has kind, claim_id, place, total and bytes: one row per broad candidate and
+    collection, and per claim with details one row ``claim`` and one per signal and evidence,
+    whose ``place`` counts from 1 in each claim and kind; ``total`` is the claim's number of
+    signals before any limit. ``spent`` bytes are never trimmed.
+
+    One part at a time goes until the rest fits: broad candidates from the end of their order
+    (total descending, claim), then collections by ``place`` from the end, then details of the
+    claim that has most signals left, then most evidence, then the largest total, then the first
+    id: its last signal while it has several, then its last evidence while it has several, then
+    the claim as a whole. A claim's standing falls with each loss, so the order in which the
+    parts of all claims go is one sort by the standing at which each part goes, and what has gone
+    is a running sum along it.
+    """
+    if spent > budget:
+        raise ValueError(f"the directory alone takes {spent} of {budget} bytes")
+    kind, place, total = F.col("kind"), F.col("place").cast("long"), F.col("total").cast("long")
+    parts = materialize(parts.withColumn("claim_id", F.coalesce("claim_id", F.lit(""))))
+    held = (parts.where(kind.isin("signal", "evidence")).groupBy("claim_id").agg(
+        F.count_if(kind == "signal").alias("_s"), F.count_if(kind == "evidence").alias("_e")))
+    last_signal, last_evidence = F.least("_s", F.lit(1)), F.least("_e", F.lit(1))
+    signals = F.when((kind == "signal") & (place > 1), place).otherwise(last_signal)
+    left = (F.when((kind == "signal") & (place > 1), F.col("_e"))
+            .when((kind == "evidence") & (place > 1), place).otherwise(last_evidence))
+    zero, phase = F.lit(0).cast("long"), F.lit(None).cast("int")
+    for name, number in TRIM_PHASES.items():
+        phase = F.when(kind == name, number).otherwise(phase)
+    details = F.col("_phase") == 3
+    rows = (parts.join(held, "claim_id", "left").fillna(0, ["_s", "_e"])
+            .withColumn("_phase", phase)
+            .withColumn("_a", F.when(details, signals).when(F.col("_phase") == 1, -total)
+                        .otherwise(place))
+            .withColumn("_b", F.when(details, left).otherwise(zero))
+            .withColumn("_c", F.when(details, total).otherwise(zero))
+            .withColumn("_down", F.when(F.col("_phase") == 1, F.col("claim_id")).otherwise(""))
+            .withColumn("_up", F.when(details, F.col("claim_id")).otherwise("")))
+    rows = materialize(rows.drop("_s", "_e"))
+    step = ["_phase", "_a", "_b", "_c", "_down", "_up"]
+    steps = rows.groupBy(*step).agg(F.sum("bytes").alias("_bytes"))
+    order = [F.asc("_phase"), F.desc("_a"), F.desc("_b"), F.desc("_c"), F.desc("_down"),
+             F.asc("_up")]
+    excess = (rows.agg(F.sum("bytes").alias("n")).first()["n"] or 0) + spent - budget
+    gone = (with_ranged_sum(steps, order, F.col("_bytes"), "_upto")
+            .where(F.col("_upto") - F.col("_bytes") < F.lit(excess))
+            .select(*step, F.lit(True).alias("_gone")))
+    return (rows.join(gone, step, "left").withColumn("kept", F.col("_gone").isNull())
+            .drop(*step, "_gone"))
+
+
+
 # --- validation ------------------------------------------------------------------
 def _errors(tests: list[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from newsledger.session import materialize
+
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of every key in an explicit order.
@@ -161,3 +163,23 @@ def with_running_sum(df: DataFrame, bucket: Column, order: Sequence[str], value:
     rows = _join_summary(rows.withColumn("_inside", F.sum("_value").over(inside)), totals, [])
     return rows.withColumn(name, F.col("_inside") + F.col("_carry")).drop(
         "_bucket", "_value", "_inside", "_carry")
+
+
+def with_ranged_sum(df: DataFrame, order: Sequence[Column], value: Column, name: str) -> DataFrame:
+    """Add the running sum of ``value`` over the whole table, in any order of distinct keys.
+
+    The buckets are the ranges of one distributed sort, so they are even whatever the keys
+    hold; one total a range meets in one task.
+    """
+    ranged = df.repartitionByRange(*order).select(
+        "*", F.spark_partition_id().alias("_range"), value.cast("long").alias("_value"))
+    rows = materialize(ranged)  # ranges are drawn from a sample: they must not be drawn twice
+    inside = (Window.partitionBy("_range").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, 0))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (rows.groupBy("_range").agg(F.sum("_value").alias("_total"))
+              .select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0))
+                      .alias("_carry")))
+    return (rows.withColumn("_inside", F.sum("_value").over(inside)).join(totals, "_range")
+            .withColumn(name, F.col("_inside") + F.col("_carry"))
+            .drop("_range", "_value", "_inside", "_carry"))

@@ -6,13 +6,13 @@ intermediate table that several results share.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsledger.operators import (audits, authors, backtest, changes, claims, health, lineage,
                                   retention, stories)
 from newsledger.operators.classify import Rules, classify, digest_order
 from newsledger.operators.features import Markers
-from newsledger.operators.ordered import top_per_group
+from newsledger.operators.ordered import top_per_group, with_ranged_sum
 from newsledger.session import materialize
 from newsledger.sources import apis, sinks
 
@@ -106,31 +106,56 @@ def baseline_refresh(items: DataFrame, log: DataFrame, stored: DataFrame, captur
 
 def analysis_context(items: DataFrame, rules: Rules, claim_table: DataFrame,
                      evidence: DataFrame, day: Column, budget: int = 96 * 1024,
-                     window_days: int = 3) -> Tables:
-    """Bounded context: strict signals, broad candidates and selected evidence."""
+                     window_days: int = 3, collections: DataFrame | None = None) -> Tables:
+    """Bounded context: strict signals, selected evidence, broad candidates and the identities
+    of the captured collections (source, source_item_id, snapshot_hash, payload_ord).
+
+    Rows count with their JSON; the directory of active claims is never trimmed.
+    """
+    key = "source_item_id"
+    active = claims.active_claims(claim_table)
     kept = classify(items, rules, window_days)
-    words = materialize(claims.claim_keywords(claims.active_claims(claim_table), rules))
-    seen = claims.keyword_sightings(kept, "source_item_id", words)
-    matches = materialize(claims.claim_matches(words, seen, "source_item_id"))
-    matched = matches.where(F.col("lane") == "strict").select("claim_id").distinct()
-    chosen = claims.select_evidence(evidence.join(matched, "claim_id", "left_semi"), day)
-    details = claims.context_rows(matches, kept, "source_item_id")
-    lanes = (details.select(F.lit(1).alias("rank"), "claim_id",
-                            F.col("source_item_id").alias("ref"), F.col("title").alias("text"))
-             .unionByName(chosen.select(F.lit(2).alias("rank"), "claim_id",
-                                        F.col("source_item_id").alias("ref"),
-                                        F.col("verdict").alias("text")))
-             .unionByName(claims.broad_candidates(matches).select(
-                 F.lit(3).alias("rank"), "claim_id", F.col("source_item_id").alias("ref"),
-                 F.lit("").alias("text"))))
-    # Within a lane the claims with most signals come first and lose their details last.
-    signals = details.groupBy("claim_id").agg((-F.max("signals")).alias("less"))
-    lanes = (lanes.join(signals, "claim_id", "left")
-             .withColumn("less", F.coalesce("less", F.lit(0))))
-    packed = claims.pack_to_budget(lanes, ["rank", "less", "claim_id", "ref"],
-                                   F.struct("rank", "less", "claim_id"), budget).drop("less")
-    return {"directory": claims.active_claims(claim_table), "rows": packed.where("kept"),
-            "omitted": packed.where(~F.col("kept")).select("rank", "claim_id", "ref"),
+    words = materialize(claims.claim_keywords(active, rules))
+    seen = claims.keyword_sightings(kept, key, words)
+    matches = materialize(claims.claim_matches(words, seen, key))
+    signals = materialize(claims.context_rows(matches, kept, key)
+                          .select("claim_id", key, "title", "signals", "payload_ord", "item_ord"))
+    totals = signals.select("claim_id", F.col("signals").alias("total")).distinct()
+    chosen = claims.select_evidence(evidence.join(totals, "claim_id", "left_semi"), day)
+    newest = [F.col("lane"), F.col("date").desc_nulls_last(), F.col("ev_ord").desc()]
+    first = [F.col("payload_ord"), F.col("item_ord")]
+
+    def part(rows: DataFrame, kind: str, place: Column, ref: Column, text: Column) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), F.col("claim_id"),
+                           place.cast("long").alias("place"), F.col("total").cast("long"),
+                           ref.alias("ref"), F.coalesce(text, F.lit("")).alias("text"))
+
+    def nth(order: list[Column]) -> Column:  # within a claim's few chosen rows
+        return F.row_number().over(Window.partitionBy("claim_id").orderBy(*order))
+
+    parts = part(signals.withColumn("total", F.col("signals")), "signal", nth(first), F.col(key),
+                 F.col("title"))
+    parts = parts.unionByName(part(chosen.join(totals, "claim_id"), "evidence", nth(newest),
+                                   F.col(key), F.col("verdict")))
+    heads = active.withColumnRenamed("id", "claim_id").join(totals, "claim_id")
+    parts = parts.unionByName(part(heads, "claim", F.lit(0), F.lit(""), F.col("claim")))
+    parts = parts.unionByName(part(claims.broad_samples(matches, kept, key), "broad", F.lit(0),
+                                   F.col(key), F.col("title")))
+    if collections is not None:
+        listed = collections.select(F.lit("").alias("claim_id"), F.lit(0).alias("total"), key,
+                                    "payload_ord", F.concat_ws(" ", "source", "snapshot_hash")
+                                    .alias("text"))
+        listed = with_ranged_sum(listed, [F.asc("payload_ord"), F.asc(key)], F.lit(1), "place")
+        parts = parts.unionByName(part(listed, "collection", F.col("place"), F.col(key),
+                                       F.col("text")))
+    size = F.octet_length(F.to_json(F.struct("kind", "claim_id", "ref", "text"))) + 1
+    directory = active.select("id", "claim", "status", F.col("ledger_ref").isNotNull()
+                              .alias("has_ledger_ref"))
+    spent = directory.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 1).alias("n")).first()
+    packed = materialize(claims.trim_to_budget(parts.withColumn("bytes", size), budget,
+                                               spent["n"] or 0))
+    return {"directory": active, "rows": packed.where("kept"),
+            "omitted": packed.where(~F.col("kept")).select("kind", "claim_id", "ref"),
             "stances": claims.stance_counts(evidence)}
 
 

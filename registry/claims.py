@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from newsledger import fixed_values as fixed
 from newsledger.functions import text as T, urls as U
@@ -195,6 +195,64 @@ def context_budget(spark, sf_dir):
     return packed.select("ev_ord", "bytes", F.col("upto").cast("bigint").alias("upto"), "kept")
 
 
+@register("context_trimmed", "WITH " + CLAIMS + """,
+k AS (SELECT *, CASE WHEN turn % 3 = 0 THEN 'signal' ELSE 'evidence' END AS kind,
+  octet_length(encode(verdict)) AS bytes FROM evidence),
+r AS (SELECT *, row_number() OVER (PARTITION BY claim_id, kind ORDER BY ev_ord) AS place FROM k),
+t AS (SELECT claim_id, count(*) FILTER (turn % 3 = 0) AS total, count(*) AS records
+  FROM evidence WHERE turn < 1 + conv_id % 4 OR turn % 3 > 0 GROUP BY claim_id),
+p AS (
+  SELECT 'claim' AS kind, claim_id, 0 AS place, total, 50 AS bytes FROM t WHERE total > 0
+  UNION ALL SELECT 'broad', claim_id, 0, records, 20 + length(claim_id) FROM t WHERE total = 0
+  UNION ALL SELECT kind, claim_id, place, total, bytes FROM r JOIN t USING (claim_id)
+    WHERE total > 0 AND place <= CASE kind WHEN 'signal' THEN least(3, total) ELSE 8 END
+  UNION ALL SELECT 'collection', '', page_id, 0, octet_length(encode(url)) FROM pages),
+h AS (SELECT *, count(*) FILTER (kind = 'signal') OVER (PARTITION BY claim_id) AS s,
+  count(*) FILTER (kind = 'evidence') OVER (PARTITION BY claim_id) AS e FROM p),
+m AS (SELECT *, CASE kind WHEN 'broad' THEN 1 WHEN 'collection' THEN 2 ELSE 3 END AS phase,
+  CASE WHEN kind = 'broad' THEN -total WHEN kind = 'collection' THEN place
+    WHEN kind = 'signal' AND place > 1 THEN place ELSE least(s, 1) END AS a,
+  CASE WHEN kind IN ('broad', 'collection') THEN 0 WHEN kind = 'signal' AND place > 1 THEN e
+    WHEN kind = 'evidence' AND place > 1 THEN place ELSE least(e, 1) END AS b,
+  CASE WHEN kind IN ('broad', 'collection') THEN 0 ELSE total END AS c,
+  CASE WHEN kind = 'broad' THEN claim_id ELSE '' END AS down,
+  CASE WHEN kind IN ('broad', 'collection') THEN '' ELSE claim_id END AS up FROM h),
+u AS (SELECT *, sum(bytes) OVER (ORDER BY phase, a DESC, b DESC, c DESC, down DESC, up) AS upto,
+  sum(bytes) OVER (PARTITION BY phase, a, b, c, down, up) AS step, sum(bytes) OVER () AS whole FROM m)
+SELECT kind, claim_id, CAST(place AS BIGINT) AS place, CAST(bytes AS BIGINT) AS bytes,
+  upto - step >= whole - whole // 3 AS kept FROM u""")
+def context_trimmed(spark, sf_dir):
+    """What a third of the bytes keeps of signals, evidence, candidates and collections."""
+    turn = F.col("ev_ord") % 100
+    rows = evidence(spark, sf_dir).select(
+        "claim_id", "ev_ord", F.when(turn % 3 == 0, "signal").otherwise("evidence").alias("kind"),
+        F.octet_length("verdict").alias("bytes"),
+        ((turn < 1 + F.floor(F.col("ev_ord") / 100) % 4) | (turn % 3 > 0)).alias("counts"))
+    totals = materialize(rows.groupBy("claim_id").agg(
+        F.count_if(F.col("counts") & (F.col("kind") == "signal")).alias("total"),
+        F.count_if("counts").alias("records")).where("records > 0"))
+    few = F.when(F.col("kind") == "signal", F.least(F.lit(3), F.col("total"))).otherwise(8)
+    top = Window.partitionBy("claim_id", "kind").orderBy("ev_ord")
+    shown = (rows.withColumn("place", F.row_number().over(top)).where(F.col("place") <= 8)
+             .join(totals.where("total > 0"), "claim_id").where(F.col("place") <= few))
+    columns = ["kind", "claim_id", "place", "total", "bytes"]
+    parts = (totals.where("total > 0").select(F.lit("claim").alias("kind"), "claim_id",
+                                              F.lit(0).alias("place"), "total", F.lit(50).alias("bytes"))
+             .unionByName(totals.where("total = 0").select(
+                 F.lit("broad").alias("kind"), "claim_id", F.lit(0).alias("place"),
+                 F.col("records").alias("total"), (20 + F.length("claim_id")).alias("bytes")))
+             .unionByName(shown.select(*columns))
+             .unionByName(V.table(spark, sf_dir, "pages").select(
+                 F.lit("collection").alias("kind"), F.lit("").alias("claim_id"),
+                 F.col("page_id").alias("place"), F.lit(0).alias("total"),
+                 F.octet_length("url").alias("bytes"))))
+    parts = materialize(parts)
+    budget = (parts.agg(F.sum("bytes").alias("n")).first()["n"] or 0) // 3
+    return C.trim_to_budget(parts, budget).select(
+        "kind", "claim_id", F.col("place").cast("bigint").alias("place"),
+        F.col("bytes").cast("bigint").alias("bytes"), "kept")
+
+
 # --- inbox -----------------------------------------------------------------------
 def inbox(spark, sf_dir):
     c, t = F.col("conv_id"), F.col("turn")

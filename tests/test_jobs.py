@@ -31,6 +31,30 @@ def test_jobs_run(spark):
     assert counts["dossiers", "rows"] > 0 and counts["backtest", "sections"] == 5
 
 
+def test_context_stays_within_its_budget(spark):
+    items, day = V.observations(spark, SMALL), F.lit(V.LAST_DAY).cast("date")
+    claims, evidence = RL.claims(spark, SMALL), RL.evidence(spark, SMALL)
+    collections = items.groupBy("payload_ord").agg(
+        F.max("name").alias("source"),
+        F.concat("payload_ord", F.lit(":collection")).alias("source_item_id"),
+        F.sha2(F.max("title"), 256).alias("snapshot_hash"))
+    whole = jobs.analysis_context(items, V.RULES, claims, evidence, day, 1 << 30,
+                                  collections=collections)
+    assert whole["omitted"].count() == 0
+    kinds = {r["kind"]: r["count"] for r in whole["rows"].groupBy("kind").count().collect()}
+    assert kinds["collection"] == collections.count() and kinds["claim"] and kinds["signal"]
+    used = whole["rows"].agg(F.sum("bytes")).first()[0]
+    directory = whole["directory"].select("id", "claim", "status", F.col("ledger_ref").isNotNull()
+                                          .alias("has_ledger_ref"))
+    spent = directory.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 1)).first()[0]
+    budget = spent + used // 2
+    cut = jobs.analysis_context(items, V.RULES, claims, evidence, day, budget,
+                                collections=collections)
+    kept = cut["rows"].agg(F.sum("bytes")).first()[0]
+    assert spent + kept <= budget and cut["omitted"].count() > 0
+    assert cut["rows"].count() + cut["omitted"].count() == whole["rows"].count()
+
+
 def rows(frame):
     return sorted(map(str, frame.collect()))
 

@@ -336,6 +336,57 @@ def test_running_sum_packs_a_budget(spark):
         assert r["upto"] == upto and r["kept"] == (upto <= 600)
 
 
+def trimmed(parts, budget, spent):
+    """The sequential rule: one part at a time, from the claim that has most left."""
+    broad = sorted((p for p in parts if p["kind"] == "broad"), key=lambda p: (-p["total"], p["claim_id"]))
+    listed = sorted((p for p in parts if p["kind"] == "collection"), key=lambda p: p["place"])
+    claims = sorted((p for p in parts if p["kind"] == "claim"), key=lambda p: (-p["total"], p["claim_id"]))
+    own = {k: {c["claim_id"]: sorted((p for p in parts if p["kind"] == k and p["claim_id"] == c["claim_id"]),
+                                     key=lambda p: p["place"]) for c in claims} for k in ("signal", "evidence")}
+    size = lambda: spent + sum(p["bytes"] for p in [
+        *broad, *listed, *claims, *[p for k in own for rows in own[k].values() for p in rows]])
+    while size() > budget:
+        if broad or listed:
+            (broad or listed).pop()
+            continue
+        target = max(claims, key=lambda c: (len(own["signal"][c["claim_id"]]),
+                                            len(own["evidence"][c["claim_id"]]), c["total"]))
+        rest = [own[k][target["claim_id"]] for k in ("signal", "evidence")]
+        if many := [rows for rows in rest if len(rows) > 1]:
+            many[0].pop()
+        else:
+            claims.remove(target)
+            [rows.clear() for rows in rest]
+    return {p["n"] for p in [*broad, *listed, *claims,
+                             *[p for k in own for rows in own[k].values() for p in rows]]}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_budget_trims_the_largest_claim_first(spark, seed):
+    rng, parts = random.Random(seed), []
+
+    def add(kind, claim, place, total):
+        parts.append(dict(n=len(parts), kind=kind, claim_id=claim, place=place, total=total,
+                          bytes=rng.randrange(1, 60)))
+    for i in range(40):
+        total = rng.choice([0, 1, 2, 3, 3, 9])
+        if total:
+            add("claim", f"c{i}", 0, total)
+            [add("signal", f"c{i}", j + 1, total) for j in range(min(total, 3))]
+            [add("evidence", f"c{i}", j + 1, total) for j in range(rng.randrange(9))]
+        elif rng.random() < 0.8:
+            add("broad", f"c{i}", 0, rng.randrange(1, 4))
+    [add("collection", None, i, 0) for i in range(10)]
+    df = C.materialize(spark.createDataFrame(
+        parts, "n int, kind string, claim_id string, place int, total int, bytes int"))
+    whole = sum(p["bytes"] for p in parts)
+    for budget in (100, 100 + whole // 7, 100 + whole // 2, 100 + whole - 1, 100 + whole):
+        kept = C.trim_to_budget(df, budget, 100).where("kept").collect()
+        assert {r["n"] for r in kept} == trimmed(parts, budget, 100)
+    with pytest.raises(ValueError, match="directory"):
+        C.trim_to_budget(df, 99, 100)
+
+
 def test_expert_routes_and_quality(spark):
     from newsledger.operators.features import expert_features, item_quality
     from newsledger.operators.routing import route_items, with_defaults
