@@ -7,13 +7,16 @@ needed, because equal strings can be brought together first:
 1. Anchors. Each window of ``length`` bytes is named after the smallest hash among its
    substrings of 32 bytes. Equal windows have equal names, and neighbouring windows mostly
    share one, so a text falls into runs of about 35 windows of one name. Runs meet by name;
-   a name seen once is settled, unless its run repeats inside, as in periodic text. Runs that also agree in all their bytes (64-bit digest, within
-   a name) are copies: the first stays, the others are removed whole.
+   a name seen once is settled, unless its run repeats inside, as in periodic text; runs are
+   cut at ``RUN_WINDOWS``, so however long such a text is, its cuts are copies of a few. Runs
+   that also agree in all their bytes (64-bit digest, within a name) are copies: the first
+   stays, the others are removed whole.
 2. Suffix order. Names with different runs are where copies begin and end. Their runs' bytes,
    one of each kind, are gathered by name, the windows are put in suffix order, ties by
    position, and the longest-previous-factor array follows from the previous and next smaller
-   positions: a window goes if its value reaches ``length``. A name with very many different
-   runs is sorted by Spark window by window instead of in one task.
+   positions: a window goes if its value reaches ``length``. A name with very many windows is
+   sorted by Spark window by window instead of in one task; there a window's previous smaller
+   position is the entry before it, if the two are equal.
 3. Cutting. Each document gets its removed windows and cuts their union out of its text.
 
 Steps 1 and 2 read rows that Spark has sorted by name in a stream, so a string that a third
@@ -39,10 +42,15 @@ from newsledger.llm.common import full_text, tasks
 from newsledger.session import materialize
 
 LENGTH, GRAM = 100, 32
-#: Different runs of one name that a task puts in suffix order; Spark sorts larger names.
-CROWDED = 100_000
+#: Windows of one name that a task puts in suffix order; Spark sorts larger names.
+CROWDED = 500_000
 #: Windows put in suffix order at once.
 CHUNK = 100_000
+#: Windows of a run: longer stretches of one name, as periodic text has, are cut there. A
+#: multiple of each period up to 10, so that all cuts of such a text are copies.
+RUN_WINDOWS = 2520
+#: Windows of a text that are named at once.
+BLOCK = 1 << 20
 _RANDOM = np.random.Generator(np.random.PCG64(2024)).integers(0, 2**64, 256, np.uint64)
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -77,6 +85,11 @@ def runs(text: bytes, length: int) -> tuple:
     cuts = np.nonzero(names[1:] != names[:-1])[0] + 1
     lo = np.concatenate([[0], cuts])
     hi = np.concatenate([cuts, [len(names)]])
+    if (parts := -(-(hi - lo) // RUN_WINDOWS)).max() > 1:
+        first = np.repeat(lo, parts)
+        nth = np.arange(len(first)) - np.repeat(np.cumsum(parts) - parts, parts)
+        lo = first + nth * RUN_WINDOWS
+        hi = np.minimum(lo + RUN_WINDOWS, np.repeat(hi, parts))
     digest, reach = xxhash.xxh3_64_intdigest, length - 1
     marks = [digest(text[a:b]) for a, b in zip(lo.tolist(), (hi + reach).tolist())]
     ranked = np.sort(grams)
@@ -94,12 +107,12 @@ def _run_rows(batches, length: int):
         made = []
         for ord_, tie, text in zip(*(c.to_pylist() for c in batch)):
             data = text.encode("utf-8", "surrogatepass")
-            if len(data) >= length:
-                names, marks, lo, hi, own = runs(data, length)
+            for at in range(0, len(data) - length + 1, BLOCK):
+                names, marks, lo, hi, own = runs(data[at:at + BLOCK + length - 1], length)
                 n = len(names)
                 made.append((names.view(np.int64), marks.view(np.int64),
                              np.full(n, ord_, np.int64), np.full(n, tie, np.int64),
-                             lo.astype(np.int32), hi.astype(np.int32), own))
+                             (lo + at).astype(np.int32), (hi + at).astype(np.int32), own))
         if made:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(c)) for c in zip(*made)], RUN_COLUMNS)
@@ -154,45 +167,62 @@ def _repeated_runs(batches):
 
 # ---- step 2: suffix order
 
+def nearest_smaller(values: np.ndarray) -> np.ndarray:
+    """The place of the nearest smaller entry before each one, or -1, for values 0 to n - 1.
+
+    All entries climb a tree of minima at once until a left neighbour holds a smaller value, and
+    go down in it to the last such entry: two passes over the levels, whatever the order.
+    """
+    n = len(values)
+    levels = [values]
+    while len(levels[-1]) > 1:
+        low = levels[-1]
+        low = np.append(low, n) if len(low) % 2 else low
+        levels.append(np.minimum(low[::2], low[1::2]))
+    found, height = np.full(n, -1), np.full(n, -1)
+    climbing = np.arange(n)
+    for k, low in enumerate(levels):
+        left = (climbing >> k) - 1
+        hit = (left & 1) == 0
+        hit[hit] = low[left[hit]] < values[climbing[hit]]
+        found[climbing[hit]], height[climbing[hit]] = left[hit], k
+        climbing = climbing[~hit]
+    for k in range(len(levels) - 1, 0, -1):
+        down = np.nonzero(height >= k)[0]
+        right = 2 * found[down] + 1
+        low = np.append(levels[k - 1], n)  # the last node of a level may have no right half
+        found[down] = right - (low[right] >= values[down])
+    return found
+
+
+def _shared(chars: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of windows ``a`` and ``b``; 0 where ``b`` is -1."""
+    out = np.zeros(len(a), np.int64)
+    for at in range(0, len(a), 8192):
+        own, other = a[at:at + 8192], b[at:at + 8192]
+        differ = chars[own] != chars[other]
+        out[at:at + 8192] = np.where(differ.any(1), differ.argmax(1), chars.shape[1])
+    return np.where(b < 0, 0, out)
+
+
 def previous_factors(windows: np.ndarray, length: int) -> np.ndarray:
     """Longest previous factor, up to ``length``, of windows given in order of position.
 
     Windows are sorted by content and, where equal, by position. In that order the nearest
     entry before or behind with a smaller position shares the longest prefix with any earlier
-    window; both are found with a stack, with the shared prefixes shrinking on the way.
+    window.
     """
-    n = len(windows)
     order = np.argsort(windows, kind="stable")
-    chars = np.frombuffer(windows.tobytes(), np.uint8).reshape(n, length)[order]
-    differ = chars[1:] != chars[:-1]
-    shared = np.where(differ.any(1), differ.argmax(1), length)
-    best = np.zeros(n, np.int64)
-    for sequence, steps in ((order, shared), (order[::-1], shared[::-1])):
-        stack: list[tuple[int, int]] = []  # (position, prefix shared with the entry after it)
-        for at, position in enumerate(sequence.tolist()):
-            common = int(steps[at - 1]) if at else 0
-            while stack and stack[-1][0] > position:
-                common = min(common, stack.pop()[1])
-            if stack:
-                best[position] = max(best[position], common)
-            stack.append((position, common))
+    chars = windows.view(np.uint8).reshape(len(windows), length)
+    before, behind = nearest_smaller(order), nearest_smaller(order[::-1])[::-1]
+    behind = np.where(behind < 0, -1, len(order) - 1 - behind)
+    best = np.zeros(len(windows), np.int64)
+    for near in (before, behind):
+        shared = _shared(chars, order, np.where(near < 0, -1, order[near]))
+        best[order] = np.maximum(best[order], shared)
     return best
 
 
-def earlier(windows: np.ndarray, length: int) -> np.ndarray:
-    """Windows, in order of position, whose longest previous factor reaches ``length``.
-
-    Only entries of a run of equal neighbours in suffix order can reach it. There ties are in
-    order of position, so the previous smaller position is the entry before and shares all
-    ``length`` bytes: exactly the entries behind a run's first qualify.
-    """
-    order = np.argsort(windows, kind="stable")
-    ranked = windows[order]
-    out = np.zeros(len(windows), bool)
-    out[order[1:]] = ranked[1:] == ranked[:-1]
-    return out
-
-
 def _piece_rows(batches, length: int):
     """The bytes of each open run, one row a run."""
     for batch in batches:
@@ -218,7 +248,7 @@ def _windows(pieces: list[bytes], length: int) -> np.ndarray:
 def _settle(held: list[tuple], length: int) -> pa.RecordBatch | None:
     """Removed stretches of windows among pieces that arrive in order of name and position."""
     held.sort(key=lambda r: r[1:4])
-    gone = earlier(_windows([r[4] for r in held], length), length)
+    gone = previous_factors(_windows([r[4] for r in held], length), length) >= length
     at, out = 0, []
     for _, ord_, tie, lo, piece in held:
         n = len(piece) - length + 1
@@ -342,7 +372,8 @@ def removed_windows(rows: DataFrame, length: int = LENGTH, crowded: int = CROWDE
     piece = "name long, ord long, tie long, lo int, piece binary"
     pieces = (texts.join(spans, ["ord", "tie"]).select("ord", "tie", "text", "spans")
               .mapInArrow(lambda b: _piece_rows(b, length), piece))
-    large = open_.groupBy("name").count().where(F.col("count") > crowded).select("name")
+    large = (open_.groupBy("name").agg(F.sum(F.col("hi") - F.col("lo")).alias("windows"))
+             .where(F.col("windows") > crowded).select("name"))
     window = "ord long, tie long, lo int, hi int"
     hot = not large.isEmpty()
     calm = pieces.join(large, "name", "left_anti") if hot else pieces

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -122,4 +123,34 @@ def test_previous_factors(seed):
             for i in range(len(windows))]
     got = suffix_dedup.previous_factors(windows, length)
     assert got.tolist() == want
-    assert (suffix_dedup.earlier(windows, length) == (got >= length)).all()
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 37, 200])
+def test_nearest_smaller(n):
+    rng = np.random.default_rng(n)
+    for values in (rng.permutation(n), np.arange(n), np.arange(n)[::-1], np.roll(np.arange(n), 1)):
+        want = [max((j for j in range(i) if values[j] < values[i]), default=-1) for i in range(n)]
+        assert suffix_dedup.nearest_smaller(values).tolist() == want
+
+
+def test_long_periodic_texts_are_cut_into_copies(make_docs, monkeypatch):
+    """Runs and blocks far shorter than the texts; periods that divide a run and that do not."""
+    assert max(hi - lo for _, _, lo, hi, _ in zip(*suffix_dedup.runs(b"ab" * 50_000, 100))
+               ) == suffix_dedup.RUN_WINDOWS
+    kinds = {mark for _, mark, *_ in zip(*suffix_dedup.runs(b"a" * 2520 * 40, 100))}
+    assert len(kinds) <= 2
+    rows = [(1, "a" * 30_000), (2, "xyzzyab" * 3000 + "end"), (3, "start" + "xyzzyab" * 3000),
+            (4, "".join(f"line of words {i:04}\n" for i in range(1500))),
+            (5, "thirteen sign" * 900), (6, "thirteen sign" * 700 + "a" * 5000)]
+    assert check(make_docs(rows), rows, 100) > 80_000
+
+
+def test_a_text_of_one_letter_needs_little_memory(spark):
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0]), pa.array(["n" * 20_000_000])],
+                                       ["ord", "tie", "text"])
+    tracemalloc.start()
+    rows = pa.Table.from_batches(suffix_dedup._run_rows([batch], 100)).to_pandas()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300_000_000 and rows["name"].nunique() == 1
+    assert rows.groupby("mark").size().nlargest(1).iloc[0] > 0.9 * len(rows)
