@@ -39,11 +39,14 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from newsledger.llm.common import full_text, tasks
+from newsledger.operators.skew import broadcast_if_small
 from newsledger.session import materialize
 
 LENGTH, GRAM = 100, 32
 #: Windows of one name that a task puts in suffix order; Spark sorts larger names.
 CROWDED = 500_000
+#: Tasks that a window of a crowded name is dealt over.
+SALTS = 64
 #: Windows put in suffix order at once.
 CHUNK = 100_000
 #: Windows of a run: longer stretches of one name, as periodic text has, are cut there. A
@@ -229,13 +232,14 @@ def _piece_rows(batches, length: int):
         out = []
         for ord_, tie, text, spans in zip(*(c.to_pylist() for c in batch)):
             data = text.encode("utf-8", "surrogatepass")
-            out += [(s["name"], ord_, tie, s["lo"], data[s["lo"]:s["hi"] + length - 1])
+            out += [(s["name"], ord_, tie, s["lo"], data[s["lo"]:s["hi"] + length - 1], s["hot"])
                     for s in spans]
         if out:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(),
-                                                            pa.int32(), pa.binary()))],
-                ["name", "ord", "tie", "lo", "piece"])
+                                                            pa.int32(), pa.binary(),
+                                                            pa.bool_()))],
+                ["name", "ord", "tie", "lo", "piece", "hot"])
 
 
 def _windows(pieces: list[bytes], length: int) -> np.ndarray:
@@ -267,7 +271,7 @@ def _suffix_order(batches, length: int):
     """Pieces sorted by name, settled some names at a time."""
     held, windows, name = [], 0, None
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch)):
+        for row in zip(*(c.to_pylist() for c in batch.columns[:5])):
             if windows >= CHUNK and row[0] != name:
                 if (made := _settle(held, length)) is not None:
                     yield made
@@ -281,7 +285,7 @@ def _suffix_order(batches, length: int):
 
 def _split_windows(batches, length: int):
     for batch in batches:
-        for _, ord_, tie, lo, piece in zip(*(c.to_pylist() for c in batch)):
+        for _, ord_, tie, lo, piece in zip(*(c.to_pylist() for c in batch.columns[:5])):
             n = len(piece) - length + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([piece[i:i + length] for i in range(n)], pa.binary()),
@@ -289,18 +293,37 @@ def _split_windows(batches, length: int):
                  pa.array(np.arange(lo, lo + n, dtype=np.int32))], ["window", "ord", "tie", "lo"])
 
 
-def _after_first(batches):
-    """Rows sorted by window and position: all but the first of each window."""
+SPLIT = "window binary, ord long, tie long, lo int"
+
+
+def _mark_firsts(batches):
+    """Rows sorted by window and position: which are the first of their window here."""
     last = None
     for batch in batches:
         windows = batch.column("window").to_pylist()
-        again = [w == (windows[i - 1] if i else last) for i, w in enumerate(windows)]
+        first = [w != (windows[i - 1] if i else last) for i, w in enumerate(windows)]
         last = windows[-1] if windows else last
-        lo = batch.column("lo").to_numpy()
-        made = pa.RecordBatch.from_arrays(
-            [batch.column("ord"), batch.column("tie"), pa.array(lo), pa.array(lo + np.int32(1))],
-            ["ord", "tie", "lo", "hi"])
-        yield made.filter(pa.array(again, pa.bool_()))
+        kept = pa.array([w if f else None for w, f in zip(windows, first)], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [kept, *(batch.column(c) for c in ("ord", "tie", "lo")), pa.array(first, pa.bool_())],
+            ["window", "ord", "tie", "lo", "first"])
+
+
+def _after_first(split: DataFrame) -> DataFrame:
+    """All windows but the first of each content.
+
+    A window that very many documents hold is dealt over ``SALTS`` tasks by position. Each
+    settles all it holds but its first; only these firsts meet in one place.
+    """
+    n = tasks(split.sparkSession)
+    salt = F.pmod(F.xxhash64("ord", "tie", "lo"), F.lit(SALTS))
+    order, kinds = ["window", "ord", "tie", "lo"], f"{SPLIT}, first boolean"
+    dealt = materialize(split.repartition(n, "window", salt).sortWithinPartitions(*order)
+                        .mapInArrow(_mark_firsts, kinds))
+    met = (dealt.where("first").drop("first").repartition(n, "window")
+           .sortWithinPartitions(*order).mapInArrow(_mark_firsts, kinds))
+    return (dealt.where("not first").unionByName(met.where("not first"))
+            .select("ord", "tie", "lo", (F.col("lo") + 1).alias("hi")))
 
 
 # ---- step 3: cutting
@@ -366,28 +389,29 @@ def removed_windows(rows: DataFrame, length: int = LENGTH, crowded: int = CROWDE
     repeated = materialize(found.repartition("name").sortWithinPartitions(*RUN_COLUMNS[:6])
                            .mapInArrow(_repeated_runs, f"{RUN}, open boolean"))
     open_ = repeated.where("open")
-    spans = open_.groupBy("ord", "tie").agg(
-        F.collect_set(F.struct("name", "lo", "hi")).alias("spans"))
+    large = (open_.groupBy("name").agg(F.sum(F.col("hi") - F.col("lo")).alias("windows"))
+             .where(F.col("windows") > crowded).select("name", F.lit(True).alias("hot")))
+    large = materialize(large)
+    hot = not large.isEmpty()
+    if hot:  # few names: each stands for ``crowded`` windows
+        open_ = open_.join(broadcast_if_small(large), "name", "left")
+    else:
+        open_ = open_.withColumn("hot", F.lit(None).cast("boolean"))
+    spans = open_.groupBy("ord", "tie").agg(F.collect_set(F.struct(
+        "name", "lo", "hi", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spans"))
     texts = rows.select("ord", "tie", "text")
-    piece = "name long, ord long, tie long, lo int, piece binary"
+    piece = "name long, ord long, tie long, lo int, piece binary, hot boolean"
     pieces = (texts.join(spans, ["ord", "tie"]).select("ord", "tie", "text", "spans")
               .mapInArrow(lambda b: _piece_rows(b, length), piece))
-    large = (open_.groupBy("name").agg(F.sum(F.col("hi") - F.col("lo")).alias("windows"))
-             .where(F.col("windows") > crowded).select("name"))
+    pieces = materialize(pieces) if hot else pieces
     window = "ord long, tie long, lo int, hi int"
-    hot = not large.isEmpty()
-    calm = pieces.join(large, "name", "left_anti") if hot else pieces
-    settled = (calm.repartition(tasks(spark), "name").sortWithinPartitions("name")
+    settled = (pieces.where("not hot").repartition(tasks(spark), "name")
+               .sortWithinPartitions("name")
                .mapInArrow(lambda b: _suffix_order(b, length), window))
     out = repeated.where("not open").select("ord", "tie", "lo", "hi").unionByName(settled)
     if hot:
-        split = (pieces.join(large, "name", "left_semi")
-                 .mapInArrow(lambda b: _split_windows(b, length),
-                             "window binary, ord long, tie long, lo int"))
-        out = out.unionByName(
-            split.repartition(tasks(spark), "window")
-            .sortWithinPartitions("window", "ord", "tie", "lo")
-            .mapInArrow(_after_first, window))
+        out = out.unionByName(_after_first(
+            pieces.where("hot").mapInArrow(lambda b: _split_windows(b, length), SPLIT)))
     return out
 
 
