@@ -5,9 +5,11 @@ speaker as the assistant and all others as named users; system turns stay system
 loss spans cover exactly the speaker's own words and their end marks, in code points of the
 rendered text, ends exclusive.
 
-A conversation is rendered in parts of at most ``part_turns`` turn numbers, each a text of its
-own with its own spans, so no conversation has to fit one task. More rows than that with one
-turn number are laid out in parts of their own, by a hash of their content.
+A conversation is rendered whole. Only one of more than ``part_chars`` code points is cut, by
+the running size of its ordered rows, into parts that are texts of their own with spans of
+their own, so no conversation has to fit one task; the earliest system turn is repeated at
+the head of each part after its own. A single turn is never cut. Rows of one turn number and
+copies of one row are numbered by a distributed sort like all others.
 
 Defined results: rows follow turn, role and text, nulls first. A null or blank role is
 ``unknown``; null text is empty; a null conv_id is a conversation, a null turn counts as -1.
@@ -20,7 +22,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-PART_TURNS = 64
+from newsledger.operators.ordered import with_ranged_sum
+from newsledger.operators.skew import broadcast_if_small
+from newsledger.session import materialize
+
+#: Code points from which a conversation is cut into parts.
+PART_CHARS = 1 << 18
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 ORACLE = r"""
@@ -31,7 +38,7 @@ WITH cleaned AS (
   FROM conversations),
 speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM cleaned WHERE role <> 'system'),
 pieces AS (
-  SELECT c.conv_id, s.speaker, CAST(floor(turn / 64.0) AS BIGINT) AS part, turn, role, text,
+  SELECT c.conv_id, s.speaker, turn, role, text,
          '<|im_start|>' || CASE WHEN role = 'system' THEN 'system'
            WHEN role = s.speaker THEN 'assistant' ELSE 'user name=' || role END
            || chr(10) AS head, role = s.speaker AS own
@@ -39,15 +46,15 @@ pieces AS (
 placed AS (
   SELECT *, length(head) AS a, length(text) + 10 AS b,
          coalesce(sum(length(head) + length(text) + 11) OVER (
-           PARTITION BY conv_id, speaker, part ORDER BY turn, role, text
+           PARTITION BY conv_id, speaker ORDER BY turn, role, text
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
   FROM pieces)
-SELECT conv_id, speaker, part, 0 AS slot, count(*) AS n_turns,
+SELECT conv_id, speaker, CAST(0 AS BIGINT) AS part, count(*) AS n_turns,
        string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text,
        coalesce(string_agg(CASE WHEN own THEN (pos + a)::BIGINT::VARCHAR || ':'
          || (pos + a + b)::BIGINT::VARCHAR END, ',' ORDER BY turn, role, text), '') AS loss_spans,
        CAST(coalesce(sum(CASE WHEN own THEN b END), 0) AS BIGINT) AS loss_chars
-FROM placed GROUP BY conv_id, speaker, part
+FROM placed GROUP BY conv_id, speaker
 """
 
 
@@ -67,29 +74,69 @@ def _head(role: Column, speaker: Column) -> Column:
     return F.concat(F.lit(OPEN), name, F.lit("\n"))
 
 
-def parts(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """(conv_id, part, slot, turns): the ordered rows of each part of a conversation."""
-    rows = _cleaned(turns).withColumn("part", F.floor(F.col("turn") / part_turns).cast("long"))
-    crowded = (rows.groupBy("conv_id", "turn").count().where(F.col("count") > part_turns)
-               .select(F.col("conv_id").alias("c"), F.col("turn").alias("t"),
-                       F.ceil(F.col("count") / part_turns).alias("n")))
-    if crowded.isEmpty():
-        rows = rows.withColumn("slot", F.lit(0))
-    else:  # slots 1, 2, ... hold the rows of a turn number that has too many
-        rows = rows.join(crowded, F.col("conv_id").eqNullSafe(F.col("c"))
-                         & (F.col("turn") == F.col("t")), "left")
-        rows = rows.withColumn("slot", F.when(F.col("n").isNull(), 0).otherwise(
-            1 + F.pmod(F.xxhash64("turn", "role", "text"), F.col("n"))).cast("int"))
-    return rows.groupBy("conv_id", "part", "slot").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-
-
-def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """One row per conversation, speaker and part: n_turns, text, loss_spans, loss_chars."""
-    speakers = (_cleaned(turns).where(F.col("role") != "system")
+_TURN = ["turn", "role", "text"]
+
+
+def _ordered(rows: DataFrame, *keys: str) -> DataFrame:
+    turns = F.sort_array(F.collect_list(F.struct(*_TURN)))
+    return rows.groupBy(*keys).agg(turns.alias("turns"))
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """Short conversations; their speakers come from their own rows."""
+    said = F.array_distinct(F.transform("turns", lambda t: t["role"]))
+    return (_ordered(rows, "conv_id")
+            .select("conv_id", F.lit(0).cast("long").alias("part"), "turns",
+                    F.size("turns").cast("long").alias("n_turns"),
+                    F.explode(F.array_remove(said, "system")).alias("speaker")))
+
+
+def _cut(rows: DataFrame, part_chars: int) -> DataFrame:
+    """Long conversations in parts of about ``part_chars``, each with every speaker."""
+    rows = materialize(rows.withColumn("copy", F.monotonically_increasing_id()))
+    order = [F.asc(c) for c in ("conv_id", *_TURN, "copy")]
+    summed = with_ranged_sum(rows, order, F.col("cost"), "upto").withColumn(
+        "before", F.col("upto") - F.col("cost"))
+    starts = summed.groupBy(F.col("conv_id").alias("c")).agg(F.min("before").alias("start"))
+    placed = summed.join(broadcast_if_small(starts), F.col("conv_id").eqNullSafe(F.col("c")))
+    placed = materialize(placed.select("conv_id", *_TURN, F.floor(
+        (F.col("before") - F.col("start")) / part_chars).cast("long").alias("part")))
+    heads = (placed.where(F.col("role") == "system").groupBy(F.col("conv_id").alias("h"))
+             .agg(F.min(F.struct(*_TURN, "part")).alias("head")))
+    speakers = (placed.where(F.col("role") != "system")
                 .select(F.col("conv_id").alias("c"), F.col("role").alias("speaker")).distinct())
-    seen = parts(turns, part_turns).join(
-        speakers, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+    head = F.struct(*[F.col(f"head.{c}") for c in _TURN])
+    return (_ordered(placed, "conv_id", "part")
+            .withColumn("n_turns", F.size("turns").cast("long"))
+            .join(broadcast_if_small(heads), F.col("conv_id").eqNullSafe(F.col("h")), "left")
+            .withColumn("turns", F.when(F.col("part") > F.col("head.part"),
+                                        F.concat(F.array(head), "turns")).otherwise(F.col("turns")))
+            .join(broadcast_if_small(speakers), F.col("conv_id").eqNullSafe(F.col("c")))
+            .select("conv_id", "part", "turns", "n_turns", "speaker"))
+
+
+def dialogues(turns: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
+    """(conv_id, part, turns, n_turns, speaker): ordered rows of each part, once per speaker.
+
+    ``n_turns`` does not count a repeated system turn.
+    """
+    marks = len(f"{OPEN}user name=\n{CLOSE}\n")
+    rows = _cleaned(turns).withColumn(
+        "cost", F.char_length("text") + F.char_length("role") + F.lit(marks))
+    long_ = materialize(rows.groupBy("conv_id").agg(F.sum("cost").alias("size"))
+                        .where(F.col("size") > part_chars)
+                        .select(F.col("conv_id").alias("c"), F.lit(True).alias("long")))
+    if long_.isEmpty():
+        return _whole(rows)
+    rows = rows.join(broadcast_if_small(long_), F.col("conv_id").eqNullSafe(F.col("c")),
+                     "left").drop("c")
+    return _whole(rows.where(F.col("long").isNull()).drop("long", "cost")).unionByName(
+        _cut(rows.where("long").drop("long"), part_chars))
+
+
+def rotate(turns: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
+    """One row per conversation, speaker and part: n_turns, text, loss_spans, loss_chars."""
+    seen = dialogues(turns, part_chars)
     speaker = F.col("speaker")
     text = F.array_join(F.transform("turns", lambda t: F.concat(
         _head(t["role"], speaker), t["text"], F.lit(f"{CLOSE}\n"))), "")
@@ -109,9 +156,8 @@ def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
                      F.array().cast("array<string>").alias("spans"),
                      F.lit(0).cast("long").alias("chars"))
     walked = F.aggregate("turns", start, walk)
-    return (seen.select("conv_id", "speaker", "part", "slot",
-                        F.size("turns").cast("long").alias("n_turns"), text.alias("text"),
+    return (seen.select("conv_id", "speaker", "part", "n_turns", text.alias("text"),
                         walked.alias("walked"))
-            .select("conv_id", "speaker", "part", "slot", "n_turns", "text",
+            .select("conv_id", "speaker", "part", "n_turns", "text",
                     F.array_join("walked.spans", ",").alias("loss_spans"),
                     F.col("walked.chars").alias("loss_chars")))

@@ -14,7 +14,7 @@ from newsledger.llm import chat, warc
 TURNS = "conv_id long, turn long, role string, text string, speaker string, part long"
 
 
-def brute_rotation(rows, part_turns):
+def brute_rotation(rows, part_chars):
     groups = defaultdict(list)
     for conv, turn, role, text in rows:
         role = (role or "").strip(" ") or "unknown"
@@ -22,13 +22,18 @@ def brute_rotation(rows, part_turns):
                              (text or "").replace("<|im_", "<| im_")))
     out = set()
     for conv, turns in groups.items():
+        costs = [len(r) + len(t) + len("<|im_start|>user name=\n<|im_end|>\n") for _, r, t in sorted(turns)]
+        cut, at, head = defaultdict(list), 0, (0, None)
+        for t, cost in zip(sorted(turns), costs):
+            part = at // part_chars if sum(costs) > part_chars else 0
+            if t[1] == "system" and head[1] is None:
+                head = part, t
+            cut[part].append(t)
+            at += cost
         for speaker in {r for _, r, _ in turns} - {"system"}:
-            cut = defaultdict(list)
-            for t in sorted(turns):
-                cut[t[0] // part_turns].append(t)
             for part, own in cut.items():
                 text, spans = "", []
-                for _, role, said in own:
+                for _, role, said in ([head[1]] if head[1] and part > head[0] else []) + own:
                     name = ("system" if role == "system" else "assistant" if role == speaker
                             else f"user name={role}")
                     text += f"<|im_start|>{name}\n"
@@ -51,9 +56,9 @@ ROWS = ([(1, 0, "system", "rules"), (1, 1, "ann", "hello é 日本"), (1, 2, "bo
 
 def test_rotation(spark):
     turns = spark.createDataFrame([(*r, "x", 7) for r in ROWS], TURNS)
-    for size in (64, 4):
-        got = chat.rotate(turns, size).drop("slot").collect()
-        assert set(map(tuple, got)) == brute_rotation(ROWS, size) and len(got) >= 8
+    for size in (chat.PART_CHARS, 200):
+        got = chat.rotate(turns, size).collect()
+        assert set(map(tuple, got)) == brute_rotation(ROWS, size) and len(got) >= 7
         for r in got:  # spans hold the speaker's words
             for span in filter(None, r["loss_spans"].split(",")):
                 a, b = map(int, span.split(":"))
@@ -62,15 +67,22 @@ def test_rotation(spark):
     assert chat.rotate(turns.limit(0)).count() == 0
 
 
-def test_crowded_turn_is_split(spark):
-    rows = [(1, 0, "ab"[i % 2], f"text {i}", "x", 7) for i in range(500)]
-    got = chat.rotate(spark.createDataFrame(rows, TURNS), 16).collect()
-    assert max(r["n_turns"] for r in got) < 64 and len({r["slot"] for r in got}) > 16
+def test_long_dialogues_are_cut_by_size(spark):
+    """Crowded turn numbers, copies of one row, sparse numbers and a long null conversation."""
+    rng = random.Random(4)
+    rows = ([(1, 0, "ab"[i % 2], f"text {i % 50}") for i in range(300)] + [(1, 0, "system", "be kind")]
+            + [(2, 1000 * i, rng.choice("abc"), "word " * rng.randrange(9)) for i in range(200)]
+            + [(2, 40_000, "system", "late rules"), (2, 90_000, "system", "later ones")]
+            + [(None, None, "x", "same")] * 120 + [(3, i, "ab"[i % 2], "short") for i in range(20)]
+            + [(4, 0, "a", "long " * 4000), (4, 1, "b", "short")])
+    got = chat.rotate(spark.createDataFrame([(*r, "x", 7) for r in rows], TURNS), 2000).collect()
+    assert set(map(tuple, got)) == brute_rotation(rows, 2000)
+    assert len({r["part"] for r in got if r["conv_id"] == 1}) > 5
+    assert {r["part"] for r in got if r["conv_id"] == 3} == {0}
     for speaker in "ab":
-        own = [r for r in got if r["speaker"] == speaker]
-        assert sum(r["n_turns"] for r in own) == 500
-        assert sum(r["loss_chars"] for r in own) == sum(
-            len(t) + len(chat.CLOSE) for _, _, role, t, *_ in rows if role == speaker)
+        own = [r for r in got if r["conv_id"] == 1 and r["speaker"] == speaker]
+        assert sum(r["n_turns"] for r in own) == 301
+        assert all(r["text"].startswith("<|im_start|>system\nbe kind") for r in own if r["part"] > 5)
 
 
 PAGES = [(1, "http://a.example/x?y=1", "<html lang='en'><head><title>T &amp; x</title><style>p{}"
