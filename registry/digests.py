@@ -8,7 +8,8 @@ from newsledger import fixed_values as fixed
 from newsledger.functions import ids, text as T, times, urls as U
 from newsledger.operators.barrier import computed
 from newsledger.operators.classify import digest_order, rejected_urls, with_identity
-from newsledger.operators.ordered import first_wins
+from newsledger.operators.ordered import first_wins, with_ranged_sum
+from newsledger.session import materialize
 from registry import register, views as V
 
 
@@ -32,6 +33,22 @@ def digest_sections(spark, sf_dir):
         joined("model_hits"), joined("topic_hits"), "source_item_id", "snapshot_hash", "summary")
 
 
+@register("digest_places", V.CLASSIFIED + """
+SELECT strftime(day, '%Y-%m-%d') AS day, section, source_id, item_ord, row_number() OVER (
+  PARTITION BY day ORDER BY section_ord, tier <> 'official', -len(topic_hits), source_id, item_ord)
+  AS place FROM classified""")
+def digest_places(spark, sf_dir):
+    """The place of every item in its day's reading order, by one distributed sort."""
+    rows = V.classified(spark, sf_dir)
+    narrow = materialize(rows.select("day", "section", "section_ord", "source_id", "tier",
+                                     "topic_hits", "payload_ord", "item_ord"))
+    placed = with_ranged_sum(narrow, [F.col("day"), *digest_order(narrow)], F.lit(1), "nth")
+    heads = placed.groupBy("day").agg(F.min("nth").alias("head"))
+    return placed.join(heads, "day").select(
+        day_text(), "section", "source_id", "item_ord",
+        (F.col("nth") - F.col("head") + 1).alias("place"))
+
+
 @register("section_counts", V.CLASSIFIED + """
 SELECT strftime(day, '%Y-%m-%d') AS day, section, tier, count(*) AS items,
   count(DISTINCT source_id) AS sources FROM classified GROUP BY ALL""")
