@@ -10,11 +10,12 @@ from newsledger.operators import audits as A, retention as R, routing
 from newsledger.operators.barrier import computed
 from newsledger.operators.features import (Markers, community_features, expert_features,
                                            item_quality)
+from newsledger.operators.ordered import with_ranged_sum
 from newsledger.operators.signals import (
     audit_signals, baseline_lead, baseline_points, community_signals, effective_time, item_key,
     item_matches, signal_matches, signal_points)
 from newsledger.session import materialize
-from registry import register, views as V
+from registry import SQL, register, views as V
 from registry.digests import day_text, joined
 
 def end_day():
@@ -235,3 +236,14 @@ def community_scores(spark, sf_dir):
         F.round("direct_evidence", 6).alias("direct"), F.round("noise_proxy", 6).alias("noise"),
         F.round("duplicate_rate", 6).alias("duplicate_rate"), "existing_matches",
         F.round("lead_hours", 6).alias("lead_hours"), "score", "decision")
+
+
+@register("community_places", f"""
+SELECT source, score, row_number() OVER (
+  ORDER BY role = 'control' NULLS FIRST, score DESC, lower(source)) AS place
+FROM ({SQL["community_scores"]}) AS scored""")
+def community_places(spark, sf_dir):
+    """The place of every candidate in the report's order."""
+    scored = materialize(community_scores(spark, sf_dir).select("source", "role", "score"))
+    return with_ranged_sum(scored, A.community_order(), F.lit(1), "place").select(
+        "source", "score", F.col("place").cast("bigint").alias("place"))
