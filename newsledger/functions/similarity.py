@@ -8,10 +8,11 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 from urllib.parse import urljoin, urlsplit
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, DoubleType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType
 
 from newsledger import fixed_values as fixed
 from newsledger.functions import text as T
@@ -39,6 +40,40 @@ def ratio_above(left: Column, right: Column, floor: float) -> Column:
     return bounded(left, right)
 
 
+#: Longest left title of ``common_in_order``: its places are the bits of one number.
+LCS_CHARS = 62
+
+
+def _classes(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the characters, 64 beyond the end, and the lengths."""
+    listed = texts.to_list()
+    codes = np.array(listed, dtype=str)
+    codes = codes.view(np.uint32).reshape(len(listed), -1)
+    sizes = np.fromiter(map(len, listed), dtype=np.int64, count=len(listed))
+    inside = np.arange(codes.shape[1])[None, :] < sizes[:, None]
+    return np.where(inside, codes % 64, 64).astype(np.int64), sizes
+
+
+@pandas_udf(IntegerType())
+def common_in_order(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Upper bound of the characters two titles share in one order: their longest common
+    subsequence, where letters of one class count as equal. One addition a character."""
+    if not len(left):
+        return pd.Series([], dtype="int32")
+    (x, sizes), (y, _) = _classes(left), _classes(right)
+    rows, one = np.arange(len(x)), np.uint64(1)
+    masks = np.zeros((len(x), 65), dtype=np.uint64)
+    for i in range(x.shape[1]):
+        masks[rows, x[:, i]] |= one << np.uint64(i)
+    masks[:, 64] = 0
+    full = (one << sizes.astype(np.uint64)) - one
+    gaps = full.copy()
+    for j in range(y.shape[1]):
+        hit = gaps & masks[rows, y[:, j]]
+        gaps = ((gaps + hit) | (gaps ^ hit)) & full
+    return pd.Series(sizes - np.bitwise_count(gaps).astype(np.int64)).astype("int32")
+
+
 def blend(ratio: Column, jaccard: Column) -> Column:
     return F.greatest(ratio, ratio * 0.6 + jaccard * 0.4)
 

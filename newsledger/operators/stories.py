@@ -8,7 +8,9 @@ earlier ones that might still take it:
 1. Copies (same day, URL, title and source) collapse to their first item: all later
    copies provably follow it. A flood of copies is one aggregate.
 2. Similar titles are joined exactly (``titles``), within six hours or within one URL and
-   source. Of blocks that stay crowded only the first open members are compared.
+   source, and tested where they meet: only edges are written. Titles that nearly equal more
+   than ``BLOCK_ROWS`` others meet among each other by shared bigrams and words instead; of
+   blocks that stay crowded only the first open members are compared.
 3. Rounds settle items of all days at once. An item settles when the first story that
    would take it lies before every open item that could still found or enter such a story.
    Stories of another source under one URL are found by an index of named vendors and models,
@@ -27,15 +29,21 @@ from newsledger.functions import ids, text as T
 from newsledger.functions.urls import story_url, url_host, safe_canonical
 from newsledger.operators import titles
 from newsledger.operators.barrier import computed
+from newsledger.operators.skew import salted_join
 from newsledger.session import materialize
 
 WINDOW_HOURS = 6
 SLOT = WINDOW_HOURS * 3_600_000_000
-#: Members of a block that are compared in pairs, and first open members of a larger one.
+#: Nearly equal titles of an item, or members of a block, that are compared in pairs, and first open
+#: members of a larger block.
 BLOCK_ROWS, FRONT_ROWS = 200, 64
+#: Later items of one time slot that a task compares with the earlier ones.
+SLICE_ROWS = 8192
 COPY = ["day", "canon", "title_n", "source_id"]
 REP = ["day", "rep"]
 BLOCK = ["day", "block", "key"]
+#: What two items that meet are compared by.
+CLOSE = ["rep", "ord", "t", "title_n", "tokens", "vendors", "models", "dense"]
 
 
 def story_features(items: DataFrame) -> DataFrame:
@@ -108,8 +116,67 @@ def _crowded(keys: DataFrame) -> DataFrame:
                        .where(F.col("n") > BLOCK_ROWS).select(*BLOCK))
 
 
+def _together(rows: DataFrame, test: Column) -> DataFrame:
+    """Pairs of ``signed`` representatives that pass the test, ``x`` later than ``y``. They meet
+    once in the time slot of ``x``, with items of that slot and the one before, and once under
+    their URL and source."""
+    slot = F.floor(F.col("t") / SLOT)
+    dated = F.col("t").isNotNull() & (F.col("length") >= 12)
+    page = F.when(F.col("shared"), F.array(
+        F.concat(F.lit("u"), F.sha2(F.concat_ws("\x00", "canon", "source_id"), 256))))
+
+    def side(name: str, slots: Column) -> DataFrame:
+        blocks = F.concat(F.coalesce(slots, T.empty_strings()),
+                          F.coalesce(page, T.empty_strings()))
+        return rows.select("day", F.explode(blocks).alias("block"), *[
+            F.col(c).alias(f"{name}_{c}") for c in (*CLOSE, *titles.SIGNED)])
+    x = side("x", F.when(dated & F.col("mergeable"), F.array(F.concat(F.lit("t"), slot))))
+    y = side("y", F.when(dated, F.array(F.concat(F.lit("t"), slot),
+                                        F.concat(F.lit("t"), slot + 1))))
+    near = F.col("block").startswith("u") | (F.col("x_t") - F.col("y_t") <= SLOT)
+    fits = T.titles_compatible(F.col("x_vendors"), F.col("x_models"),
+                               F.col("y_vendors"), F.col("y_models"))
+    apart = ~(F.col("x_dense") & F.col("y_dense"))
+    return salted_join(x, y, ["day", "block"], hot_rows=SLICE_ROWS).where(
+        near & apart & test & (F.col("x_ord") > F.col("y_ord")) & fits)
+
+
+def _dense(rows: DataFrame) -> DataFrame:
+    """Representatives with more than ``BLOCK_ROWS`` nearly equal titles."""
+    return materialize(
+        _together(rows, titles.nearly_equal()).select("day", F.explode(F.array("x_rep", "y_rep")).alias("rep"))
+        .groupBy(*REP).agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_ROWS).select(*REP))
+
+
 def candidates(reps: DataFrame, order: Column) -> tuple[DataFrame, DataFrame | None]:
     """Edges of similar titles, and the members of blocks too large for pairs, or None."""
+    rows = materialize(titles.signed(reps.select("day", *[c for c in CLOSE if c != "dense"], "canon",
+                                                 "source_id", "shared", "mergeable"))
+                       .withColumn("dense", F.lit(False)))
+    dense = _dense(rows)
+    if dense.isEmpty():
+        return materialize(_close_edges(rows)), None
+    marked = dense.withColumn("dense", F.lit(True))
+    rows = rows.drop("dense").join(marked, REP, "left").withColumn(
+        "dense", F.coalesce("dense", F.lit(False)))
+    edges, full = _crowd_candidates(reps.join(dense, REP, "left_semi"), order)
+    return materialize(_close_edges(rows)).unionByName(edges), full
+
+
+def _close_edges(rows: DataFrame) -> DataFrame:
+    def title(name: str) -> Column:
+        return F.struct(F.col(f"{name}_title_n").alias("title_n"),
+                        F.col(f"{name}_tokens").alias("tokens"))
+    by_url = F.col("block").startswith("u")
+    pairs = titles.in_order(_together(rows, titles.may_match())).select(
+        "day", F.col("x_rep").alias("x"), F.col("y_rep").alias("y"), F.col("y_ord").alias("ord"),
+        (~by_url).alias("by_title"), by_url.alias("by_url"), title("x").alias("_l"),
+        title("y").alias("_e"))
+    return titles.similar(pairs, "_l", "_e").drop("_l", "_e")
+
+
+def _crowd_candidates(reps: DataFrame, order: Column) -> tuple[DataFrame, DataFrame | None]:
+    """The same among titles that have many close ones, by shared bigrams and words."""
     keys = materialize(_block_keys(reps, order))
     crowd = _crowded(keys)
     if crowd.isEmpty():
@@ -298,15 +365,18 @@ def _assign(reps: DataFrame) -> DataFrame:
         open_ = step.where(F.col("reason").isNull()).select(*columns)
         if open_.isEmpty():
             return done.select(*REP, "founder", "reason", "similarity")
+        # later rounds ask for open items only
+        edges = materialize(edges.join(open_.select("day", F.col("rep").alias("x")),
+                                       ["day", "x"], "left_semi"))
 
 
 def cluster_items(items: DataFrame) -> DataFrame:
     """Items with their story: story_id, reason, similarity and the founder's item id.
 
     ``items`` is classified without URL dedupe. ``reason`` is ``founder`` for the item
-    that opened its story.
+    that opened its story. The whole text that rules were matched against stays behind.
     """
-    rows = materialize(story_features(items))
+    rows = materialize(story_features(items.drop("match_text")))
     reps = materialize(_representatives(rows))
     assigned = materialize(_assign(reps))
     founder = reps.select(

@@ -294,3 +294,37 @@ def test_a_day_of_near_equal_titles_takes_few_rounds(spark, monkeypatch):
              at + dt.timedelta(seconds=10 * i), "", "") for i, t in enumerate(titles_)]
     found = S.cluster_items(with_identity(spark.createDataFrame(rows, SCHEMA)))
     assert found.select("story_id").distinct().count() == 1 and len(rounds) <= 4
+
+
+def test_direct_comparison_equals_all_pairs(spark):
+    """Bit sets and common subsequences lose no pair at the threshold, long titles included."""
+    from newsledger.functions import text as T
+    rng, rows = random.Random(21), []
+    for i in range(120):
+        size = rng.choice([3, 7, 25, 60, 61, 62, 63, 64, 90])
+        title = list("".join(rng.choices("abcdefgh é", k=size)))
+        if i > 20 and rng.random() < 0.8:
+            title = list(rng.choice(rows)[1])
+            for _ in range(rng.randint(1, max(1, len(title) // 8))):
+                title[rng.randrange(len(title))] = rng.choice("abcdefgh")
+        rows.append((f"r{i:03}", " ".join("".join(title).split()) or "x"))
+    df = spark.createDataFrame(rows, "rep string, title_n string")
+    df = titles.signed(df.withColumn("tokens", T.title_tokens(F.col("title_n")))).cache()
+    x, y = (df.select(*[F.col(c).alias(f"{name}_{c}") for c in df.columns]) for name in "xy")
+    left = titles.in_order(x.join(y, F.col("x_rep") > F.col("y_rep")).where(titles.may_match()))
+    got, text = {(r.x_rep, r.y_rep) for r in left.collect()}, dict(rows)
+    want = {(b, a) for a, b in itertools.combinations(sorted(text), 2)
+            if likeness(text[b], text[a]) >= 0.86}
+    assert len(want) > 60 and want <= got and len(got) < 3 * len(want)
+
+
+def test_story_tables_hold_no_keys_and_no_texts(spark, monkeypatch):
+    """Whole texts and candidate keys are not written: tables grow with items and edges."""
+    written, write = [], S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df: written.append(write(df)) or written[-1])
+    rng = random.Random(4)
+    rows = day_rows([" ".join(rng.choices(WORDS, k=8)) for _ in range(60)])
+    items = with_identity(spark.createDataFrame(rows, SCHEMA)).withColumn("match_text", F.lit("t"))
+    S.cluster_items(items)
+    assert all("match_text" not in df.columns for df in written)
+    assert max(df.count() for df in written) <= 60 * 5
