@@ -89,7 +89,8 @@ def story_independence(spark, sf_dir):
 @register("story_health")
 def story_health(spark, sf_dir):
     dim = community_entries(spark, sf_dir).select("source")
-    return dim.join(H.story_health(story_table(spark, sf_dir), story_items(spark, sf_dir)),
+    items = story_items(spark, sf_dir)
+    return dim.join(H.story_health(story_table(spark, sf_dir, items), items),
                     "source", "left").fillna(0)
 
 
