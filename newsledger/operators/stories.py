@@ -6,7 +6,8 @@ else it founds a story. The outcome depends on the order, yet an item only waits
 earlier ones that might still take it:
 
 1. Copies (same day, URL, title and source) collapse to their first item: all later
-   copies provably follow it. A flood of copies is one aggregate.
+   copies provably follow it. A flood of copies is one aggregate. The first items are numbered
+   in reading order, so an edge or a fact of a round is a few numbers.
 2. Similar titles are joined exactly (``titles``), within six hours or within one URL and
    source, and tested where they meet: only edges are written. Titles that nearly equal more
    than ``BLOCK_ROWS`` others meet among each other by shared bigrams and words instead; of
@@ -29,6 +30,7 @@ from newsledger.functions import ids, text as T
 from newsledger.functions.urls import story_url, url_host, safe_canonical
 from newsledger.operators import titles
 from newsledger.operators.barrier import computed
+from newsledger.operators.ordered import with_ranged_sum
 from newsledger.operators.skew import salted_join
 from newsledger.session import materialize
 
@@ -43,7 +45,7 @@ COPY = ["day", "canon", "title_n", "source_id"]
 REP = ["day", "rep"]
 BLOCK = ["day", "block", "key"]
 #: What two items that meet are compared by.
-CLOSE = ["rep", "ord", "t", "title_n", "tokens", "vendors", "models", "dense"]
+CLOSE = ["rep", "t", "title_n", "tokens", "vendors", "models", "dense"]
 
 
 def story_features(items: DataFrame) -> DataFrame:
@@ -58,10 +60,11 @@ def story_features(items: DataFrame) -> DataFrame:
 
 
 def _representatives(rows: DataFrame) -> DataFrame:
-    """The first of each set of copies; ``shared`` tells whether others have its URL."""
+    """The first of each set of copies, numbered in reading order by ``rep``; ``shared`` tells
+    whether others have its URL."""
     reps = (rows.groupBy(*COPY).agg(F.min("ord").alias("ord"))
-            .withColumn("t", F.when(F.col("ord.o1") > -(2 ** 62), F.col("ord.o1")))
-            .withColumn("rep", F.sha2(F.to_json(F.struct(*COPY)), 256)))
+            .withColumn("t", F.when(F.col("ord.o1") > -(2 ** 62), F.col("ord.o1"))))
+    reps = with_ranged_sum(reps, [F.col(c) for c in ("day", "ord", *COPY[1:])], F.lit(1), "rep")
     tokens = T.title_tokens(F.col("title_n"))
     reps = computed(reps, {"tokens": tokens, "vendors": T.title_vendors(F.col("title_n")),
                            "models": T.title_models(F.col("title_n"))})
@@ -82,21 +85,21 @@ def _block_keys(reps: DataFrame, order: Column) -> DataFrame:
         F.concat(F.lit("u"), F.sha2(F.concat_ws("\x00", "canon", "source_id"), 256))))
     blocks = F.concat(F.coalesce(slots, T.empty_strings()), F.coalesce(page, T.empty_strings()))
     rows = titles.with_block_keys(reps, order)
-    return (rows.select(*REP, "ord", F.length("title_n").alias("length"), "_keys",
+    return (rows.select(*REP, F.length("title_n").alias("length"), "_keys",
                         F.explode(blocks).alias("block"))
-            .select(*REP, "ord", "length", "block", F.inline("_keys")))
+            .select(*REP, "length", "block", F.inline("_keys")))
 
 
 def _met(x: DataFrame, y: DataFrame) -> DataFrame:
     """Distinct pairs (day, x, y) of members that share a block, ``x`` later than ``y``."""
-    pairs = titles.meet(x, y, BLOCK, F.col("x_ord") > F.col("y_ord"))
+    pairs = titles.meet(x, y, BLOCK, F.col("x_rep") > F.col("y_rep"))
     return pairs.select("day", F.col("x_rep").alias("x"), F.col("y_rep").alias("y")).distinct()
 
 
 def _edges(met: DataFrame, reps: DataFrame) -> DataFrame:
-    """(day, x, y, ord, similarity, by_title, by_url): ``x`` may join the story that the earlier
-    ``y``, at ``ord``, founds, by its title or as one of their URL and source."""
-    what = F.struct("ord", "t", "canon", "source_id", "title_n", "tokens", "vendors", "models",
+    """(day, x, y, similarity, by_title, by_url): ``x`` may join the story that the earlier ``y``
+    founds, by its title or as one of their URL and source."""
+    what = F.struct("t", "canon", "source_id", "title_n", "tokens", "vendors", "models",
                     "mergeable")
     pairs = (met.join(reps.select("day", F.col("rep").alias("x"), what.alias("_l")), ["day", "x"])
              .join(reps.select("day", F.col("rep").alias("y"), what.alias("_e")), ["day", "y"]))
@@ -104,7 +107,7 @@ def _edges(met: DataFrame, reps: DataFrame) -> DataFrame:
     fits = T.titles_compatible(F.col("_l.vendors"), F.col("_l.models"),
                                F.col("_e.vendors"), F.col("_e.models"))
     pairs = pairs.where(fits).select(
-        "day", "x", "y", F.col("_e.ord").alias("ord"), "_l", "_e",
+        "day", "x", "y", "_l", "_e",
         F.coalesce(F.col("_l.mergeable") & near, F.lit(False)).alias("by_title"),
         ((F.col("_l.canon") == F.col("_e.canon"))
          & (F.col("_l.source_id") == F.col("_e.source_id"))).alias("by_url"))
@@ -117,7 +120,8 @@ def _crowded(keys: DataFrame) -> DataFrame:
 
 
 def _together(rows: DataFrame, test: Column) -> DataFrame:
-    """Pairs of ``signed`` representatives that pass the test, ``x`` later than ``y``. They meet
+    """Pairs of ``signed`` representatives that pass the test, ``x`` later than ``y``. The test
+    runs inside the join and has to stay short, else it is never compiled. They meet
     once in the time slot of ``x``, with items of that slot and the one before, and once under
     their URL and source."""
     slot = F.floor(F.col("t") / SLOT)
@@ -137,8 +141,9 @@ def _together(rows: DataFrame, test: Column) -> DataFrame:
     fits = T.titles_compatible(F.col("x_vendors"), F.col("x_models"),
                                F.col("y_vendors"), F.col("y_models"))
     apart = ~(F.col("x_dense") & F.col("y_dense"))
-    return salted_join(x, y, ["day", "block"], hot_rows=SLICE_ROWS).where(
-        near & apart & test & (F.col("x_ord") > F.col("y_ord")) & fits)
+    pairs = salted_join(x, y, ["day", "block"], hot_rows=SLICE_ROWS)
+    return computed(pairs.where((F.col("x_rep") > F.col("y_rep")) & near & apart & test),
+                    {"_fits": fits}).where("_fits").drop("_fits")
 
 
 def _dense(rows: DataFrame) -> DataFrame:
@@ -168,8 +173,8 @@ def _close_edges(rows: DataFrame) -> DataFrame:
         return F.struct(F.col(f"{name}_title_n").alias("title_n"),
                         F.col(f"{name}_tokens").alias("tokens"))
     by_url = F.col("block").startswith("u")
-    pairs = titles.in_order(_together(rows, titles.may_match())).select(
-        "day", F.col("x_rep").alias("x"), F.col("y_rep").alias("y"), F.col("y_ord").alias("ord"),
+    pairs = titles.in_order(titles.matching(_together(rows, titles.may_meet()))).select(
+        "day", F.col("x_rep").alias("x"), F.col("y_rep").alias("y"),
         (~by_url).alias("by_title"), by_url.alias("by_url"), title("x").alias("_l"),
         title("y").alias("_e"))
     return titles.similar(pairs, "_l", "_e").drop("_l", "_e")
@@ -197,14 +202,14 @@ def _front(members: DataFrame, open_: DataFrame, news: DataFrame | None, reps: D
     """Of crowded blocks: edges among their first open members, and of all open members to the
     founders of the last round; and, as facts, the first open member for each hidden one."""
     live = materialize(members.join(open_.select(*REP), REP, "left_semi").withColumn(
-        "place", F.row_number().over(Window.partitionBy(*BLOCK).orderBy("ord"))))
+        "place", F.row_number().over(Window.partitionBy(*BLOCK).orderBy("rep"))))
     front = live.where(F.col("place") <= FRONT_ROWS).drop("place")
     met = _met(front, front)
     if news is not None:
         founders = members.join(news.where(F.col("reason") == "founder").select(*REP), REP,
                                 "left_semi")
         met = met.unionByName(_met(live.drop("place"), founders)).distinct()
-    first = live.where(F.col("place") == 1).select(*BLOCK, "ord")
+    first = live.where(F.col("place") == 1).select(*BLOCK, F.col("rep").alias("ord"))
     hidden = live.where(F.col("place") > FRONT_ROWS).select(*REP, "block", "key")
     return (materialize(_edges(met, reps)),
             materialize(_facts(hidden.join(first, BLOCK), F.lit("hidden"))))
@@ -217,7 +222,7 @@ def _facts(rows: DataFrame, kind: Column, founder: str | None = None,
     still found or enter one, at ``ord``."""
     return rows.select(
         *REP, kind.alias("kind"), "ord",
-        (F.col(founder) if founder else F.lit(None).cast("string")).alias("founder"),
+        (F.col(founder) if founder else F.lit(None).cast("long")).alias("founder"),
         (F.col(similarity) if similarity else F.lit(None).cast("double")).alias("similarity"))
 
 
@@ -238,7 +243,7 @@ def _other_sources(open_: DataFrame, entries: DataFrame) -> DataFrame:
     """
     columns = ["day", "canon", "source_id", "vendors", "models", "ord"]
     rows = (entries.select(*columns, "founder").unionByName(
-        open_.select(*columns, F.lit(None).cast("string").alias("founder"))))
+        open_.select(*columns, F.lit(None).cast("long").alias("founder"))))
     key = ["day", "canon", "v", "m", "kind"]
     rows = (rows.withColumn("v", F.explode(_named(F.col("vendors"), False)))
             .withColumn("m", F.explode(_named(F.col("models"), False)))
@@ -281,7 +286,8 @@ def _known(open_: DataFrame, edges: DataFrame, done: DataFrame | None, reps: Dat
     if done is not None:
         state = state.unionByName(done.where(F.col("reason") == "founder").select(
             "day", F.col("rep").alias("y"), "reason"))
-    near = edges.join(state, ["day", "y"]).withColumnRenamed("x", "rep")
+    near = (edges.join(state, ["day", "y"]).withColumnRenamed("x", "rep")
+            .withColumn("ord", F.col("y")))
     waits = F.col("reason") == "open"
     facts = (_facts(near.where("by_title"), F.when(waits, "title_open").otherwise("title"),
                     "y", "similarity")
@@ -348,6 +354,7 @@ def _settle(open_: DataFrame, facts: DataFrame) -> DataFrame:
 
 def _assign(reps: DataFrame) -> DataFrame:
     """(day, rep, founder, reason, similarity) for every representative."""
+    reps = reps.withColumn("ord", F.col("rep"))
     order = titles.corpus_order(reps)
     edges, crowd = candidates(reps, order)
     columns = [*REP, "ord", "canon", "source_id", "title_n", "tokens", "vendors", "models",

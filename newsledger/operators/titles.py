@@ -175,6 +175,27 @@ def _words_match(bound: Column) -> Column:
         F.col("x_w_n") - F.col("x_less"), F.col("y_w_n") - F.col("y_less")))
 
 
+def _enough(name: str, shared: Column, mine: float, other: float) -> Column:
+    a, b = F.col("x_length"), F.col("y_length")
+    return shared + SLACK >= F.greatest(F.col(f"x_{name}_n") - (mine * a - other * b),
+                                        F.col(f"y_{name}_n") - (mine * b - other * a))
+
+
+def may_meet() -> Column:
+    """``may_match`` without its trigrams: short enough for a join's condition."""
+    bound = S.ratio_bound(F.col("x_length"), F.col("y_length"))
+    return ((bound >= THRESHOLD) & _enough("g", _shared("g", SET_WORDS), 0.71, 0.29)
+            ) | _words_match(bound)
+
+
+def matching(pairs: DataFrame) -> DataFrame:
+    """Pairs left by ``may_meet`` that ``may_match`` keeps, by their trigrams."""
+    bound = S.ratio_bound(F.col("x_length"), F.col("y_length"))
+    rows = computed(pairs, {"_h": _shared("h", SET_WORDS)})
+    return rows.where(((bound >= THRESHOLD) & _enough("h", F.col("_h"), 0.85, 0.15))
+                      | _words_match(bound)).drop("_h")
+
+
 def may_match() -> Column:
     """Whether two signed titles (columns prefixed ``x_`` and ``y_``) may reach the threshold.
 
@@ -184,12 +205,8 @@ def may_match() -> Column:
     a, b = F.col("x_length"), F.col("y_length")
     bound = S.ratio_bound(a, b)
 
-    def enough(name: str, mine: float, other: float) -> Column:
-        return _shared(name, SET_WORDS) + SLACK >= F.greatest(
-            F.col(f"x_{name}_n") - (mine * a - other * b),
-            F.col(f"y_{name}_n") - (mine * b - other * a))
-    return (((bound >= THRESHOLD) & enough("g", 0.71, 0.29) & enough("h", 0.85, 0.15))
-            | _words_match(bound))
+    return (((bound >= THRESHOLD) & _enough("g", _shared("g", SET_WORDS), 0.71, 0.29)
+             & _enough("h", _shared("h", SET_WORDS), 0.85, 0.15)) | _words_match(bound))
 
 
 def nearly_equal() -> Column:
@@ -207,9 +224,10 @@ def in_order(pairs: DataFrame) -> DataFrame:
     rows = pairs.withColumn("_common", S.common_in_order(
         F.when(short, F.col("x_title_n")).otherwise(""),
         F.when(short, F.col("y_title_n")).otherwise("")))
-    rows = computed(rows, {"_steps": F.when(short, a + b - 2 * F.col("_common")).otherwise(
-        F.levenshtein("x_title_n", "y_title_n"))})
-    return rows.where((F.col("_steps") <= 0.14 * (a + b) + SLACK)
+    most = 0.14 * (a + b) + SLACK
+    far = F.call_function("levenshtein", "x_title_n", "y_title_n", F.floor(most).cast("int"))
+    rows = computed(rows, {"_steps": F.when(short, a + b - 2 * F.col("_common")).otherwise(far)})
+    return rows.where(((F.col("_steps") >= 0) & (F.col("_steps") <= most))
                       | _words_match(S.ratio_bound(a, b))).drop("_steps", "_common")
 
 

@@ -328,3 +328,28 @@ def test_story_tables_hold_no_keys_and_no_texts(spark, monkeypatch):
     S.cluster_items(items)
     assert all("match_text" not in df.columns for df in written)
     assert max(df.count() for df in written) <= 60 * 5
+
+
+def test_edges_and_facts_are_numbers(spark, monkeypatch):
+    """What grows with pairs holds numbers in reading order, no hashes and no texts."""
+    edges, known = [], S._known
+    monkeypatch.setattr(S, "_known", lambda open_, e, *a: edges.append(e) or known(open_, e, *a))
+    check(spark, make_rows(9, 40, days=1, urls=20))
+    for name, kind in edges[0].dtypes:
+        assert kind in ("date", "bigint", "double", "boolean"), (name, kind)
+    assert not edges[0].isEmpty() and edges[0].where("x <= y").isEmpty()
+
+
+def test_trigrams_after_the_join_keep_the_same_pairs(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choices(WORDS, k=rng.randint(2, 4)))) for i in range(60)]
+    from newsledger.functions import text as T
+    df = spark.createDataFrame(rows, "rep long, title_n string")
+    df = titles.signed(df.withColumn("tokens", T.title_tokens(F.col("title_n")))).cache()
+    x, y = (df.select(*[F.col(c).alias(f"{name}_{c}") for c in df.columns]) for name in "xy")
+    pairs = x.join(y, F.col("x_rep") > F.col("y_rep"))
+
+    def ids_(found):
+        return sorted((r.x_rep, r.y_rep) for r in found.select("x_rep", "y_rep").collect())
+    whole = ids_(pairs.where(titles.may_match()))
+    assert whole and ids_(titles.matching(pairs.where(titles.may_meet()))) == whole
