@@ -55,21 +55,24 @@ def _is_word(keyword: str) -> bool:
 
 
 def words_present(folded: Column, keywords: Iterable[str]) -> Column:
-    """Which of the one-word keywords occur: one pass over the text for all of them.
+    """Which of the one-word keywords occur, sorted.
 
-    A keyword of word characters only is matched exactly when it is one of the text's
-    words, so cutting the text into words replaces a pattern per keyword.
+    A keyword of word characters only is matched exactly when it is one of the text's words.
+    The text is not cut into words: that costs far more than one search for each keyword. A
+    pattern that starts with its letters lets Java skip ahead; what stands before is tested last.
     """
     words = sorted({k.lower() for k in keywords if _is_word(k)})
-    if not words:
-        return empty_strings()
-    return F.array_intersect(F.split(folded, "[^0-9a-z_]+"), F.array(*[F.lit(w) for w in words]))
+    tests = [F.when(folded.contains(w) & (folded.contains(f" {w} ") | folded.rlike(
+        f"{w}(?<![0-9a-z_]{w})(?![0-9a-z_])")), F.lit(w)) for w in words]
+    return F.array_compact(F.array(*tests)) if tests else empty_strings()
 
 
 def has_keyword(value: Column, folded: Column, present: Column, keyword: str) -> Column:
     """One keyword. The substring test rules most texts out before a pattern runs."""
     if not keyword.isascii():
-        return F.lower(value).contains(keyword.lower())
+        # folding changes no other letters, so the text is lower-cased once for these
+        same = not set(keyword.lower()) & set("siſı\u0307")
+        return (folded if same else F.lower(value)).contains(keyword.lower())
     if _is_word(keyword):
         return F.array_contains(present, keyword.lower())
     return folded.contains(keyword.lower()) & value.rlike(keyword_pattern(keyword))

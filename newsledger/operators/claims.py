@@ -27,6 +27,18 @@ def _anchor(keyword: Column) -> Column:
     return F.when(ascii_only & (word != ""), word).otherwise(odd)
 
 
+#: Anchors that are searched for one by one; more are met by cutting texts into tokens.
+SEARCHED_ANCHORS = 100
+
+
+def _anchors_present(folded: Column, low: Column, anchors: list[str]) -> Column:
+    """Which anchors are tokens of a text, without cutting it into tokens."""
+    words = [a for a in anchors if a.isascii() and a.replace("_", "a").isalnum()]
+    odd = [F.when(low.contains(a), F.lit(a)) for a in anchors if a and a not in words]
+    found = T.words_present(folded, words)
+    return F.concat(found, F.array_compact(F.array(*odd))) if odd else found
+
+
 def keyword_sightings(items: DataFrame, key: str, keywords: DataFrame) -> DataFrame:
     """(key, keyword) for every keyword that occurs in an item's ``match_text``.
 
@@ -43,13 +55,20 @@ def keyword_sightings(items: DataFrame, key: str, keywords: DataFrame) -> DataFr
         anchors = sorted({r["anchor"] for r in words.select("anchor").collect()})
         if not anchors:
             return items.select(key, F.lit("").alias("keyword")).limit(0)
-        tokens = F.array_intersect(tokens, F.array(*[F.lit(a) for a in anchors]))
+        if len(anchors) <= SEARCHED_ANCHORS:
+            items = computed(items.select(key, "match_text"), {
+                "match_text": body, "_folded": T.fold_case(body), "_low": F.lower(body)})
+            tokens = _anchors_present(F.col("_folded"), F.col("_low"), anchors)
+        else:
+            tokens = F.array_intersect(tokens, F.array(*[F.lit(a) for a in anchors]))
     rows = items.select(key, "match_text", F.explode(tokens).alias("anchor"))
     rows = rows.join(broadcast_if_small(words, 5000), "anchor")
     flank = F.concat(F.lit(r"(?iu)(?<![0-9A-Za-z_])\Q"), "keyword", F.lit(r"\E(?![0-9A-Za-z_])"))
     plain = F.col("keyword").rlike(r"[^\x00-\x7f]")
-    found = F.when(plain, F.contains(F.lower(body), F.lower("keyword"))).otherwise(
-        F.regexp_like(body, flank))
+    # a keyword of word characters is its own anchor: a token that met it is a sighting
+    found = (F.when(plain, F.contains(F.lower(body), F.lower("keyword")))
+             .when(F.col("keyword").rlike("^[0-9A-Za-z_]+$"), True)
+             .otherwise(F.regexp_like(body, flank)))
     return rows.where(found).select(key, "keyword").distinct()
 
 

@@ -160,3 +160,31 @@ def test_price_forms(spark):
               '{"constraint":null,"prices":{}}]')
     assert apply(spark, S.compact_prices_json, [nested, "3", None]) == [
         '{"a":{"z":2},"b":1}: output_mtok=$0.5/M, k=null | default: ', "3", None]
+
+
+def test_words_are_searched_not_cut_out(spark):
+    import random
+    import re
+    from newsledger.operators import claims as C
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    parts = ["las", "Las", "lass", "clas", "la_s", "_las", "é", "lasé", " ", "-", ".", "\n", "heit", "ß", "İ"]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randint(0, 7)))) for i in range(400)]
+    rows += [(400, "las"), (401, ""), (402, "x las las"), (403, None)]
+    df = spark.createDataFrame(rows, "id long, match_text string")
+    words = ["las", "heit", "LASS"]
+    found = df.where("match_text is not null").select(
+        "match_text", T.fold_case(F.col("match_text")).alias("f")).withColumn(
+        "p", T.words_present(F.col("f"), words))
+    for row in found.collect():
+        assert row.p == sorted({"las", "heit", "lass"} & set(re.split("[^0-9a-z_]+", row.f))), row
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan
+    keywords = spark.createDataFrame([("las",), ("ß",), ("la_s",)], "keyword string")
+    seen = C.keyword_sightings(df, "id", keywords)
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all(" not in plan
+    got = {(r.id, r.keyword) for r in seen.collect()}
+    flank = "(?i)(?<![0-9A-Za-z_]){}(?![0-9A-Za-z_])"
+    want = {(i, k) for i, t in rows if t for k in ("las", "la_s") if re.search(flank.format(k), t)}
+    assert want and got == want | {(i, "ß") for i, t in rows if t and "ß" in t}
