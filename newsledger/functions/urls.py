@@ -15,6 +15,7 @@ NULL for hosts with ``_`` and for internationalised hosts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 from typing import NamedTuple
 
@@ -53,21 +54,39 @@ def unescape_html(value: Column) -> Column:
     return F.when(value.contains("&"), decoded).otherwise(value)
 
 
-def url_parts(value: Column) -> UrlParts:
-    clean = F.regexp_replace(value, r"[\t\r\n]", "")
-    authority = F.regexp_extract(clean, _PARTS, 2)
-    host_port = F.regexp_replace(authority, "^.*@", "")
-    bracketed = host_port.startswith("[")
-    host = F.when(bracketed, F.regexp_extract(host_port, r"^\[([^\]]*)\]", 1)).otherwise(
-        F.regexp_extract(host_port, "^([^:]*)", 1))
-    return UrlParts(
-        scheme=F.lower(F.regexp_extract(clean, _PARTS, 1)),
-        user=F.when(authority.contains("@"), F.regexp_extract(authority, "^(.*)@", 1)),
-        host=F.lower(host),
-        port=F.regexp_extract(F.regexp_replace(host_port, r"^\[[^\]]*\]", ""), ":(.*)$", 1),
-        path=F.regexp_extract(clean, _PARTS, 3),
-        query=F.regexp_extract(clean, _PARTS, 4),
-    )
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` refers to it. Inside
+    lambdas and generators Spark works out every occurrence of an expression again."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def with_parts(value: Column, then: Callable[[UrlParts], Column]) -> Column:
+    """``then`` of the parts of a URL."""
+    def split(clean: Column) -> Column:
+        return F.struct(*[F.regexp_extract(clean, _PARTS, i).alias(name) for i, name in enumerate(
+            ("scheme", "authority", "path", "query"), 1)])
+
+    def server(parts: Column) -> Column:
+        authority = parts["authority"]
+        user = F.when(authority.contains("@"), F.regexp_extract(authority, "^(.*)@", 1))
+        return F.struct(F.lower(parts["scheme"]).alias("scheme"), user.alias("user"),
+                        F.regexp_replace(authority, "^.*@", "").alias("server"),
+                        parts["path"].alias("path"), parts["query"].alias("query"))
+
+    def finish(parts: Column) -> Column:
+        server = parts["server"]
+        host = F.when(server.startswith("["), F.regexp_extract(
+            server, r"^\[([^\]]*)\]", 1)).otherwise(F.regexp_extract(server, "^([^:]*)", 1))
+        port = F.regexp_extract(F.regexp_replace(server, r"^\[[^\]]*\]", ""), ":(.*)$", 1)
+        return F.struct(parts["scheme"].alias("scheme"), parts["user"].alias("user"),
+                        F.lower(host).alias("host"), port.alias("port"),
+                        parts["path"].alias("path"), parts["query"].alias("query"))
+
+    parts = F.array(F.regexp_replace(value, r"[\t\r\n]", ""))
+    for step in (split, server, finish):
+        parts = F.transform(parts, step)
+    return F.element_at(F.transform(parts, lambda p: then(
+        UrlParts(*[p[name] for name in UrlParts._fields]))), 1)
 
 
 def _decode(value: Column) -> Column:
@@ -101,13 +120,13 @@ def _query(query: Column, drop_keys: list[str], drop_prefix: str | None = None,
 
 
 def _path(path: Column) -> Column:
-    bare = F.regexp_replace(path, "/+$", "")
-    return F.when(bare == "", "/").otherwise(bare)
+    return once(F.regexp_replace(path, "/+$", ""),
+                  lambda bare: F.when(bare == "", "/").otherwise(bare))
 
 
 def _join(scheme: Column, authority: Column, path: Column, query: Column) -> Column:
-    return F.concat(scheme, F.lit("://"), authority, path,
-                    F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)))
+    return F.concat(scheme, F.lit("://"), authority, path, once(
+        query, lambda q: F.when(q == "", "").otherwise(F.concat(F.lit("?"), q))))
 
 
 def _web(parts: UrlParts) -> Column:
@@ -120,14 +139,15 @@ def _valid_port(port: Column) -> Column:
 
 def canonical_url(value: Column) -> Column:
     """Identity form of a page URL; NULL when it is not a web URL."""
-    parts = url_parts(strip(value))
-    host = F.regexp_replace(parts.host, r"^www\.", "")
-    port = parts.port.try_cast("int")
-    authority = F.concat(host, F.when(port > 0, F.concat(F.lit(":"), port.cast("string")))
-                         .otherwise(""))
-    query = _query(parts.query, fixed.CANONICAL_DROP_KEYS, fixed.CANONICAL_DROP_PREFIX, True)
-    return F.when(_web(parts) & _valid_port(parts.port),
-                  _join(parts.scheme, authority, _path(parts.path), query))
+    def form(parts: UrlParts) -> Column:
+        host = F.regexp_replace(parts.host, r"^www\.", "")
+        port = parts.port.try_cast("int")
+        authority = F.concat(host, F.when(port > 0, F.concat(F.lit(":"), port.cast("string")))
+                             .otherwise(""))
+        query = _query(parts.query, fixed.CANONICAL_DROP_KEYS, fixed.CANONICAL_DROP_PREFIX, True)
+        return F.when(_web(parts) & _valid_port(parts.port),
+                      _join(parts.scheme, authority, _path(parts.path), query))
+    return with_parts(strip(value), form)
 
 
 def story_url(value: Column) -> Column:
@@ -140,20 +160,22 @@ def safe_canonical(value: Column) -> Column:
 
 
 def _unpunctuated(value: Column) -> Column:
-    return F.regexp_replace(unescape_html(strip(value)), r"[.,);\]}]+$", "")
+    return F.regexp_replace(once(strip(value), unescape_html), r"[.,);\]}]+$", "")
 
 
 def match_url(value: Column) -> Column:
     """Matching form of a link; NULL for credentials, odd ports and other schemes."""
-    clean = F.substring(_unpunctuated(value), 1, fixed.MAX_URL_CHARS)
-    parts = url_parts(clean)
-    host = F.regexp_replace(parts.host, r"\.+$", "")
-    default_port = F.when(parts.scheme == "https", 443).otherwise(80)
-    usable = (_web(parts) & (host != "") & parts.user.isNull()
-              & ((parts.port == "") | (parts.port.try_cast("int") == default_port)))
-    authority = F.when(host.contains(":"), F.concat(F.lit("["), host, F.lit("]"))).otherwise(host)
-    return F.when(usable, _join(F.lit("https"), authority, _path(parts.path),
-                                _query(parts.query, fixed.MATCH_DROP_KEYS)))
+    def form(parts: UrlParts) -> Column:
+        def built(host: Column) -> Column:
+            default_port = F.when(parts.scheme == "https", 443).otherwise(80)
+            usable = (_web(parts) & (host != "") & parts.user.isNull()
+                      & ((parts.port == "") | (parts.port.try_cast("int") == default_port)))
+            authority = F.when(host.contains(":"), F.concat(F.lit("["), host, F.lit("]"))
+                               ).otherwise(host)
+            return F.when(usable, _join(F.lit("https"), authority, _path(parts.path),
+                                        _query(parts.query, fixed.MATCH_DROP_KEYS)))
+        return once(F.regexp_replace(parts.host, r"\.+$", ""), built)
+    return with_parts(F.substring(_unpunctuated(value), 1, fixed.MAX_URL_CHARS), form)
 
 
 def url_signal_key(value: Column) -> Column:
@@ -167,21 +189,21 @@ def safe_url(value: Column) -> Column:
 
 def audit_url(value: Column) -> Column:
     """Lax matching form; empty text when unusable."""
-    clean = _unpunctuated(value)
-    parts = url_parts(clean)
-    url = _join(F.lit("https"), parts.host, _path(parts.path),
-                _query(parts.query, fixed.AUDIT_DROP_KEYS))
-    return F.coalesce(
-        F.when(clean.rlike("^https?://") & (parts.host != ""), url), F.lit(""))
+    def form(clean: Column) -> Column:
+        return with_parts(clean, lambda parts: F.when(
+            clean.rlike("^https?://") & (parts.host != ""),
+            _join(F.lit("https"), parts.host, _path(parts.path),
+                  _query(parts.query, fixed.AUDIT_DROP_KEYS))))
+    return F.coalesce(once(_unpunctuated(value), form), F.lit(""))
 
 
 def raw_host(value: Column) -> Column:
-    return url_parts(value).host
+    return with_parts(value, lambda parts: parts.host)
 
 
 def url_host(value: Column) -> Column:
     """Lower-case host without a leading ``www.``; empty when there is none."""
-    return F.coalesce(F.regexp_replace(url_parts(value).host, r"^www\.", ""), F.lit(""))
+    return F.coalesce(F.regexp_replace(raw_host(value), r"^www\.", ""), F.lit(""))
 
 
 def host_matches(host: Column, domains: list[str]) -> Column:
@@ -194,29 +216,38 @@ def host_matches(host: Column, domains: list[str]) -> Column:
 
 
 def is_community_url(value: Column) -> Column:
-    host = F.regexp_replace(url_parts(value).host, r"\.+$", "")
-    return (host == "reddit.com") | host.endswith(".reddit.com")
+    return once(F.regexp_replace(raw_host(value), r"\.+$", ""), lambda host: (
+        (host == "reddit.com") | host.endswith(".reddit.com")))
 
 
 def found_urls(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(fixed.HTTP_URL_PATTERN), 0)
 
 
-def _distinct_urls(text: Column, normalise) -> Column:
-    links = F.transform(found_urls(text), normalise)
-    links = F.filter(links, lambda u: u.isNotNull() & (u != ""))
-    found = F.array_sort(F.array_distinct(links))
+def unescaped(*texts: Column) -> Column:
+    """The texts, decoded one by one and joined by blanks: no reference spans a blank, and a URL
+    with an ampersand beside a long text does not make the text be decoded too. Texts without
+    ``://`` or a reference come out empty, for they hold no link."""
+    def piece(text: Column) -> Column:
+        return F.when(text.contains("&"), unescape_html(text)).when(text.contains("://"), text)
+    return F.concat_ws(" ", *[piece(t) for t in texts])
+
+
+def _distinct_urls(decoded: Column, normalise) -> Column:
+    """Links of an ``unescaped`` text, sorted."""
+    links = F.filter(F.transform(found_urls(decoded), normalise),
+                     lambda u: u.isNotNull() & (u != ""))
     # most texts hold no link at all: skip the whole pipeline for them
-    return F.when(F.lower(text).contains("http"), found).otherwise(
+    return F.when(decoded.contains("://"), F.array_sort(F.array_distinct(links))).otherwise(
         F.array().cast("array<string>"))
 
 
-def extract_match_urls(text: Column) -> Column:
-    return _distinct_urls(unescape_html(F.coalesce(text, F.lit(""))), match_url)
+def extract_match_urls(*texts: Column) -> Column:
+    return once(unescaped(*texts), lambda decoded: _distinct_urls(decoded, match_url))
 
 
-def extract_audit_urls(text: Column) -> Column:
-    return _distinct_urls(unescape_html(F.coalesce(text, F.lit(""))), audit_url)
+def extract_audit_urls(*texts: Column) -> Column:
+    return once(unescaped(*texts), lambda decoded: _distinct_urls(decoded, audit_url))
 
 
 def extract_absolute_links(text: Column) -> Column:

@@ -32,18 +32,21 @@ def spaced(*values: Column) -> Column:
     return F.concat_ws(" ", *[T.text(v) for v in values])
 
 
+def outside_links() -> Column:
+    return F.array_join("external_urls", " ")
+
+
 def direct_links(items: DataFrame, domains: Iterable[str]) -> DataFrame:
     """Add ``direct_urls``: links to configured domains that are not social sites."""
-    pool = F.concat_ws(" ", T.text(F.col("summary")), T.text(F.col("external_url")),
-                       F.col("external_urls"))
     domains = list(domains)
 
     def direct(url: Column) -> Column:
-        host = link_host(url)
-        return (~host.isin(fixed.SOCIAL_HOSTS) & ~host.endswith(".reddit.com")
-                & U.host_matches(host, domains))
+        return U.once(link_host(url), lambda host: (
+            ~host.isin(fixed.SOCIAL_HOSTS) & ~host.endswith(".reddit.com")
+            & U.host_matches(host, domains)))
 
-    rows = computed(items, {"_links": U.extract_match_urls(pool)})
+    rows = computed(items, {"_links": U.extract_match_urls(
+        F.col("summary"), F.col("external_url"), outside_links())})
     return rows.withColumn("direct_urls", F.filter("_links", direct)).drop("_links")
 
 
@@ -51,7 +54,7 @@ def community_features(items: DataFrame, markers: Markers = Markers()) -> DataFr
     """Add direct_urls, marker_groups and the four proxies."""
     rows = direct_links(items, markers.domains)
     body = F.concat(T.text(F.col("title")), F.lit(" "), U.unescape_html(T.text(F.col("summary"))))
-    rows = computed(rows, {"_body": body, "_low": F.lower(body)})
+    rows = computed(computed(rows, {"_body": body}), {"_low": F.lower("_body")})
     rows = computed(rows, {
         "marker_groups": T.marker_groups(F.col("_low"), markers.groups),
         "noise_proxy": T.contains_any(F.col("_low"), markers.noise),
@@ -72,9 +75,9 @@ def expert_features(items: DataFrame) -> DataFrame:
     text itself does not leave this operator.
     """
     body = U.unescape_html(spaced(F.col("title"), F.col("summary"), F.col("fulltext")))
-    pool = F.concat_ws(" ", T.text(F.col("url")), F.col("external_urls"))
-    rows = computed(items, {"_body": body, "_low": F.lower(body),
-                            "_links": U.extract_audit_urls(pool)})
+    rows = computed(computed(items, {"_body": body}), {
+        "_low": F.lower("_body"),
+        "_links": U.extract_audit_urls(F.col("url"), outside_links())})
     low = F.col("_low")
     words = F.array_sort(F.array_distinct(F.coalesce(F.col("conflict_words"), T.empty_strings())))
     features = F.struct(
@@ -108,11 +111,10 @@ def expert_route(expert: Column) -> Column:
 def item_quality(items: DataFrame) -> DataFrame:
     """Add primary, quality, noise and conflict flags of an item in its ``partition``."""
     body = U.unescape_html(spaced(F.col("title"), F.col("summary"), F.col("match_text")))
-    rows = computed(items, {"_body": body, "_low": F.lower(body)})
-    pool = F.concat_ws(" ", F.col("_body"), T.text(F.col("url")), T.text(F.col("external_url")),
-                       F.col("external_urls"))
+    rows = computed(computed(items, {"_body": body}), {"_low": F.lower("_body")})
+    pool = (F.col("_body"), F.col("url"), F.col("external_url"), outside_links())
     rows = computed(rows, {
-        "_hosts": F.transform(U.extract_audit_urls(pool), link_host),
+        "_hosts": F.transform(U.extract_audit_urls(*pool), link_host),
         "_own": link_host(U.audit_url(F.col("url")))})
     low, tier, expert = F.col("_low"), F.col("tier"), F.col("expert_features")
     has = {name: T.contains_any(low, words) for name, words in {

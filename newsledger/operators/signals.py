@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsledger import fixed_values as fixed
 from newsledger.functions import text as T, times, urls as U
 from newsledger.operators.barrier import computed
-from newsledger.operators.features import direct_links, link_host
+from newsledger.operators.features import direct_links, link_host, outside_links
 from newsledger.operators.intervals import interval_profile
 
 
@@ -19,7 +19,8 @@ def titled(title: Column) -> Column:
 
 def item_key(normalised: Column, title: Column) -> Column:
     """Identity of an item inside one source: its link, else its title."""
-    return F.when(F.coalesce(normalised, F.lit("")) != "", normalised).otherwise(titled(title))
+    return U.once(normalised, lambda link: F.when(
+        F.coalesce(link, F.lit("")) != "", link).otherwise(titled(title)))
 
 
 def community_signals(items: DataFrame, domains: Sequence[str]) -> DataFrame:
@@ -34,10 +35,9 @@ def community_signals(items: DataFrame, domains: Sequence[str]) -> DataFrame:
 
 def audit_signals(items: DataFrame) -> DataFrame:
     """Add ``signals``: artifact links of author items, else outside links, else own."""
-    pool = F.concat_ws(" ", *[T.text(F.col(c)) for c in ("summary", "match_text", "external_url")],
-                       F.col("external_urls"))
+    pool = (F.col("summary"), F.col("match_text"), F.col("external_url"), outside_links())
     rows = computed(items, {"_own": U.audit_url(F.col("url")),
-                            "_links": U.extract_audit_urls(pool), "_title": titled(F.col("title"))})
+                            "_links": U.extract_audit_urls(*pool), "_title": titled(F.col("title"))})
     expert = F.col("expert_features")
 
     def as_keys(urls):
@@ -117,9 +117,8 @@ def baseline_lead(items: DataFrame, baseline: DataFrame, width_days: int = 30) -
 
 def baseline_points(items: DataFrame, parse=times.parse_iso) -> DataFrame:
     """Sightings of an existing archive: every link of an item, and its title key."""
-    pool = F.concat_ws(" ", T.text(F.col("url")), T.text(F.col("external_url")),
-                       T.text(F.col("summary")), F.col("external_urls"))
-    rows = computed(items, {"_links": U.extract_match_urls(pool),
+    pool = (F.col("url"), F.col("external_url"), F.col("summary"), outside_links())
+    rows = computed(items, {"_links": U.extract_match_urls(*pool),
                             "_title": titled(F.col("title")),
                             "ts": effective_time(F.col("published"), F.col("fetched_at"), parse)})
     hashed = F.transform("_links", lambda u: F.concat(F.lit("url-sha256:"), F.sha2(u, 256)))

@@ -188,3 +188,21 @@ def test_words_are_searched_not_cut_out(spark):
     flank = "(?i)(?<![0-9A-Za-z_]){}(?![0-9A-Za-z_])"
     want = {(i, k) for i, t in rows if t for k in ("las", "la_s") if re.search(flank.format(k), t)}
     assert want and got == want | {(i, "ß") for i, t in rows if t and "ß" in t}
+
+
+def test_url_rules_work_their_input_out_once(spark):
+    for rule in (U.match_url, U.audit_url, U.canonical_url, U.url_host):
+        assert str(rule(F.col("given_url"))).count("given_url") <= 2, rule.__name__
+
+
+def test_links_of_several_texts(spark):
+    rows = spark.createDataFrame(
+        [("See HTTPS://A.org/x?a=1&amp;b=2 or https&#58;//c.org/y", "http://d.org/?k=1&v=2"),
+         ("no link, but R&D", None), ("plain", "https://d.org/z"), (None, None)],
+        "t string, u string")
+    both = F.col("t"), F.col("u")
+    found = rows.coalesce(1).select(U.extract_match_urls(*both), U.unescaped(*both)).collect()
+    assert found[0][0] == ["https://a.org/x?a=1", "https://c.org/y", "https://d.org/?k=1"]
+    assert found[1][0] == [] and found[2][0] == ["https://d.org/z"] and found[3][0] == []
+    # a text without a link is not looked through for the sake of another
+    assert found[2][1] == "https://d.org/z" and found[3][1] == ""
