@@ -68,13 +68,17 @@ def community_features(items: DataFrame, markers: Markers = Markers()) -> DataFr
             .drop("_body", "_low", "_concrete"))
 
 
-def expert_features(items: DataFrame) -> DataFrame:
+def expert_features(items: DataFrame, author: Column | None = None) -> DataFrame:
     """Replace the full text of author feeds by features computed from it.
 
     Reads ``fulltext`` and ``conflict_words`` (the source's configured words); the
-    text itself does not leave this operator.
+    text itself does not leave this operator. Where ``author`` is given, other rows have no
+    features, and their texts are not read for any.
     """
     body = U.unescape_html(spaced(F.col("title"), F.col("summary"), F.col("fulltext")))
+    items = items if author is None else items.withColumn("_author", F.coalesce(author, F.lit(False)))
+    if author is not None:
+        body = F.when(F.col("_author"), body)
     rows = computed(computed(items, {"_body": body}), {
         "_low": F.lower("_body"),
         "_links": U.extract_audit_urls(F.col("url"), outside_links())})
@@ -90,8 +94,9 @@ def expert_features(items: DataFrame) -> DataFrame:
         (T.text(F.col("fulltext")) != "").alias("fulltext_used"),
         F.length(T.text(F.col("fulltext"))).alias("fulltext_chars"),
         F.sha2("_body", 256).alias("content_hash"))
+    features = features if author is None else F.when(F.col("_author"), features)
     return computed(rows, {"expert_features": features}).drop(
-        "_body", "_low", "_links", "fulltext", "conflict_words")
+        "_body", "_low", "_links", "_author", "fulltext", "conflict_words")
 
 
 def _many(expert: Column, name: str) -> Column:

@@ -7,6 +7,8 @@ Audit items carry the item columns plus, from their capture and source: ``source
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsledger import fixed_values as fixed
@@ -70,24 +72,30 @@ def _forced_rows(rows: DataFrame) -> DataFrame:
             .withColumn("partition", F.explode("allowed")))
 
 
-def _classified_rows(rows: DataFrame, rules: Rules) -> DataFrame:
+def _classified_rows(rows: DataFrame, rules: Rules, columns: Sequence[str]) -> DataFrame:
     plain = rows.where(~_is_expert() & ~F.col("routing").isin("forced", "forced_recent"))
     names = F.create_map(*[F.lit(x) for p, s in fixed.PARTITION_SECTIONS.items() for x in (p, s)])
     keys = F.create_map(*[F.lit(x) for p, s in fixed.PARTITION_SECTIONS.items() for x in (s, p)])
     plain = plain.withColumn("_sections", F.transform("allowed", lambda p: names[p]))
     found = qualified(plain, rules, F.col("lookback_days"), F.col("_sections"))
     found = found.withColumn("partition", keys[F.col("section")])
+    found = (found.withColumn("summary", F.substring(T.text(F.col("summary")), 1, 300))
+             .withColumn("title", F.when(T.strip(T.text(F.col("title"))) != "",
+                                         T.strip(F.col("title"))).otherwise(F.col("url")))
+             .withColumn("readable", F.lit(None).cast("boolean"))
+             .withColumn("expert_features", F.lit(None).cast(
+                 rows.schema["expert_features"].dataType)))
+    # what nobody reads, whole texts above all, does not pass through the aggregate
+    found = found.select(*dict.fromkeys(
+        [*columns, "partition", "allowed", "source", "day", "url", "item_ord"]))
     found = first_wins(found, ["source", "day", "url"], ["item_ord"])
-    return (found.where(F.array_contains("allowed", F.col("partition")))
-            .withColumn("summary", F.substring(T.text(F.col("summary")), 1, 300))
-            .withColumn("title", F.when(T.strip(T.text(F.col("title"))) != "",
-                                        T.strip(F.col("title"))).otherwise(F.col("url")))
-            .withColumn("readable", F.lit(None).cast("boolean"))
-            .withColumn("expert_features", F.lit(None).cast(rows.schema["expert_features"].dataType)))
+    return found.where(F.array_contains("allowed", F.col("partition")))
 
 
-def route_items(items: DataFrame, rules: Rules) -> DataFrame:
-    """Add ``partition``: one row per item and partition it counts for.
+def route_items(items: DataFrame, rules: Rules, columns: Sequence[str] | None = None
+                ) -> DataFrame:
+    """Add ``partition``: one row per item and partition it counts for. ``columns`` names what to
+    keep of an item, else all is kept.
 
     Author sources route by first-hand evidence or depth; forced sources fill all
     their partitions; all others are classified, with the topics narrowed to the
@@ -96,10 +104,10 @@ def route_items(items: DataFrame, rules: Rules) -> DataFrame:
     rows = items.where(F.col("status") == "ok")
     if "match_text" not in rows.columns:
         rows = rows.withColumn("match_text", F.lit(None).cast("string"))
-    columns = [*rows.columns, "partition"]
+    columns = [*(rows.columns if columns is None else columns), "partition"]
     return (_expert_rows(rows).select(*columns)
             .unionByName(_forced_rows(rows).select(*columns))
-            .unionByName(_classified_rows(rows, rules).select(*columns)))
+            .unionByName(_classified_rows(rows, rules, columns).select(*columns)))
 
 
 def audit_item_key(items: DataFrame) -> Column:

@@ -9,6 +9,7 @@ from newsledger.functions import text as T
 from newsledger.operators import audits as A, retention as R, routing
 from newsledger.operators.barrier import computed
 from newsledger.operators.features import EXPERT_METHODS, expert_features, item_quality
+from newsledger.operators.skew import broadcast_if_small
 from registry import register, views as V
 from registry.audits import (COMMUNITY, ENTRIES, _any, _KEY, _EXTERNAL, captures, community_entries,
                              community_items, end_day)
@@ -43,22 +44,27 @@ def sources(spark, sf_dir):
         F.lit(True).alias("enabled")))
 
 
-def audit_items(spark, sf_dir):
-    """Observations with the status of their capture and the settings of their source."""
+def audit_items(spark, sf_dir, ok_only=True):
+    """Observations with the status of their capture and the settings of their source. All but
+    ``expert_features`` drop items of captures that are not ok: that is done before their texts
+    are read."""
     rows = community_items(spark, sf_dir)
     state = captures(spark, sf_dir).select("source", "day", "status")
     dim = sources(spark, sf_dir).select("source", "evidence_role", "role", "routing", "track",
                                         "lookback_days", "partitions")
     paper = F.regexp_extract("summary", "https://arxiv.org/abs/[0-9]+", 0)
     words = F.when(_number() % 3 == 0, F.array(F.lit("heit"), F.lit("ment")))
-    rows = (rows.join(state, ["source", "day"], "left").join(dim, "source")
+    # small beside the texts, which are not shuffled for it
+    rows = rows.join(broadcast_if_small(state), ["source", "day"], "left")
+    if ok_only:
+        rows = rows.where(F.coalesce("status", F.lit("ok")) == "ok")
+    rows = (rows.join(broadcast_if_small(dim), "source")
             .withColumn("external_urls", F.when(paper != "", F.array(paper))
                         .otherwise(T.empty_strings()))
             .withColumn("fulltext", F.col("summary"))
             .withColumn("conflict_words", words))
-    rows = expert_features(rows)
-    expert = F.when(F.col("track") == "expert_author", F.col("expert_features"))
-    return routing.with_defaults(rows.withColumn("expert_features", expert), "candidate")
+    rows = expert_features(rows, F.col("track") == "expert_author")
+    return routing.with_defaults(rows, "candidate")
 
 
 # --- the same in SQL ----------------------------------------------------------
@@ -185,8 +191,7 @@ def eligible_items(spark, sf_dir):
 @register("routed_items", AUDIT + """
 SELECT item_ord, source_id AS source, partition FROM routed""")
 def routed_items(spark, sf_dir):
-    return routing.route_items(audit_items(spark, sf_dir), V.RULES).select(
-        "item_ord", "source", "partition")
+    return routing.route_items(audit_items(spark, sf_dir), V.RULES, ["item_ord", "source"])
 
 
 @register("item_quality", AUDIT + """
@@ -205,7 +210,7 @@ SELECT item_ord, {_GROUP_COUNT} AS groups, {_METHODS} AS methods,
   coalesce(paper_link, '') AS artifacts, CAST(length(summary) AS INTEGER) AS fulltext_chars
 FROM items WHERE routing = 'expert_author'""")
 def expert_features_query(spark, sf_dir):
-    rows = audit_items(spark, sf_dir).where(F.col("expert_features").isNotNull())
+    rows = audit_items(spark, sf_dir, ok_only=False).where(F.col("expert_features").isNotNull())
     e = F.col("expert_features")
     return rows.select("item_ord", F.size(e["technical_groups"]).alias("groups"),
                        F.size(e["method_hits"]).alias("methods"),
@@ -291,7 +296,7 @@ def zero_routed_candidates(spark, sf_dir):
     listed = F.when(F.size("partitions") > 0, F.col("partitions")).otherwise(every)
     placed = (sources(spark, sf_dir).where(F.col("role") == "candidate")
               .select(F.explode(listed).alias("partition"), "source"))
-    routed = routing.route_items(audit_items(spark, sf_dir), V.RULES)
+    routed = routing.route_items(audit_items(spark, sf_dir), V.RULES, ["source"]).distinct()
     return placed.join(routed, ["partition", "source"], "left_anti").select("partition", "source")
 
 

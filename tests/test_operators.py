@@ -414,6 +414,38 @@ def test_expert_routes_and_quality(spark):
                    3: ("research_synthesis", True, True, True)}
 
 
+def test_routing_keeps_what_is_asked(spark):
+    from newsledger.operators.features import expert_features
+    from newsledger.operators.routing import route_items, with_defaults
+    base = ("field_test", DAY, "ok", "community", "", None, "")
+    rows = [("s", 1, "classify", "", "codex benchmark", "https://a.com/1", *base),
+            ("s", 2, "classify", "", "codex benchmark", "https://a.com/1", *base),
+            ("t", 3, "forced", "", "hello", "https://a.com/3", *base),
+            ("u", 4, "expert_author", "expert_author", "we tested a benchmark and an ablation",
+             "https://a.com/4", *base)]
+    df = spark.createDataFrame(
+        rows, "source string, item_ord int, routing string, track string, title string, url string, "
+        "p string, day date, status string, tier string, published string, changed boolean, "
+        "external_url string")
+    df = (df.withColumn("partitions", F.array("p")).withColumn("summary", F.repeat(F.lit("word "), 200))
+          .withColumn("fulltext", F.col("title")).withColumn("role", F.lit("candidate"))
+          .withColumn("lookback_days", F.lit(30)).withColumn("conflict_words", F.array(F.lit("x")))
+          .withColumn("external_urls", F.array().cast("array<string>"))
+          .withColumn("readable", F.lit(True)))
+    items = with_defaults(expert_features(df, F.col("track") == "expert_author"), "candidate")
+    assert {r[0] for r in items.where("expert_features is not null").select("item_ord").collect()} == {4}
+    wide = route_items(items, K.Rules.default())
+    narrow = route_items(items, K.Rules.default(), ["item_ord", "source"])
+    assert narrow.columns == ["item_ord", "source", "partition"]
+    found = sorted(map(tuple, narrow.collect()))
+    assert found == sorted(map(tuple, wide.select(*narrow.columns).collect()))
+    assert found == [(1, "s", "field_test"), (3, "t", "field_test"), (4, "u", "field_test")]
+    # no text passes through the aggregate of the first rows
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    firsts = [x for x in plan.splitlines() if "min_by" in x]
+    assert firsts and not any("summary" in x or "match_text" in x for x in firsts)
+
+
 def test_late_items(spark):
     from newsledger.streaming.jobs import timely_items
     rows = [(1, DAY, "2026-08-01", "2026-08-05T01:00:00Z"), (2, DAY, "", "2026-08-05T01:00:00Z"),
