@@ -217,18 +217,23 @@ def nearly_equal() -> Column:
 def in_order(pairs: DataFrame) -> DataFrame:
     """Pairs left by ``may_match`` with enough characters in common in one order.
 
-    Deleting and inserting the unmatched ones is an edit script of a + b - 2M steps; titles too
-    long for the bits of a number take the edit distance, which is no longer than that script."""
+    Deleting and inserting the unmatched ones is an edit script of a + b - 2M steps, and the edit
+    distance is no longer than that script. It is tested first, in Spark: rows that wait for Python
+    are queued on disk, so only pairs close to the threshold may get there. Titles too long for
+    the bits of a number take the edit distance alone."""
     a, b = F.col("x_length"), F.col("y_length")
-    short = a <= S.LCS_CHARS
-    rows = pairs.withColumn("_common", S.common_in_order(
+    lack = F.when(_words_match(S.ratio_bound(a, b)), 1 - LEAST_RATIO).otherwise(1 - THRESHOLD)
+    rows = computed(pairs, {"_most": lack * (a + b) + SLACK})
+    far = F.call_function("levenshtein", "x_title_n", "y_title_n",
+                          F.floor(F.col("_most")).cast("int"))
+    rows = computed(rows, {"_far": far}).where("_far >= 0")
+    # naming the distance keeps the filter below from being pushed under it
+    short = (a <= S.LCS_CHARS) & (F.col("_far") >= 0)
+    rows = rows.withColumn("_common", S.common_in_order(
         F.when(short, F.col("x_title_n")).otherwise(""),
         F.when(short, F.col("y_title_n")).otherwise("")))
-    most = 0.14 * (a + b) + SLACK
-    far = F.call_function("levenshtein", "x_title_n", "y_title_n", F.floor(most).cast("int"))
-    rows = computed(rows, {"_steps": F.when(short, a + b - 2 * F.col("_common")).otherwise(far)})
-    return rows.where(((F.col("_steps") >= 0) & (F.col("_steps") <= most))
-                      | _words_match(S.ratio_bound(a, b))).drop("_steps", "_common")
+    return rows.where(~short | (a + b - 2 * F.col("_common") <= F.col("_most"))).drop(
+        "_common", "_most", "_far")
 
 
 def meet(x: DataFrame, y: DataFrame, keys: Sequence[str], condition: Column) -> DataFrame:

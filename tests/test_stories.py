@@ -353,3 +353,32 @@ def test_trigrams_after_the_join_keep_the_same_pairs(spark):
         return sorted((r.x_rep, r.y_rep) for r in found.select("x_rep", "y_rep").collect())
     whole = ids_(pairs.where(titles.may_match()))
     assert whole and ids_(titles.matching(pairs.where(titles.may_meet()))) == whole
+
+
+def test_only_near_pairs_wait_for_python(spark, monkeypatch):
+    """Rows that wait for Python are queued on disk. Titles with the same letters and pairs of
+    letters in another order pass the bit sets; the edit distance keeps them from the queue."""
+    from pyspark.sql.types import IntegerType
+    from newsledger.functions import similarity, text as T
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf(IntegerType())
+    def counted(left, right):
+        seen.add(len(left))
+        return similarity.common_in_order.func(left, right)
+    monkeypatch.setattr(similarity, "common_in_order", counted)
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        words = ["abcdefghij", "klmnopqrst", "uvwxyz0123", "456789acegik"]
+        rng.shuffle(words)
+        rows.append((i, "".join(words) + "s" * (i % 2)))
+    df = spark.createDataFrame(rows, "rep long, title_n string")
+    df = titles.signed(df.withColumn("tokens", T.title_tokens(F.col("title_n")))).cache()
+    x, y = (df.select(*[F.col(c).alias(f"{name}_{c}") for c in df.columns]) for name in "xy")
+    pairs = titles.matching(x.join(y, F.col("x_rep") > F.col("y_rep")).where(titles.may_meet()))
+    got = {(r.x_rep, r.y_rep) for r in titles.in_order(pairs).collect()}
+    want = {(b, a) for a, b in itertools.combinations(range(len(rows)), 2)
+            if likeness(rows[b][1], rows[a][1]) >= 0.86}
+    assert want and want <= got
+    assert pairs.count() > 10 * len(want) and seen.value <= 3 * len(want)
