@@ -261,16 +261,19 @@ def _other_sources(open_: DataFrame, entries: DataFrame) -> DataFrame:
     return _facts(found, F.col("kind"), "founder")
 
 
-def _guests(open_: DataFrame, entries: DataFrame, order: Column) -> DataFrame:
+def _guests(open_: DataFrame, entries: DataFrame, reps: DataFrame, order: Column) -> DataFrame:
     """Similar stories of the same source that entered the URL from another one."""
     page = ["day", "canon", "source_id"]
-    guests = entries.where(F.col("home") != F.col("canon"))
+    founders = reps.select("day", F.col("rep").alias("founder"), F.col("canon").alias("home"),
+                           "title_n", "tokens")
+    guests = entries.join(founders, ["day", "founder"]).where(F.col("home") != F.col("canon"))
     what = F.struct("title_n", "tokens", "vendors", "models")
 
     def keyed(rows: DataFrame, name: str, *more: str) -> DataFrame:
         rows = titles.with_block_keys(rows, order).select(*page, *more, what.alias(name), "_keys")
         return rows.withColumn("key", F.explode("_keys.key")).drop("_keys")
-    hosts = open_.join(guests.select(*page).distinct(), page, "left_semi")
+    hosts = (open_.join(guests.select(*page).distinct(), page, "left_semi")
+             .join(reps.select(*REP, "title_n", "tokens"), REP))
     pairs = (keyed(hosts.withColumn("own", F.col("ord")), "_l", "rep", "own")
              .join(keyed(guests, "_e", "founder", "ord"), [*page, "key"])
              .where(F.col("ord") < F.col("own")).dropDuplicates([*REP, "founder"]))
@@ -294,11 +297,10 @@ def _known(open_: DataFrame, edges: DataFrame, done: DataFrame | None, reps: Dat
              .unionByName(_facts(near.where("by_url"), F.when(waits, "page_open")
                                  .otherwise("page"), "y")))
     shared = open_.where("shared")
-    who = reps.select("day", F.col("rep").alias("founder"), F.col("canon").alias("home"),
-                      "source_id", "vendors", "models", "title_n", "tokens")
+    # every round reads all representatives here: no titles, only guests ask for those
+    who = reps.select("day", F.col("rep").alias("founder"), "source_id", "vendors", "models")
     if done is None:
-        entries = shared.limit(0).withColumn("founder", F.col("rep")).withColumn(
-            "home", F.col("canon"))
+        entries = shared.limit(0).withColumn("founder", F.col("rep"))
         return facts.unionByName(_other_sources(shared, entries))
     pages = shared.select("day", "canon").distinct()
     entries = (done.where(F.col("reason") != "canonical_url")
@@ -312,7 +314,7 @@ def _known(open_: DataFrame, edges: DataFrame, done: DataFrame | None, reps: Dat
                    ["day", "founder"]))
     if shared.join(moved, ["day", "canon", "source_id"], "left_semi").isEmpty():
         return facts
-    return facts.unionByName(_guests(shared, entries, order))
+    return facts.unionByName(_guests(shared, entries, reps, order))
 
 
 def _settle(open_: DataFrame, facts: DataFrame) -> DataFrame:
@@ -357,8 +359,7 @@ def _assign(reps: DataFrame) -> DataFrame:
     reps = reps.withColumn("ord", F.col("rep"))
     order = titles.corpus_order(reps)
     edges, crowd = candidates(reps, order)
-    columns = [*REP, "ord", "canon", "source_id", "title_n", "tokens", "vendors", "models",
-               "shared"]
+    columns = [*REP, "ord", "canon", "source_id", "vendors", "models", "shared"]
     open_, done, news = reps.select(*columns), None, None
     while True:
         hidden = None

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+#: Removes the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -67,10 +69,16 @@ def materialize(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
     Used where one costly result feeds several branches or a loop. The table survives
     the loss of executors, later reads prune columns, and its real size lets Spark
-    choose join strategies.
+    choose join strategies. The shuffle files behind it go as soon as it is written: left to
+    the driver's garbage collection, those of all steps of a query add up.
     """
     spark = df.sparkSession
     rows = df.select(*keep) if keep else df
     path = f"{shared_folder(spark).rstrip('/')}/newsledger-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(rows.schema).parquet(path)

@@ -475,3 +475,24 @@ def test_guard_equals_a_walk_over_the_days(spark):
     assert [tuple(r) for r in got.orderBy("day").collect()] == want
     assert sum(not w[4] for w in want) > 8
     assert changes.guarded_snapshots(got.select("day", F.lit("x").alias("key")).limit(0)).count() == 0
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """The files of a step go when its table is written, not when the driver collects garbage."""
+    import time
+    from newsledger.session import materialize
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        listed = disk.getAllFiles()
+        return {listed.apply(i).getName() for i in range(listed.size())
+                if listed.apply(i).getName().startswith("shuffle_")}
+    before = files()
+    rows = spark.range(5000).groupBy((F.col("id") % 1000).alias("k")).agg(F.count("*").alias("n"))
+    table = materialize(rows)
+    until = time.time() + 5
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert table.count() == 1000 and rows.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
