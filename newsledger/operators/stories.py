@@ -23,6 +23,8 @@ The result equals reading the whole day in order.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsledger import fixed_values as fixed
@@ -98,7 +100,7 @@ def _met(x: DataFrame, y: DataFrame) -> DataFrame:
 
 def _edges(met: DataFrame, reps: DataFrame) -> DataFrame:
     """(day, x, y, similarity, by_title, by_url): ``x`` may join the story that the earlier ``y``
-    founds, by its title or as one of their URL and source."""
+    founds, by its title or as one of their URL and source. Further columns of ``met`` stay."""
     what = F.struct("t", "canon", "source_id", "title_n", "tokens", "vendors", "models",
                     "mergeable")
     pairs = (met.join(reps.select("day", F.col("rep").alias("x"), what.alias("_l")), ["day", "x"])
@@ -107,7 +109,7 @@ def _edges(met: DataFrame, reps: DataFrame) -> DataFrame:
     fits = T.titles_compatible(F.col("_l.vendors"), F.col("_l.models"),
                                F.col("_e.vendors"), F.col("_e.models"))
     pairs = pairs.where(fits).select(
-        "day", "x", "y", "_l", "_e",
+        *met.columns, "_l", "_e",
         F.coalesce(F.col("_l.mergeable") & near, F.lit(False)).alias("by_title"),
         ((F.col("_l.canon") == F.col("_e.canon"))
          & (F.col("_l.source_id") == F.col("_e.source_id"))).alias("by_url"))
@@ -204,11 +206,11 @@ def _front(members: DataFrame, open_: DataFrame, news: DataFrame | None, reps: D
     live = materialize(members.join(open_.select(*REP), REP, "left_semi").withColumn(
         "place", F.row_number().over(Window.partitionBy(*BLOCK).orderBy("rep"))))
     front = live.where(F.col("place") <= FRONT_ROWS).drop("place")
-    met = _met(front, front)
+    met = _met(front, front).withColumn("waits", F.lit(True))
     if news is not None:
         founders = members.join(news.where(F.col("reason") == "founder").select(*REP), REP,
                                 "left_semi")
-        met = met.unionByName(_met(live.drop("place"), founders)).distinct()
+        met = met.unionByName(_met(live.drop("place"), founders).withColumn("waits", F.lit(False)))
     first = live.where(F.col("place") == 1).select(*BLOCK, F.col("rep").alias("ord"))
     hidden = live.where(F.col("place") > FRONT_ROWS).select(*REP, "block", "key")
     return (materialize(_edges(met, reps)),
@@ -235,15 +237,16 @@ def _named(names: Column, asked: bool) -> Column:
                     .otherwise(names))
 
 
-def _other_sources(open_: DataFrame, entries: DataFrame) -> DataFrame:
+def _other_sources(open_: DataFrame, entries: DataFrame | None) -> DataFrame:
     """First compatible story, and first open item, of another source under the same URL.
 
     Per URL and pair of names the firsts of the two earliest sources are kept: one of the two
     is of another source.
     """
     columns = ["day", "canon", "source_id", "vendors", "models", "ord"]
-    rows = (entries.select(*columns, "founder").unionByName(
-        open_.select(*columns, F.lit(None).cast("long").alias("founder"))))
+    rows = open_.select(*columns, F.lit(None).cast("long").alias("founder"))
+    if entries is not None:
+        rows = rows.unionByName(entries.select(*columns, "founder"))
     key = ["day", "canon", "v", "m", "kind"]
     rows = (rows.withColumn("v", F.explode(_named(F.col("vendors"), False)))
             .withColumn("m", F.explode(_named(F.col("models"), False)))
@@ -264,9 +267,8 @@ def _other_sources(open_: DataFrame, entries: DataFrame) -> DataFrame:
 def _guests(open_: DataFrame, entries: DataFrame, reps: DataFrame, order: Column) -> DataFrame:
     """Similar stories of the same source that entered the URL from another one."""
     page = ["day", "canon", "source_id"]
-    founders = reps.select("day", F.col("rep").alias("founder"), F.col("canon").alias("home"),
-                           "title_n", "tokens")
-    guests = entries.join(founders, ["day", "founder"]).where(F.col("home") != F.col("canon"))
+    founders = reps.select("day", F.col("rep").alias("founder"), "title_n", "tokens")
+    guests = entries.where("guest").join(founders, ["day", "founder"])
     what = F.struct("title_n", "tokens", "vendors", "models")
 
     def keyed(rows: DataFrame, name: str, *more: str) -> DataFrame:
@@ -282,39 +284,51 @@ def _guests(open_: DataFrame, entries: DataFrame, reps: DataFrame, order: Column
     return _facts(titles.similar(pairs.where(fits), "_l", "_e"), F.lit("page"), "founder")
 
 
-def _known(open_: DataFrame, edges: DataFrame, done: DataFrame | None, reps: DataFrame,
+def _known(open_: DataFrame, edges: DataFrame, entries: DataFrame | None, reps: DataFrame,
            order: Column) -> DataFrame:
     """All facts on open items."""
-    state = open_.select("day", F.col("rep").alias("y"), F.lit("open").alias("reason"))
-    if done is not None:
-        state = state.unionByName(done.where(F.col("reason") == "founder").select(
-            "day", F.col("rep").alias("y"), "reason"))
-    near = (edges.join(state, ["day", "y"]).withColumnRenamed("x", "rep")
-            .withColumn("ord", F.col("y")))
-    waits = F.col("reason") == "open"
+    near = edges.withColumnRenamed("x", "rep").withColumn("ord", F.col("y"))
+    waits = F.col("waits")
     facts = (_facts(near.where("by_title"), F.when(waits, "title_open").otherwise("title"),
                     "y", "similarity")
              .unionByName(_facts(near.where("by_url"), F.when(waits, "page_open")
                                  .otherwise("page"), "y")))
     shared = open_.where("shared")
-    # every round reads all representatives here: no titles, only guests ask for those
-    who = reps.select("day", F.col("rep").alias("founder"), "source_id", "vendors", "models")
-    if done is None:
-        entries = shared.limit(0).withColumn("founder", F.col("rep"))
-        return facts.unionByName(_other_sources(shared, entries))
-    pages = shared.select("day", "canon").distinct()
-    entries = (done.where(F.col("reason") != "canonical_url")
-               .join(pages, ["day", "canon"], "left_semi")
-               .groupBy("day", "canon", "founder").agg(F.min("ord").alias("ord"))
-               .join(who, ["day", "founder"]))
     facts = facts.unionByName(_other_sources(shared, entries))
     # a guest came to the URL by the title of an item there; most rounds have none
-    moved = (done.where(F.col("reason") == "title_similarity").select("day", "canon", "founder")
-             .join(reps.select("day", F.col("rep").alias("founder"), "source_id"),
-                   ["day", "founder"]))
-    if shared.join(moved, ["day", "canon", "source_id"], "left_semi").isEmpty():
+    if entries is None or shared.join(entries.where("guest"), ["day", "canon", "source_id"],
+                                      "left_semi").isEmpty():
         return facts
-    return facts.unionByName(_guests(shared, entries, reps, order))
+    return facts.unionByName(materialize(_guests(shared, entries, reps, order)))
+
+
+# What rounds know is one table each, brought up to date by the last round alone. A plan that reads
+# the tables of all rounds so far grows with them, and with it the memory of the driver.
+def _asked(edges: DataFrame, step: DataFrame) -> DataFrame:
+    """Edges of items still open; ``waits`` tells that the earlier item is open, else it founded a
+    story. One that joined another story takes no item."""
+    left = step.where(F.col("reason").isNull()).select("day", F.col("rep").alias("x"))
+    now = step.select("day", F.col("rep").alias("y"), F.coalesce("reason", F.lit("open")).alias("_now"))
+    rows = edges.join(left, ["day", "x"], "left_semi").join(now, ["day", "y"], "left")
+    waits = F.coalesce(F.col("_now") == "open", F.lit(False))
+    return materialize(rows.where(F.coalesce("_now", F.lit("founder")).isin("open", "founder"))
+                       .withColumn("waits", waits).drop("_now"))
+
+
+def _entered(entries: DataFrame | None, step: DataFrame, reps: DataFrame) -> DataFrame:
+    """Where each story first entered a URL that open items share, with its founder's source and
+    names; a ``guest`` was founded under another URL."""
+    who = reps.select("day", F.col("rep").alias("founder"), "source_id", "vendors", "models",
+                      F.col("canon").alias("home"))
+    rows = (step.where(F.col("shared") & F.col("reason").isin("founder", "title_similarity"))
+            .select("day", "canon", "founder", "ord").join(who, ["day", "founder"])
+            .withColumn("guest", F.col("home") != F.col("canon")).drop("home"))
+    if entries is not None:
+        rows = rows.unionByName(entries)
+    pages = step.where(F.col("shared") & F.col("reason").isNull()).select("day", "canon").distinct()
+    return materialize(rows.join(pages, ["day", "canon"], "left_semi")
+                       .groupBy("day", "canon", "founder", "source_id", "vendors", "models", "guest")
+                       .agg(F.min("ord").alias("ord")))
 
 
 def _settle(open_: DataFrame, facts: DataFrame) -> DataFrame:
@@ -323,7 +337,7 @@ def _settle(open_: DataFrame, facts: DataFrame) -> DataFrame:
         return F.min(F.when(F.col("kind") == kind, F.struct("ord", "founder", "similarity")))
     known = facts.groupBy(*REP).agg(*[first(k).alias(k) for k in (
         "title", "title_open", "page", "page_open", "hidden")])
-    rows = open_.join(known, REP, "left")
+    rows = materialize(open_.join(known, REP, "left"))
     # an open item that may join a story by title can bring any story to its URL
     roams = (F.col("title").isNotNull() | F.col("title_open").isNotNull()
              | F.col("hidden").isNotNull())
@@ -359,23 +373,22 @@ def _assign(reps: DataFrame) -> DataFrame:
     reps = reps.withColumn("ord", F.col("rep"))
     order = titles.corpus_order(reps)
     edges, crowd = candidates(reps, order)
+    edges = edges.withColumn("waits", F.lit(True))
     columns = [*REP, "ord", "canon", "source_id", "vendors", "models", "shared"]
-    open_, done, news = reps.select(*columns), None, None
+    open_, entries, news, done = reps.select(*columns), None, None, []
     while True:
         hidden = None
         if crowd is not None:
             more, hidden = _front(crowd, open_, news, reps)
             edges = edges.unionByName(more)
-        facts = _known(open_, edges, done, reps, order)
+        facts = _known(open_, edges, entries, reps, order)
         step = materialize(_settle(open_, facts if hidden is None else facts.unionByName(hidden)))
         news = step.where(F.col("reason").isNotNull())
-        done = news if done is None else done.unionByName(news)
+        done.append(news.select(*REP, "founder", "reason", "similarity"))
         open_ = step.where(F.col("reason").isNull()).select(*columns)
         if open_.isEmpty():
-            return done.select(*REP, "founder", "reason", "similarity")
-        # later rounds ask for open items only
-        edges = materialize(edges.join(open_.select("day", F.col("rep").alias("x")),
-                                       ["day", "x"], "left_semi"))
+            return reduce(DataFrame.unionByName, done)
+        edges, entries = _asked(edges, step), _entered(entries, step, reps)
 
 
 def cluster_items(items: DataFrame) -> DataFrame:

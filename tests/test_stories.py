@@ -296,6 +296,23 @@ def test_a_day_of_near_equal_titles_takes_few_rounds(spark, monkeypatch):
     assert found.select("story_id").distinct().count() == 1 and len(rounds) <= 4
 
 
+def test_plans_do_not_grow_with_the_rounds(spark, monkeypatch):
+    """Titles that each resemble the next only settle one a round; a late round reads as many
+    tables as an early one, else the driver holds ever larger plans."""
+    leaves, settle = [], S._settle
+
+    def counted(open_, facts):
+        leaves.append(facts._jdf.queryExecution().analyzed().collectLeaves().size())
+        return settle(open_, facts)
+    monkeypatch.setattr(S, "_settle", counted)
+    words = [[c * 6 for c in letters] for letters in ("abcdefgh", "ijklmnop")]
+    chain = [" ".join(words[1][:i] + words[0][i:]) for i in range(7)]
+    at = dt.datetime(2026, 8, 1, 9, 0)
+    check(spark, [(at.date(), 1, "p", i, t, f"https://h{i // 2}.com/", "", f"s{i}", "official", "x",
+                   "", at + dt.timedelta(minutes=i), "", "") for i, t in enumerate(chain)])
+    assert len(leaves) >= 5 and max(leaves[2:]) <= leaves[1] and leaves[-1] < 10, leaves
+
+
 def test_direct_comparison_equals_all_pairs(spark):
     """Bit sets and common subsequences lose no pair at the threshold, long titles included."""
     from newsledger.functions import text as T
