@@ -444,10 +444,11 @@ def stories(story_items: DataFrame) -> DataFrame:
         primary.alias("_p"), F.count("*").alias("item_count"),
         F.countDistinct("source_id").alias("source_count"),
         F.min("published_at").alias("earliest_at"), F.max("published_at").alias("latest_at"))
+    # all three lie by story already: no broadcast, which would pass through the driver
     return (base.select("day", "story_id", "_p.*", "item_count", "source_count",
                         "earliest_at", "latest_at")
-            .join(_counted(story_items, "tier", "evidence_tiers"), ["day", "story_id"])
-            .join(_counted(story_items, "section", "sections"), ["day", "story_id"]))
+            .join(_counted(story_items, "tier", "evidence_tiers").hint("merge"), ["day", "story_id"])
+            .join(_counted(story_items, "section", "sections").hint("merge"), ["day", "story_id"]))
 
 
 def story_order() -> list[Column]:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,10 @@ SETTINGS = {
 }
 #: Removes the shuffle files of a query when it ends.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes up to which Spark broadcasts a table of its own accord.
+BROADCAST = ("spark.sql.autoBroadcastJoinThreshold",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold")
+SMALL_BROADCAST = 256 * 1024
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -64,6 +70,29 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[context.applicationId]
 
 
+@contextlib.contextmanager
+def small_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Joins that run inside are shuffled from ``SMALL_BROADCAST`` bytes, unless a lower bound is set.
+
+    A broadcast table passes through the driver, unpacked, and stays there until garbage is
+    collected; a job of many joins keeps many of them.
+    """
+    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    before = {key: spark.conf.get(key, None) for key in BROADCAST}
+    bounds = before | {BROADCAST[0]: spark.conf.get(BROADCAST[0])}
+    try:
+        for key, bound in bounds.items():
+            if bound is not None and not bound.startswith("-") and to_bytes(bound) > SMALL_BROADCAST:
+                spark.conf.set(key, str(SMALL_BROADCAST))
+        yield
+    finally:
+        for key, bound in before.items():
+            if bound is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, bound)
+
+
 def materialize(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Write an intermediate result once and read it back.
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsledger.operators import health as H, lineage as L, stories as S
-from newsledger.session import materialize
+from newsledger.session import materialize, small_broadcasts
 from registry import register, views as V
 from registry.digests import day_text
 from registry.audits import community_entries
 
 
 def story_items(spark, sf_dir):
-    return materialize(S.cluster_items(V.classified(spark, sf_dir, first_url_wins=False)))
+    with small_broadcasts(spark):
+        return materialize(S.cluster_items(V.classified(spark, sf_dir, first_url_wins=False)))
 
 
 def story_table(spark, sf_dir, items=None):
@@ -21,7 +22,8 @@ def story_table(spark, sf_dir, items=None):
 
 def lineage_table(spark, sf_dir):
     items = story_items(spark, sf_dir)
-    return L.build_lineages(materialize(story_table(spark, sf_dir, items)), items)
+    with small_broadcasts(spark):
+        return materialize(L.build_lineages(materialize(story_table(spark, sf_dir, items)), items))
 
 
 @register("stories")

@@ -496,3 +496,27 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert not files() - before
     assert table.count() == 1000 and rows.count() == 1000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_small_broadcasts_hold_inside_only(spark):
+    """A table above the bound is not sent through the driver by joins that run inside."""
+    from newsledger.session import BROADCAST, SMALL_BROADCAST, small_broadcasts
+    rows = spark.range(100_000).withColumn("k", F.sha2(F.col("id").cast("string"), 256)).cache()
+    rows.count()
+
+    def joined():
+        return rows.join(rows.select("id", F.col("k").alias("k2")), "id").select("k2")
+    before = [spark.conf.get(key, None) for key in BROADCAST]
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan(joined())
+    with small_broadcasts(spark):
+        assert "Broadcast" not in plan(joined())
+        assert int(spark.conf.get(BROADCAST[0])) == SMALL_BROADCAST
+    assert [spark.conf.get(key, None) for key in BROADCAST] == before
+    spark.conf.set(BROADCAST[0], "-1")
+    try:
+        with small_broadcasts(spark):
+            assert spark.conf.get(BROADCAST[0]) == "-1"
+    finally:
+        spark.conf.unset(BROADCAST[0])
+    rows.unpersist()
