@@ -233,10 +233,12 @@ def build_lineages(stories: DataFrame, story_items: DataFrame, lookback: int = L
     roots = resolve_roots(features["stories"], parents)
     origins = roots.where((F.col("day") == F.col("root_day"))
                           & (F.col("story_id") == F.col("root_story_id"))).select(*KEY)
-    named = lineage_ids(features["stories"].join(origins, KEY))
+    # written one by one: the driver plans a join of all of them again after each stage
+    named = materialize(lineage_ids(features["stories"].join(origins, KEY)))
+    types = materialize(update_types(parents, features["versions"]))
     return (features["stories"].select(*KEY, "title", "place").join(roots, KEY)
             .join(named, ["root_day", "root_story_id"])
-            .join(parents, KEY, "left").join(update_types(parents, features["versions"]), KEY, "left")
+            .join(parents, KEY, "left").join(types, KEY, "left")
             .withColumn("update_type", F.coalesce("update_type", F.lit("new")))
             .withColumn("link_reason", F.coalesce("link_reason", F.lit("new")))
             .withColumn("similarity", F.round(F.coalesce("similarity", F.lit(0.0)), 4)))
