@@ -399,3 +399,12 @@ def test_only_near_pairs_wait_for_python(spark, monkeypatch):
             if likeness(rows[b][1], rows[a][1]) >= 0.86}
     assert want and want <= got
     assert pairs.count() > 10 * len(want) and seen.value <= 3 * len(want)
+
+
+def test_lineage_entries_join_written_tables(spark):
+    """The last join plans over few written tables, not over all steps behind them."""
+    items = S.cluster_items(with_identity(spark.createDataFrame(make_rows(5, 12, days=2), SCHEMA)))
+    items = S.materialize(items)
+    entries = L.build_lineages(S.stories(items), items)
+    assert entries._jdf.queryExecution().analyzed().collectLeaves().size() <= 6
+    assert entries.count() == items.select("day", "story_id").distinct().count()
